@@ -494,3 +494,107 @@ WHERE (SELECT count(*) FROM s) > 0
 def q_render_script(spark, sf_dir):
     """The digest script (one document for the period)."""
     return render_script(_selection(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- J1-J3, D2, E3, E4
+
+from ..operators import flagging as FG  # noqa: E402
+from ..operators.similarity import similar_pairs  # noqa: E402
+
+
+def _rules_sql(adapter: str) -> str:
+    t = O.normalize_title("title")
+    return f"""
+SELECT feed_no, entry_no, CAST(feed_no AS BIGINT) * 1099511627776 + entry_no AS seq,
+       {O.normalize_url('url')} AS u, {t} AS t, {O.content_hash('content')} AS h,
+       CASE WHEN title IS NOT NULL AND title <> '' THEN coalesce({t}, '') END AS a,
+       CASE WHEN {t} IS NOT NULL THEN coalesce({O.normalize_title(t)}, '') END AS b
+FROM ({adapter}) x"""
+
+
+def _walk_sql(adapter: str) -> str:
+    """The sequential rule as a recursive CTE carrying the seen sets."""
+    return f"""
+WITH RECURSIVE r AS (
+  SELECT row_number() OVER (ORDER BY feed_no, entry_no) AS i, feed_no, entry_no,
+         md5(u) AS u, md5(t) AS t, h
+  FROM ({_rules_sql(adapter)}) k),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS su, CAST([] AS VARCHAR[]) AS st,
+         CAST([] AS VARCHAR[]) AS sh, CAST(NULL AS VARCHAR) AS method
+  UNION ALL
+  SELECT r.i,
+         CASE WHEN x.m = 'new' AND r.u IS NOT NULL THEN list_append(w.su, r.u) ELSE w.su END,
+         CASE WHEN x.m = 'new' AND r.t IS NOT NULL THEN list_append(w.st, r.t) ELSE w.st END,
+         CASE WHEN x.m = 'new' AND r.h IS NOT NULL THEN list_append(w.sh, r.h) ELSE w.sh END,
+         x.m
+  FROM walk w JOIN r ON r.i = w.i + 1,
+  LATERAL (SELECT CASE WHEN r.u IS NOT NULL AND list_contains(w.su, r.u) THEN 'url'
+                       WHEN r.t IS NOT NULL AND list_contains(w.st, r.t) THEN 'title'
+                       WHEN r.h IS NOT NULL AND list_contains(w.sh, r.h) THEN 'content'
+                       ELSE 'new' END AS m) x)
+SELECT r.feed_no, r.entry_no, w.method <> 'new' AS is_duplicate, w.method
+FROM walk w JOIN r USING (i)"""
+
+
+@register("duplicate_rules", f"SELECT * FROM ({_rules_sql(DOCS)}) x")
+def q_duplicate_rules(spark, sf_dir):
+    """Rule keys per row (url, title, content hash) and similarity strings."""
+    return FG.duplicate_rules(documents_articles(spark, sf_dir))
+
+
+@register("flag_duplicates_exact", _walk_sql(DOCS))
+def q_flag_duplicates_exact(spark, sf_dir):
+    """Ordered greedy flagging by the three exact rules."""
+    return FG.flag_duplicates(documents_articles(spark, sf_dir), similar=False) \
+        .select("feed_no", "entry_no", "is_duplicate", "method")
+
+
+@register("flag_duplicates_exact_pages", _walk_sql(PAGES))
+def q_flag_duplicates_exact_pages(spark, sf_dir):
+    return FG.flag_duplicates(pages_articles(spark, sf_dir), similar=False) \
+        .select("feed_no", "entry_no", "is_duplicate", "method")
+
+
+@register("flag_counts_exact", f"SELECT method, count(*) AS rows FROM ({_walk_sql(DOCS)}) w GROUP BY method")
+def q_flag_counts_exact(spark, sf_dir):
+    """E4 over J2."""
+    return FG.flag_counts(FG.flag_duplicates(documents_articles(spark, sf_dir), similar=False))
+
+
+@register("ingest_counters_exact", f"""
+SELECT (SELECT count(*) FROM ({_walk_sql(DOCS)}) w) AS total_found,
+       (SELECT count(*) FILTER (WHERE is_duplicate) FROM ({_walk_sql(DOCS)}) w) AS duplicates_flagged,
+       (SELECT count(*) FROM ({O.unique_sql(DOCS)}) u) AS unique_articles""")
+def q_ingest_counters_exact(spark, sf_dir):
+    """Found / flagged / unique (flags by J2; unique by E1)."""
+    raw = documents_articles(spark, sf_dir)
+    return FG.ingest_counters(FG.flag_duplicates(raw, similar=False), dedup.merge_by_key(raw))
+
+
+@register("similar_titles")
+def q_similar_titles(spark, sf_dir):
+    """(new title, seen title) pairs with ratio >= 0.85, over all titles
+    (rows-only here; exact against brute force in tests)."""
+    rules = FG.duplicate_rules(documents_articles(spark, sf_dir))
+    return similar_pairs(rules.select("a"), rules.select("b"))
+
+
+@register("similar_titles_pages")
+def q_similar_titles_pages(spark, sf_dir):
+    rules = FG.duplicate_rules(pages_articles(spark, sf_dir))
+    return similar_pairs(rules.select("a"), rules.select("b"))
+
+
+@register("flag_duplicates")
+def q_flag_duplicates(spark, sf_dir):
+    """The four rules including similar titles (rows-only here; exact
+    against the sequential rule in tests)."""
+    return FG.flag_duplicates(documents_articles(spark, sf_dir), similar=True) \
+        .select("feed_no", "entry_no", "is_duplicate", "method")
+
+
+@register("flag_counts")
+def q_flag_counts(spark, sf_dir):
+    """E4 over J3."""
+    return FG.flag_counts(FG.flag_duplicates(documents_articles(spark, sf_dir), similar=True))

@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.setdefault("spark.driver.memory", os.environ.get("FEEDLENS_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
