@@ -26,6 +26,8 @@ capped and no candidate is dropped.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -71,10 +73,57 @@ def ratio_at_least(a: str, b: str, threshold: float) -> bool:
     return sm.ratio() >= threshold
 
 
+def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
+    """``ratio_at_least`` for a batch of pairs, cheapest exact bounds first:
+    length (real_quick_ratio), character multiset (quick_ratio), the trigram
+    bound of the module docstring, and only then difflib's ratio().  Counters
+    are cached per string and pairs are visited grouped by ``b`` so one
+    SequenceMatcher reuses its index of ``b``."""
+    chars: dict[str, Counter] = {}
+    grams: dict[str, Counter] = {}
+
+    def cc(s):
+        c = chars.get(s)
+        if c is None:
+            c = chars[s] = Counter(s)
+        return c
+
+    def gc(s):
+        g = grams.get(s)
+        if g is None:
+            g = grams[s] = Counter(s[i:i + 3] for i in range(len(s) - 2))
+        return g
+
+    n = len(a_values)
+    out = [False] * n
+    sm = SequenceMatcher(None)
+    current_b = None
+    for i in sorted(range(n), key=lambda k: b_values[k]):
+        x, y = a_values[i], b_values[i]
+        if x == y:
+            out[i] = True
+            continue
+        total = len(x) + len(y)
+        if total == 0 or 2.0 * min(len(x), len(y)) / total < threshold:
+            continue
+        if 2.0 * sum((cc(x) & cc(y)).values()) / total < threshold:
+            continue
+        if threshold > 0.8:
+            m_min = math.ceil(threshold * total / 2.0 - 1e-9)
+            if sum((gc(x) & gc(y)).values()) < 5 * m_min - 2 * total - 2:
+                continue
+        if y is not current_b:
+            sm.set_seq2(y)
+            current_b = y
+        sm.set_seq1(x)
+        out[i] = sm.ratio() >= threshold
+    return out
+
+
 def _verify_udf(threshold: float):
     @F.pandas_udf(T.BooleanType())
     def verify(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([ratio_at_least(x, y, threshold) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series(verify_pairs(a.tolist(), b.tolist(), threshold), dtype=bool)
     return verify
 
 
@@ -143,7 +192,8 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     pool = u.where(F.col("n") > 0).select(F.col("sid").alias("o"), F.col("n").alias("pn"))
     short_pairs = wants.join(pool, "pn").where(F.col("sid") != F.col("o")).select(
         F.least("sid", "o").alias("x"), F.greatest("sid", "o").alias("y"))
-    cand = cand.unionByName(short_pairs).distinct()
+    # ids only, checkpointed: both verification directions read it once
+    cand = checkpoint(cand.unionByName(short_pairs).distinct())
 
     flags = u.select("sid", "s", "in_a", "in_b", "n")
     c = (cand.join(flags.select(F.col("sid").alias("x"), F.col("s").alias("xs"), F.col("in_a").alias("xa"),
@@ -156,7 +206,7 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
                 .unionByName(c.where(F.col("ya") & F.col("xb")).select(F.col("ys").alias("a"),
                                                                        F.col("xs").alias("b"))))
     verify = _verify_udf(threshold)
-    found = directed.where(verify(F.col("a"), F.col("b")))
+    found = directed.sortWithinPartitions("b").where(verify(F.col("a"), F.col("b")))
     return same.unionByName(found)
 
 

@@ -598,3 +598,102 @@ def q_flag_duplicates(spark, sf_dir):
 def q_flag_counts(spark, sf_dir):
     """E4 over J3."""
     return FG.flag_counts(FG.flag_duplicates(documents_articles(spark, sf_dir), similar=True))
+
+
+# --------------------------------------------------------------------------- R4, R5, D1, E14
+
+def _titles_sql(script_sql: str) -> str:
+    qh, bullet = O.q(R.QUICK_HEADER), O.q(R.QUICK_BULLET)
+    line = "line"
+    return f"""
+WITH doc AS ({script_sql}),
+l0 AS (SELECT unnest(string_split(script, chr(10))) AS raw,
+              generate_subscripts(string_split(script, chr(10)), 1) AS line_no FROM doc),
+l1 AS (SELECT line_no, {O.strip_ws('raw')} AS line FROM l0),
+l2 AS (SELECT *, max(CASE WHEN line = {qh} THEN 1 ELSE 0 END) OVER (ORDER BY line_no) > 0 AS in_quick FROM l1),
+l3 AS (SELECT *, max(CASE WHEN in_quick AND line <> {qh} AND starts_with(line, '===') THEN 1 ELSE 0 END)
+                  OVER (ORDER BY line_no) > 0 AS past_quick FROM l2),
+l4 AS (SELECT line_no,
+         CASE WHEN NOT in_quick AND starts_with(line, {O.q(R.STORY_PREFIX)}) AND strpos(line, ':') > 0
+                THEN {O.strip_tags(O.strip_ws(f"substr({line}, strpos({line}, ':') + 1)"))}
+              WHEN in_quick AND NOT past_quick AND line <> {qh} AND starts_with(line, {bullet})
+                   AND NOT starts_with(line, {bullet} || '=')
+                THEN {O.strip_tags(O.strip_ws(f"substr({line}, {len(R.QUICK_BULLET) + 1})"))} END AS title
+       FROM l3)
+SELECT title, CAST(row_number() OVER (ORDER BY line_no) AS INTEGER) AS position FROM l4 WHERE title IS NOT NULL"""
+
+
+def _map_sql(rep: str) -> str:
+    return f"""
+SELECT {O.strip_tags('title')} AS title, arg_max(url, number) AS url FROM ({rep}) r
+WHERE title IS NOT NULL AND title <> '' AND url IS NOT NULL AND url <> '' GROUP BY 1"""
+
+
+def _linked_sql(sel: str, rep: str) -> str:
+    return f"""
+SELECT t.title, t.position, m.url FROM ({_titles_sql(_script_sql(sel))}) t
+LEFT JOIN ({_map_sql(rep)}) m ON m.title = t.title"""
+
+
+def _post_sql(sel: str, rep: str, compact: bool) -> str:
+    nl = "chr(10)"
+    line = ("CAST(position AS VARCHAR) || '. ' || CASE WHEN url IS NOT NULL THEN '[' || title || '](' || url || ')' "
+            "ELSE title END")
+    if compact:
+        body = (f"{O.q(R.POST_TITLE)} || {nl} || {nl} || {O.q(R.POST_INTRO_COMPACT)} || {nl} || {nl} || "
+                f"string_agg({line}, {nl} ORDER BY position) || {nl} || {nl} || {O.q(R.POST_TAGS)}")
+    else:
+        body = (f"{O.q(R.POST_TITLE)} || {nl} || {nl} || {O.q(R.POST_INTRO)} || {nl} || {nl} || "
+                f"string_agg({line} || {nl} || {nl}, '' ORDER BY position) || {O.q(R.POST_TAGS)}")
+    return f"""
+SELECT CASE WHEN (SELECT count(*) FROM ({_map_sql(rep)}) m) = 0 THEN {O.q(R.POST_NO_MAP)} ELSE {body} END AS post
+FROM ({_linked_sql(sel, rep)}) j HAVING count(*) > 0"""
+
+
+def _digest_parts(spark, sf_dir):
+    sel = _selection(spark, sf_dir)
+    script = render_script(sel)
+    queried = _reporting(spark, sf_dir)
+    titles = extract_script_titles(script)
+    url_map = title_url_map(queried)
+    return sel, script, titles, url_map
+
+
+@register("extract_script_titles", _titles_sql(_script_sql(_sel_sql())))
+def q_extract_script_titles(spark, sf_dir):
+    """Titles named in the rendered script, in order."""
+    _, _, titles, _ = _digest_parts(spark, sf_dir)
+    return titles
+
+
+@register("title_url_map", _map_sql(REP_D))
+def q_title_url_map(spark, sf_dir):
+    """Tag-stripped title -> URL of the last listed article."""
+    return title_url_map(_reporting(spark, sf_dir))
+
+
+@register("attach_links", _linked_sql(_sel_sql(), REP_D))
+def q_attach_links(spark, sf_dir):
+    """Script titles left-joined with the title -> URL map."""
+    _, _, titles, url_map = _digest_parts(spark, sf_dir)
+    return attach_links(titles, url_map).select("title", "position", "url")
+
+
+@register("link_post", _post_sql(_sel_sql(), REP_D, compact=False))
+def q_link_post(spark, sf_dir):
+    """R4 standard post."""
+    _, _, titles, url_map = _digest_parts(spark, sf_dir)
+    return link_post(attach_links(titles, url_map), compact=False, have_map=url_map)
+
+
+@register("link_post_compact", _post_sql(_sel_sql(), REP_D, compact=True))
+def q_link_post_compact(spark, sf_dir):
+    """R4 compact post."""
+    _, _, titles, url_map = _digest_parts(spark, sf_dir)
+    return link_post(attach_links(titles, url_map), compact=True, have_map=url_map)
+
+
+@register("render_script_weekly")
+def q_render_script_weekly(spark, sf_dir):
+    """R1 per ISO week in one job (rows-only: one document per week)."""
+    return render_script(_selection(spark, sf_dir, week=True), ["week"])
