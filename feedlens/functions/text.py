@@ -26,6 +26,9 @@ from pyspark.sql import types as T
 WS_CLASS = (r"[\t\n\x0b\x0c\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}"
             r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 WS_RUN = WS_CLASS + "+"
+# The same set for the JVM, in its faster form: Java's Unicode \s (the
+# White_Space property) plus the four separators Python also counts.
+WS_RUN_JVM = r"(?U)[\s\x1c-\x1f]+"
 TAG_PATTERN = r"<[^>]+>"
 
 # Prefixes removed from titles, in the order they are removed.
@@ -61,12 +64,12 @@ def _c(col) -> Column:
 
 def strip_ws(col) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(col), "^" + WS_RUN + "|" + WS_RUN + r"\z", "")
+    return F.regexp_replace(_c(col), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
 def collapse_ws(col) -> Column:
     """Python ``' '.join(s.split())``: single spaces, no ends."""
-    return F.trim(F.regexp_replace(_c(col), WS_RUN, " "))
+    return F.trim(F.regexp_replace(_c(col), WS_RUN_JVM, " "))
 
 
 def empty_to_null(col) -> Column:
@@ -80,10 +83,22 @@ def _unescape_udf(s: pd.Series) -> pd.Series:
 
 
 def unescape_known(col) -> Column:
-    out = _c(col)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode the fixed entities in one pass: split on '&' and decode the head
+    of every piece once (so "&amp;lt;" stays "&lt;")."""
+    c = _c(col)
+    pieces = F.split(c, "&", -1)
+
+    def decode(p: Column) -> Column:
+        out = None
+        for ent, ch in ENTITIES:
+            name = ent[1:]
+            hit = F.concat(F.lit(ch), F.substring(p, len(name) + 1, 1 << 30))
+            out = F.when(p.startswith(name), hit) if out is None else out.when(p.startswith(name), hit)
+        return out.otherwise(F.concat(F.lit("&"), p))
+
+    decoded = F.array_join(F.concat(F.slice(pieces, 1, 1),
+                                    F.transform(F.slice(pieces, 2, F.size(pieces)), decode)), "")
+    return F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
 
 
 def unescape_html(col) -> Column:
@@ -208,7 +223,7 @@ def summary_brief(col) -> Column:
                   .when(F.length(first) > 200, long_first)
                   .otherwise(first))
     head = strip_ws(F.left(c, F.lit(150)))
-    words = F.when(head == "", F.array().cast("array<string>")).otherwise(F.split(head, WS_RUN))
+    words = F.when(head == "", F.array().cast("array<string>")).otherwise(F.split(head, WS_RUN_JVM))
     nw = F.size(words)
     by_words = F.when((F.length(c) > 150) & (nw > 3),
                       _add_period(F.array_join(F.slice(words, 1, nw - 1), " ")))

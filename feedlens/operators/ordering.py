@@ -44,3 +44,21 @@ def number_articles(df: DataFrame, order: list[Column] | None = None,
     out = ranged.join(F.broadcast(offsets), pid == F.col("_pid"))
     local = F.col("_rid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return out.withColumn("number", (F.col("_off") + local + 1).cast("long")).drop("_rid", "_pid", "_off")
+
+
+def number_in_range(unique: DataFrame, start, end) -> DataFrame:
+    """F1 restricted to a date range (C1), without numbering the whole table.
+
+    In newest-first order every article published after the range precedes
+    every article inside it, and undated articles come last.  So the global
+    number of a row in the range is (articles published after the range) +
+    (its rank within the range): one count and a numbering of the range only.
+    """
+    from .filters import day_bounds, filter_date_range
+
+    _, hi = day_bounds(start, end)
+    newer = unique.where(F.col("published_date") >= F.lit(hi).cast("timestamp_ntz")) \
+                  .agg(F.count(F.lit(1)).alias("_newer"))
+    ranked = number_articles(filter_date_range(unique, start, end))
+    return ranked.crossJoin(F.broadcast(newer)) \
+                 .withColumn("number", F.col("number") + F.col("_newer")).drop("_newer")

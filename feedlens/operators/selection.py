@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 
 @dataclass(frozen=True)
 class Quotas:
@@ -50,6 +52,9 @@ def select_stories(scored: DataFrame, period: list[str] | None = None,
     pw = Window.partitionBy(*p) if p else Window.partitionBy()
     cut = scored.withColumn("rank", F.row_number().over(pw.orderBy(*_order()))) \
                 .where(F.col("rank") <= q.main_pool + q.quick_pool)
+    # the only step over the full table; the cut (<= 25 rows per period) is
+    # written once so the windows and joins below never rescan the input
+    cut = checkpoint(cut)
 
     # F2 main stories
     top = cut.where(F.col("rank") <= q.main_pool)
@@ -84,7 +89,7 @@ def select_stories(scored: DataFrame, period: list[str] | None = None,
              .withColumn("section", F.when(F.col("position") <= q.story_slots, F.lit("story"))
                          .otherwise(F.lit("quick_hit"))) \
              .drop("slot_pos", "n_main")
-    return sel
+    return checkpoint(sel)
 
 
 def estimated_duration(selection: DataFrame, period: list[str] | None = None,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..operators.dedup import merge_by_key
 from ..operators.filters import filter_date_range
-from ..operators.ordering import number_articles
+from ..operators.ordering import number_articles, number_in_range
 from ..operators.profile import profile_articles
 from ..operators.render import (attach_links, extract_script_titles, link_post, render_script,
                                 title_url_map)
@@ -49,6 +49,12 @@ def query_period(numbered: DataFrame, start, end) -> DataFrame:
     return filter_date_range(numbered, start, end)
 
 
+def query_period_unique(unique: DataFrame, start, end) -> DataFrame:
+    """M2 straight from unique articles: numbers as in the global numbering,
+    computed for the range only (see ``number_in_range``)."""
+    return number_in_range(unique, start, end)
+
+
 def period_profile(queried: DataFrame, start, end, as_of=None) -> DataFrame:
     """M2 metadata: profile of the reporting view (500-character previews)."""
     return profile_articles(prepare_reporting(queried), start, end, generated_at=as_of)

@@ -16,8 +16,7 @@ from ..functions import lexicons as L
 from ..functions import text as TX
 from ..operators import dedup, profile
 from ..operators import render as R
-from ..operators.filters import last_n_days
-from ..operators.ordering import number_articles
+from ..operators.ordering import number_articles, number_in_range
 from ..operators.render import (attach_links, extract_script_titles, link_post, render_script,
                                 sources_section, title_url_map, trends_sentence)
 from ..operators.scoring import classify_topic, impact_score, prepare_reporting, score_articles
@@ -50,7 +49,7 @@ def _numbered(spark, sf_dir, adapter=documents_articles) -> DataFrame:
 
 
 def _queried(spark, sf_dir, adapter=documents_articles) -> DataFrame:
-    return query_period(_numbered(spark, sf_dir, adapter), *PERIOD)
+    return number_in_range(dedup.merge_by_key(adapter(spark, sf_dir)), *PERIOD)
 
 
 def _reporting(spark, sf_dir, adapter=documents_articles) -> DataFrame:
@@ -190,7 +189,9 @@ def q_filter_date_range(spark, sf_dir):
 @register("last_n_days", f"SELECT number, article_key FROM ({O.range_sql(DOCS, '2024-01-09', '2024-01-16')}) r")
 def q_last_n_days(spark, sf_dir):
     """The 7 days up to as_of."""
-    return last_n_days(_numbered(spark, sf_dir), AS_OF, 7).select("number", "article_key")
+    from ..operators.filters import last_n_days_bounds
+    return number_in_range(dedup.merge_by_key(documents_articles(spark, sf_dir)),
+                           *last_n_days_bounds(AS_OF, 7)).select("number", "article_key")
 
 
 # --------------------------------------------------------------------------- E5-E11, G3 (profile)

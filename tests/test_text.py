@@ -75,3 +75,12 @@ def test_summary_edge_cases(spark):
 @pytest.mark.parametrize("n,expect", [(0, ""), (300, "x" * 300), (501, "x" * 500 + "...")])
 def test_preview(spark, n, expect):
     assert _eval(spark, ["x" * n], lambda c: TX.preview(c, 500)) == [expect]
+
+
+def test_whitespace_set_matches_python(spark):
+    cps = [c for c in range(0x3100) if not 0xD800 <= c <= 0xDFFF]
+    values = ["a" + chr(c) + "b" for c in cps]
+    got = _eval(spark, values, TX.collapse_ws)
+    assert got == [" ".join(v.split()) for v in values]
+    got = _eval(spark, [chr(c) + "x" + chr(c) for c in cps], TX.strip_ws)
+    assert got == [(chr(c) + "x" + chr(c)).strip() for c in cps]
