@@ -76,11 +76,20 @@ def ratio_at_least(a: str, b: str, threshold: float) -> bool:
 def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
     """``ratio_at_least`` for a batch of pairs, cheapest exact bounds first:
     length (real_quick_ratio), character multiset (quick_ratio), the trigram
-    bound of the module docstring, and only then difflib's ratio().  Counters
-    are cached per string and pairs are visited grouped by ``b`` so one
-    SequenceMatcher reuses its index of ``b``."""
+    bound of the module docstring, and only then difflib's ratio().
+
+    The trigram bound uses the tighter of two block counts.  Blocks are
+    separated by unmatched characters, so B <= S - 2M + 1.  And when ``b`` has
+    200+ characters difflib's autojunk leaves b's popular characters (more
+    than len(b) // 100 + 1 copies) out of its index: every block then holds a
+    matched non-popular character of ``b``, except possibly a common prefix
+    of both strings, so B <= (non-popular characters of b matchable in a) + 1.
+
+    Counters are cached per string and pairs are visited grouped by ``b`` so
+    one SequenceMatcher reuses its index of ``b``."""
     chars: dict[str, Counter] = {}
     grams: dict[str, Counter] = {}
+    rare: dict[str, dict] = {}
 
     def cc(s):
         c = chars.get(s)
@@ -94,6 +103,13 @@ def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
             g = grams[s] = Counter(s[i:i + 3] for i in range(len(s) - 2))
         return g
 
+    def rc(s):
+        r = rare.get(s)
+        if r is None:
+            limit = len(s) // 100 + 1
+            r = rare[s] = {ch: k for ch, k in cc(s).items() if k <= limit}
+        return r
+
     n = len(a_values)
     out = [False] * n
     sm = SequenceMatcher(None)
@@ -106,11 +122,15 @@ def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
         total = len(x) + len(y)
         if total == 0 or 2.0 * min(len(x), len(y)) / total < threshold:
             continue
-        if 2.0 * sum((cc(x) & cc(y)).values()) / total < threshold:
+        cx = cc(x)
+        if 2.0 * sum((cx & cc(y)).values()) / total < threshold:
             continue
         if threshold > 0.8:
             m_min = math.ceil(threshold * total / 2.0 - 1e-9)
-            if sum((gc(x) & gc(y)).values()) < 5 * m_min - 2 * total - 2:
+            blocks = total - 2 * m_min + 1
+            if len(y) >= 200:
+                blocks = min(blocks, sum(min(k, cx.get(ch, 0)) for ch, k in rc(y).items()) + 1)
+            if sum((gc(x) & gc(y)).values()) < m_min - 2 * blocks:
                 continue
         if y is not current_b:
             sm.set_seq2(y)

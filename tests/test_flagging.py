@@ -88,3 +88,26 @@ def test_partition_invariance(spark):
         results.append(_flags(spark, list(reversed(rows)), True))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] == results[2]
+
+
+def test_verify_bounds_exact_on_long_strings():
+    """The batch verifier (with the autojunk block bound) equals difflib on
+    long strings from small alphabets, where most characters are popular."""
+    from feedlens.operators.similarity import ratio_at_least, verify_pairs
+    rng = random.Random(21)
+    a_vals, b_vals = [], []
+    for _ in range(1500):
+        alpha = rng.choice(["ab", "abc ", "etaoin shrdlu", "xyzáé qwer"])
+        x = "".join(rng.choice(alpha) for _ in range(rng.randint(150, 450)))
+        y = list(x)
+        for _ in range(rng.randint(0, 40)):
+            k = rng.randrange(len(y) + 1)
+            if rng.random() < 0.5 and y:
+                y.pop(min(k, len(y) - 1))
+            else:
+                y.insert(k, rng.choice(alpha))
+        a_vals += [x, "".join(y)]
+        b_vals += ["".join(y), x]
+    got = verify_pairs(a_vals, b_vals, 0.85)
+    assert got == [ratio_at_least(a, b, 0.85) for a, b in zip(a_vals, b_vals)]
+    assert sum(got) > 100
