@@ -50,15 +50,13 @@ def number_in_range(unique: DataFrame, start, end) -> DataFrame:
     """F1 restricted to a date range (C1), without numbering the whole table.
 
     In newest-first order every article published after the range precedes
-    every article inside it, and undated articles come last.  So the global
-    number of a row in the range is (articles published after the range) +
-    (its rank within the range): one count and a numbering of the range only.
+    every article inside it, and undated articles come last.  So numbering
+    only the articles published from the range start onward (a filter that
+    reaches the scan) gives the range its global numbers; for the usual
+    recent period that is a small slice of the table.
     """
     from .filters import day_bounds, filter_date_range
 
-    _, hi = day_bounds(start, end)
-    newer = unique.where(F.col("published_date") >= F.lit(hi).cast("timestamp_ntz")) \
-                  .agg(F.count(F.lit(1)).alias("_newer"))
-    ranked = number_articles(filter_date_range(unique, start, end))
-    return ranked.crossJoin(F.broadcast(newer)) \
-                 .withColumn("number", F.col("number") + F.col("_newer")).drop("_newer")
+    lo, _ = day_bounds(start, end)
+    recent = unique.where(F.col("published_date") >= F.lit(lo).cast("timestamp_ntz"))
+    return filter_date_range(number_articles(recent), start, end)

@@ -652,9 +652,9 @@ FROM ({_linked_sql(sel, rep)}) j HAVING count(*) > 0"""
 
 
 def _digest_parts(spark, sf_dir):
-    sel = _selection(spark, sf_dir)
-    script = render_script(sel)
     queried = _reporting(spark, sf_dir)
+    sel = select_stories(score_articles(queried, AS_OF, L.CORPUS_IMPACT_KEYWORDS, L.CORPUS_TOPIC_KEYWORDS))
+    script = render_script(sel)
     titles = extract_script_titles(script)
     url_map = title_url_map(queried)
     return sel, script, titles, url_map
