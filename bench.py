@@ -45,8 +45,10 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    from feedlens.operators import flagging, similarity
+    diag = {"flag_duplicates": dict(flagging.LAST_STATS), "similar_titles": dict(similarity.LAST_STATS)}
     print(json.dumps({"metric": "total_wall_clock", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": int(cpus)}))
+                      "queries": times, "sf": sf, "cpus": int(cpus), "diagnostics": diag}))
     spark.stop()
 
 

@@ -38,6 +38,9 @@ from pyspark.sql import types as T
 from ..session import checkpoint
 
 DEFAULT_THRESHOLD = 0.85
+
+# Diagnostics of the last similarity join in this process (for bench reports).
+LAST_STATS: dict = {}
 _EPS = 1e-9
 
 
@@ -214,6 +217,8 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
         F.least("sid", "o").alias("x"), F.greatest("sid", "o").alias("y"))
     # ids only, checkpointed: both verification directions read it once
     cand = checkpoint(cand.unionByName(short_pairs).distinct())
+    LAST_STATS.clear()
+    LAST_STATS.update({"distinct_strings": u.count(), "candidate_pairs": cand.count()})
 
     flags = u.select("sid", "s", "in_a", "in_b", "n")
     c = (cand.join(flags.select(F.col("sid").alias("x"), F.col("s").alias("xs"), F.col("in_a").alias("xa"),
