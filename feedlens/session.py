@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,7 +68,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpoint(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def checkpoint(df, label: str = "stage"):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
+
+    Compared with ``DataFrame.checkpoint`` (serialized row blocks) the table is
+    columnar and compressed, and later readers get column pruning and filter
+    pushdown; like it, the result no longer depends on recomputing the input,
+    so non-deterministic columns (ids) are fixed and a lost executor only
+    re-reads files.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/feedlens-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
