@@ -110,9 +110,20 @@ def script_lines(selection: DataFrame) -> DataFrame:
     return selection.withColumn("lines", F.when(F.col("section") == "story", story).otherwise(quick))
 
 
-def render_script(selection: DataFrame, period: list[str] | None = None) -> DataFrame:
-    """One script document per period with a non-empty selection."""
+def render_script(selection: DataFrame, period: list[str] | None = None,
+                  periods: DataFrame | None = None) -> DataFrame:
+    """One script document per period with a non-empty selection; with
+    ``periods`` (all period keys), periods without one get the no-selection
+    sentence."""
     p = list(period or [])
+    if periods is not None:
+        out = render_script(selection, p)
+        keys = periods.select(*p).distinct() if p else periods.limit(1).select(F.lit(1).alias("_one"))
+        if p:
+            return keys.join(out, on=p, how="left").select(
+                *p, F.coalesce("script", F.lit(NO_SELECTION)).alias("script"))
+        return keys.crossJoin(out.select(F.max("script").alias("script"))).select(
+            F.coalesce("script", F.lit(NO_SELECTION)).alias("script"))
     blocks = _group(script_lines(selection), p).agg(
         F.sort_array(F.collect_list(F.struct("position", "section", "lines"))).alias("_b"))
     stories = F.flatten(F.transform(F.filter("_b", lambda s: s["section"] == "story"), lambda s: s["lines"]))
@@ -168,10 +179,20 @@ def attach_links(titles: DataFrame, url_map: DataFrame, period: list[str] | None
 
 
 def link_post(linked: DataFrame, period: list[str] | None = None, compact: bool = False,
-              have_map: DataFrame | None = None) -> DataFrame:
+              have_map: DataFrame | None = None, periods: DataFrame | None = None) -> DataFrame:
     """The link post per period, standard or compact.  Periods whose URL map
-    is empty get the no-data sentence (pass ``have_map`` = periods with a map)."""
+    is empty get the no-data sentence (pass ``have_map`` = periods with a map);
+    with ``periods`` (all period keys), periods whose script names no article
+    get the no-titles sentence."""
     p = list(period or [])
+    if periods is not None:
+        out = link_post(linked, p, compact, have_map)
+        if p:
+            return periods.select(*p).distinct().join(out, on=p, how="left").select(
+                *p, F.coalesce("post", F.lit(POST_NO_TITLES)).alias("post"))
+        return periods.limit(1).select(F.lit(1).alias("_one")).crossJoin(
+            out.select(F.max("post").alias("post"))).select(
+            F.coalesce("post", F.lit(POST_NO_TITLES)).alias("post"))
     line = link_line("position", "title", "url")
     per = _group(linked, p).agg(F.sort_array(F.collect_list(F.struct("position", line.alias("line"))))
                                 .alias("_l"))

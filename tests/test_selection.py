@@ -31,3 +31,20 @@ def test_per_period_selection(spark):
     df = spark.createDataFrame(rows, "number long, impact_score double, topic string, week string")
     got = select_stories(df, ["week"]).groupBy("week").count().collect()
     assert {r.week: r["count"] for r in got} == {"w1": 3, "w2": 3}
+
+
+def test_sentinels_for_empty_periods(spark):
+    from feedlens.operators.render import (NO_SELECTION, POST_NO_TITLES, attach_links, extract_script_titles,
+                                           link_post, render_script, title_url_map)
+    rows = [(1, 5.0, "t", "w1", "T1", "https://a/1", "x. y. z", "a.com")]
+    sel = select_stories(spark.createDataFrame(
+        rows, "number long, impact_score double, topic string, week string, title string, url string, "
+              "content string, source string"), ["week"])
+    periods = spark.createDataFrame([("w1",), ("w2",)], "week string")
+    scripts = {r.week: r.script for r in render_script(sel, ["week"], periods).collect()}
+    assert scripts["w2"] == NO_SELECTION and scripts["w1"].startswith("=== BIOTECH")
+    titles = extract_script_titles(render_script(sel, ["week"]), ["week"])
+    url_map = title_url_map(sel, ["week"])
+    posts = {r.week: r.post for r in link_post(attach_links(titles, url_map, ["week"]), ["week"],
+                                               periods=periods).collect()}
+    assert posts["w2"] == POST_NO_TITLES and "1. [T1](https://a/1)" in posts["w1"]
