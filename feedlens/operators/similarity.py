@@ -150,14 +150,28 @@ def _verify_udf(threshold: float):
     return verify
 
 
+def _parts(df: DataFrame) -> int:
+    """Partition count for the CPU-heavy steps.  They blow small inputs up
+    (a string into hundreds of grams, grams into pairs), so AQE's coalescing
+    by input bytes would squeeze them into a task or two; an explicit count is
+    left alone."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism * 2)
+
+
 def _tokens(strings: DataFrame, q: int) -> DataFrame:
-    """(sid, token): q-grams of each string tagged with their occurrence number."""
+    """(sid, n, t_min, token): q-grams of each string tagged with their
+    occurrence number.  Strings are hash-partitioned by id first, so the
+    occurrence window needs no further shuffle."""
     n = F.length("s")
-    grams = strings.where(n >= q).select(
-        "sid", F.posexplode(F.transform(F.sequence(F.lit(1), n - q + 1),
-                                        lambda i: F.substring(F.col("s"), i, q))).alias("pos", "gram"))
+    grams = strings.where(n >= q).repartition(_parts(strings), "sid").select(
+        "sid", "n", "t_min",
+        F.posexplode(F.transform(F.sequence(F.lit(1), n - q + 1),
+                                 lambda i: F.substring(F.col("s"), i, q))).alias("pos", "gram"))
     occ = F.row_number().over(Window.partitionBy("sid", "gram").orderBy("pos"))
-    return grams.select("sid", F.concat(F.col("gram"), F.lit("\u0001"), occ.cast("string")).alias("token"))
+    return grams.select("sid", "n", "t_min",
+                        F.concat(F.col("gram"), F.lit("\u0001"), occ.cast("string")).alias("token"))
 
 
 def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
@@ -186,15 +200,27 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
 
     # prefix-filtered gram candidates among regular strings
     reg = u.where(~F.col("short"))
-    tok = _tokens(reg.select("sid", "s"), q)
+    tok = _tokens(reg.select("sid", "s", "n", "t_min"), q)
     freq = tok.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tok.join(freq, "token").join(reg.select("sid", "n", "t_min"), "sid")
+    ranked = tok.join(freq, "token")
     ranked = ranked.withColumn("r", F.row_number().over(
         Window.partitionBy("sid").orderBy("df", "token")))
     ranked = ranked.withColumn("g", F.col("n") - q + 1)
+    # geometric length buckets as wide as the admissible length ratio: two
+    # strings that pass the length filter are at most one bucket apart, so the
+    # gram join only meets strings of compatible length
+    width = math.log((2.0 - threshold) / threshold)
     prefix = ranked.where(F.col("r") <= F.col("g") - F.col("t_min") + 1) \
-                   .select("sid", "token", "r", "g", "n")
-    x, y = prefix.alias("x"), prefix.alias("y")
+                   .select("sid", "token", "r", "g", "n",
+                           F.floor(F.log(F.col("n")) / F.lit(width)).cast("int").alias("lb"))
+    # written once: both join sides read it, and the planner sizes the join
+    # from the real table instead of estimates of the generated tokens
+    prefix = checkpoint(prefix, "prefix")
+    probe = prefix.select("sid", "token", "r", "g", "n",
+                          F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)).alias("lb"))
+    parts = _parts(prefix)
+    x = prefix.repartition(parts, "token", "lb").alias("x")
+    y = probe.repartition(parts, "token", "lb").alias("y")
     nx, ny = F.col("x.n"), F.col("y.n")
     lo, hi = F.least(nx, ny), F.greatest(nx, ny)
     need = overlap_bound(nx + ny, threshold, q)
@@ -202,7 +228,8 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     # (rx, ry) caps the overlap at 1 + min(gx - rx, gy - ry); later common
     # tokens give smaller caps, so testing every matching token is lossless.
     room = F.least(F.col("x.g") - F.col("x.r"), F.col("y.g") - F.col("y.r")) + 1
-    cond = ((F.col("x.token") == F.col("y.token")) & (F.col("x.sid") < F.col("y.sid"))
+    cond = ((F.col("x.token") == F.col("y.token")) & (F.col("x.lb") == F.col("y.lb"))
+            & (F.col("x.sid") < F.col("y.sid"))
             & (lo * F.lit(2.0 - threshold) >= hi * F.lit(threshold) - F.lit(_EPS))
             & (room >= need))
     cand = x.join(y, cond).select(F.col("x.sid").alias("x"), F.col("y.sid").alias("y")).distinct()
@@ -231,7 +258,8 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
                 .unionByName(c.where(F.col("ya") & F.col("xb")).select(F.col("ys").alias("a"),
                                                                        F.col("xs").alias("b"))))
     verify = _verify_udf(threshold)
-    found = directed.sortWithinPartitions("b").where(verify(F.col("a"), F.col("b")))
+    found = (directed.repartition(_parts(directed), "b", "a").sortWithinPartitions("b")
+             .where(verify(F.col("a"), F.col("b"))))
     return same.unionByName(found)
 
 
