@@ -35,11 +35,40 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedlens`` importable on the executors' Python workers (the UDFs
+    refer to its functions).  The package is zipped once per application on
+    the driver and distributed with ``addPyFile``, as ``--py-files`` would."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import feedlens
+
+    root = os.path.dirname(os.path.abspath(feedlens.__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="feedlens-py-"), "feedlens.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable defaults to an existing session."""
+    """Apply the runtime-settable defaults to an existing session and ship the
+    package to the executors."""
+    ship_package(spark)
     for k, v in SESSION_DEFAULTS.items():
         if k == "spark.ui.enabled":
             continue
