@@ -54,6 +54,11 @@ def ship_package(spark: SparkSession) -> None:
     import feedlens
 
     root = os.path.dirname(os.path.abspath(feedlens.__file__))
+    parent = os.path.dirname(root)
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if sc.master.startswith("local") and (os.path.abspath(os.getcwd()) == parent or parent in on_path):
+        _SHIPPED.add(sc.applicationId)  # local workers already import it from here
+        return
     zpath = os.path.join(tempfile.mkdtemp(prefix="feedlens-py-"), "feedlens.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _, files in os.walk(root):
