@@ -77,6 +77,7 @@ def digest_documents(queried: DataFrame, as_of, lexicons: Lexicons = DEFAULT_LEX
     """M3 + R4: script, link posts and the selection, per period."""
     p = list(period or [])
     sel = build_digest(queried, as_of, lexicons, p)
+    periods = queried.select(*p).distinct() if p else queried
     script = render_script(sel, p)
     titles = extract_script_titles(script, p)
     url_map = title_url_map(queried, p)
@@ -84,7 +85,9 @@ def digest_documents(queried: DataFrame, as_of, lexicons: Lexicons = DEFAULT_LEX
     have_map = url_map.select(*p).distinct() if p else url_map
     return {
         "selection": sel,
-        "script": script,
-        "post": link_post(linked, p, compact=False, have_map=have_map),
-        "post_compact": link_post(linked, p, compact=True, have_map=have_map),
+        # every period with articles gets a document (sentinel text if nothing
+        # was selected / named), matching the reference's outputs
+        "script": render_script(sel, p, periods=periods),
+        "post": link_post(linked, p, compact=False, have_map=have_map, periods=periods),
+        "post_compact": link_post(linked, p, compact=True, have_map=have_map, periods=periods),
     }
