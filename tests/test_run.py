@@ -54,3 +54,14 @@ def test_numbering_partition_invariant(spark):
     full = dict(seen[0])
     ranged = {r.article_key: r.number for r in number_in_range(unique, "2024-01-03", "2024-01-10").collect()}
     assert ranged and all(full[k] == v for k, v in ranged.items())
+
+
+def test_date_filter_reaches_the_scan(spark, tmpdir_path):
+    from feedlens.operators.filters import filter_date_range
+    unique = merge_by_key(documents_articles(spark, SF001))
+    unique.write.parquet(f"{tmpdir_path}/unique")
+    q = filter_date_range(spark.read.parquet(f"{tmpdir_path}/unique"), "2024-01-03", "2024-01-10") \
+        .select("article_key", "occurrences")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(published_date" in plan
+    assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]  # column pruning
