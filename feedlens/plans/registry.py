@@ -698,3 +698,10 @@ def q_link_post_compact(spark, sf_dir):
 def q_render_script_weekly(spark, sf_dir):
     """R1 per ISO week in one job (rows-only: one document per week)."""
     return render_script(_selection(spark, sf_dir, week=True), ["week"])
+
+
+@register("flag_duplicates_pages")
+def q_flag_duplicates_pages(spark, sf_dir):
+    """J3 over the pages adapter (HTML titles, URLs with queries and fragments)."""
+    return FG.flag_duplicates(pages_articles(spark, sf_dir), similar=True) \
+        .select("feed_no", "entry_no", "is_duplicate", "method")
