@@ -33,10 +33,14 @@ def top_sources(df: DataFrame, k: int = 5) -> DataFrame:
             .where(F.col("rank") <= k).select("rank", "domain", "articles"))
 
 
-def unique_sources(df: DataFrame) -> DataFrame:
-    """Number of distinct domains."""
-    return df.where(_truthy("url")).agg(
-        F.count_distinct(extract_domain("url")).alias("unique_sources"))
+def unique_sources(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """Number of distinct domains.  Exact by default; with ``approx_rsd``
+    (relative standard deviation, e.g. 0.01) a HyperLogLog++ sketch merges
+    per partition instead of shuffling distinct values."""
+    dom = extract_domain("url")
+    agg = (F.approx_count_distinct(dom, approx_rsd) if approx_rsd is not None
+           else F.count_distinct(dom))
+    return df.where(_truthy("url")).agg(agg.alias("unique_sources"))
 
 
 def actual_date_range(df: DataFrame) -> DataFrame:

@@ -65,3 +65,12 @@ def test_date_filter_reaches_the_scan(spark, tmpdir_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(published_date" in plan
     assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]  # column pruning
+
+
+def test_unique_sources_exact_and_sketch(spark):
+    from feedlens.operators.profile import unique_sources
+    from feedlens.sources.adapters import pages_articles
+    pages = pages_articles(spark, SF001)
+    exact = unique_sources(pages).collect()[0].unique_sources
+    approx = unique_sources(pages, approx_rsd=0.01).collect()[0].unique_sources
+    assert exact > 0 and abs(approx - exact) <= max(2, 0.05 * exact)
