@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -75,12 +76,8 @@ def configure(spark: SparkSession) -> SparkSession:
     package to the executors."""
     ship_package(spark)
     for k, v in SESSION_DEFAULTS.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
+        if k != "spark.ui.enabled":  # static: the launcher's choice
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
     return spark
 
 
@@ -88,8 +85,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used.  Only when it is unset (local tests, bench) a scratch folder
-    is created so ``DataFrame.checkpoint`` works.
+    always used.  Only a local master (tests, bench) may leave it unset and
+    gets a scratch folder: on a cluster every executor would write to its own
+    disk, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -97,11 +95,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        configured = tempfile.mkdtemp(prefix="feedlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder "
+                               f"that the driver and all executors share (master {sc.master})")
+        configured = tempfile.mkdtemp(prefix="feedlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def table_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for an intermediate table in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedlens-{label}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df, label: str = "stage"):
     """Cut lineage by writing ``df`` as a Parquet table in the shared
     checkpoint folder and reading it back.
@@ -110,10 +119,27 @@ def checkpoint(df, label: str = "stage"):
     columnar and compressed, and later readers get column pruning and filter
     pushdown; like it, the result no longer depends on recomputing the input,
     so non-deterministic columns (ids) are fixed and a lost executor only
-    re-reads files.
+    re-reads files.  The shuffle files of the write are removed with it, so
+    disk holds the tables and not also every shuffle that made them.
+    ``discard`` removes the table when its readers are done.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/feedlens-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    path = table_path(spark, label)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._feedlens_path = path
+    return out
+
+
+def discard(*frames) -> None:
+    """Delete the tables behind ``checkpoint`` results that no pending
+    DataFrame reads any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._feedlens_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
