@@ -6,21 +6,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlens.llm import oracle
+from feedlens.llm.byte_bpe import bpe_report, public_vocabulary
 from feedlens.llm.common import table
 from feedlens.llm.exact_dedup import exact_groups
 from feedlens.llm.line_dedup import line_report
+from feedlens.llm.mixing import mix_report
+from feedlens.llm.quality_crf import classify
 from feedlens.llm.quality_rules import apply_rules
 from feedlens.llm.sharding import shard_documents
+from feedlens.llm.token_files import token_report, write_token_files
+from feedlens.session import table_path
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = table_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_vocabulary("word_bpe_49k.json"))
+    return token_report(spark, path)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_report(table(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -29,7 +55,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op7_line_dedup, op9_exact_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op2_token_files, op4_byte_bpe, op6_mixing, op7_line_dedup, op8_quality_crf, op9_exact_dedup,
+    op10_quality_rules)}
 
 SQL = {
     "op1_sharding": oracle.SHARDING,
