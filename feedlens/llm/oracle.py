@@ -32,6 +32,41 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
 FROM s
 """
 
+NGRAM_JOIN = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+    SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)
+), r(node, c) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.node
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(c) AS component_id FROM r GROUP BY node) m USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)
+), f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g
+), r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE first < doc_id
+), t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM w
+), k AS (
+    SELECT t.doc_id, count(r.p) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE r.p IS NULL) AS kept
+    FROM t LEFT JOIN r USING (doc_id, p) GROUP BY t.doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
 LINE_DEDUP = r"""
 WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM t),

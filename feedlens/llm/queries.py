@@ -11,9 +11,11 @@ from feedlens.llm.common import table
 from feedlens.llm.exact_dedup import exact_groups
 from feedlens.llm.line_dedup import line_report
 from feedlens.llm.mixing import mix_report
+from feedlens.llm.ngram_join import similar_classes
 from feedlens.llm.quality_crf import classify
 from feedlens.llm.quality_rules import apply_rules
 from feedlens.llm.sharding import shard_documents
+from feedlens.llm.substring_dedup import repeat_report
 from feedlens.llm.token_files import token_report, write_token_files
 from feedlens.session import table_path
 
@@ -28,6 +30,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(spark, path)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,6 +41,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       public_tokenizers.PATTERN)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -56,11 +66,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op2_token_files, op4_byte_bpe, op6_mixing, op7_line_dedup, op8_quality_crf, op9_exact_dedup,
-    op10_quality_rules)}
+    op1_sharding, op2_token_files, op3_ngram_join, op4_byte_bpe, op5_substring_dedup, op6_mixing, op7_line_dedup,
+    op8_quality_crf, op9_exact_dedup, op10_quality_rules)}
 
 SQL = {
     "op1_sharding": oracle.SHARDING,
+    "op3_ngram_join": oracle.NGRAM_JOIN,
+    "op5_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op7_line_dedup": oracle.LINE_DEDUP,
     "op9_exact_dedup": oracle.EXACT_DEDUP,
     "op10_quality_rules": oracle.QUALITY_RULES,
