@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import WHITE_RUN, sha256_hex, text_of
+from feedlens.llm.common import WHITE_RUN, let, sha256_hex, text_of
 from feedlens.session import checkpoint, discard
 
 #: Leaf runs; a power of two, log2 of it is the number of rounds.
@@ -25,12 +25,16 @@ def normalised(col: str = "text") -> Column:
     return F.regexp_replace(text_of(col), WHITE_RUN, " ")
 
 
+def digest_of(text: Column) -> tuple[Column, Column]:
+    """SHA-256 of a normalised text, and its length with a second hash, by
+    which equal digests are verified."""
+    return (F.unhex(sha256_hex(text)).alias("digest"),
+            F.struct(F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("hash")).alias("verifier"))
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, verifier): SHA-256 of the normalised text, and its
-    length with a second hash, by which equal digests are verified."""
-    t = docs.select("doc_id", normalised().alias("t"))
-    return t.select("doc_id", F.unhex(sha256_hex(F.col("t"))).alias("digest"),
-                    F.struct(F.octet_length("t").alias("bytes"), F.xxhash64("t").alias("hash")).alias("verifier"))
+    """(doc_id, digest, verifier) of every row."""
+    return docs.select("doc_id", normalised().alias("t")).select("doc_id", *digest_of(F.col("t")))
 
 
 def merge_runs(runs: DataFrame, rounds: int) -> DataFrame:
@@ -47,6 +51,16 @@ def merge_runs(runs: DataFrame, rounds: int) -> DataFrame:
     return runs
 
 
+def merged_digests(rows: DataFrame, leaves: int = LEAVES) -> DataFrame:
+    """(digest, verifier, keep_id, group_size) of all rows (doc_id, digest, verifier)."""
+    rounds = max(0, (leaves - 1).bit_length())
+    first = (rows.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(1 << rounds)).cast("int"))
+             .groupBy("run", "digest", "verifier")
+             .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+             .sortWithinPartitions("run", "digest"))
+    return merge_runs(checkpoint(first, "digest-leaves"), rounds).drop("run")
+
+
 def exact_groups(docs: DataFrame, leaves: int = LEAVES) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -57,19 +71,15 @@ def exact_groups(docs: DataFrame, leaves: int = LEAVES) -> DataFrame:
     rows of that id are all kept.  An empty table gives an empty result.
     Columns other than doc_id and text are not read.
     """
-    rounds = max(0, (leaves - 1).bit_length())
     rows = checkpoint(digests(docs), "digests")
-    first = (rows.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(1 << rounds)).cast("int"))
-             .groupBy("run", "digest", "verifier")
-             .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-             .sortWithinPartitions("run", "digest"))
-    runs = merge_runs(checkpoint(first, "digest-leaves"), rounds)
-    return (rows.join(runs.drop("run"), ["digest", "verifier"])
+    return (rows.join(merged_digests(rows, leaves), ["digest", "verifier"])
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
 
 
 def drop_exact_copies(docs: DataFrame, leaves: int = LEAVES) -> DataFrame:
     """``docs`` without the rows whose text an earlier doc_id holds; columns unchanged."""
-    gone = exact_groups(docs, leaves).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    runs = merged_digests(checkpoint(digests(docs), "digests"), leaves).select(
+        F.struct("digest", "verifier").alias("__of"), F.col("keep_id").alias("__keep"))
+    marked = docs.withColumn("__of", let(normalised(), lambda t: F.struct(*digest_of(t))))
+    return marked.join(runs, "__of").where(F.col("doc_id").eqNullSafe(F.col("__keep"))).select(*[f"`{c}`" for c in docs.columns])
