@@ -10,8 +10,8 @@ doc_id, n_tokens, ids.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,35 +28,66 @@ WRITE_OPTIONS = {
     "parquet.page.size": str(128 << 10),
     "parquet.page.row.count.limit": "500",
 }
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker remembers: seen again since they were new, and new.
+OLD_WORDS, NEW_WORDS = 200_000, 150_000
+#: Marks that form a token run of their own after an ASCII letter or digit.
+TAIL = ".,!?;:"
 _WORKER: dict = {}
 
 
 def _tokenizer(spec):
-    """The worker's tokenizer and word cache; built once per process."""
+    """The worker's word cache with its tokenizer; built once per process."""
     key = zlib.crc32(spec.value)
     if _WORKER.get("key") != key:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(spec.value.decode())
         tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        _WORKER.update(key=key, tok=tok, cache={})
-    return _WORKER["tok"], _WORKER["cache"]
-
-
-def encode_words(words: list[str], tok, cache: dict) -> list[list[int]]:
-    new = [w for w in words if w not in cache]
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = words
-    for start in range(0, len(new), 20_000):
-        some = new[start:start + 20_000]
-        cache.update(zip(some, (e.ids for e in tok.encode_batch_fast(some, add_special_tokens=False))))
-    return [cache[w] for w in words]
-
-
-def encode_texts(texts: pa.Array, tok, cache: dict, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        _WORKER.update(key=key, cache=WordCache(tok))
+    return _WORKER["cache"]
+
+
+class WordCache:
+    """Ids of words (as int32 bytes) by the tokenizers library.  A word that
+    comes back while it is remembered as new becomes old; the new ones are
+    forgotten when they are too many, so rare words do not push out frequent ones."""
+
+    def __init__(self, tok):
+        self.tok, self.old, self.new = tok, {}, {}
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the distinct ``words``.  A tail of marks is a token
+        run of its own, and A-Z of a pure ASCII word are lower-cased by the
+        tokenizer anyway, so words are remembered without both."""
+        split = []
+        for w in words:
+            base = w.rstrip(TAIL)
+            if len(base) == len(w) or not base or not (base[-1].isascii() and base[-1].isalnum()):
+                base = w
+            split.append((base.lower() if base.isascii() else base, w[len(base):]))
+        here: dict[str, bytes] = {"": b""}
+        miss = []
+        for part in {x for pair in split for x in pair if x}:
+            ids = self.old.get(part)
+            if ids is None:
+                ids = self.new.get(part)
+                if ids is not None and len(self.old) < OLD_WORDS:
+                    self.old[part] = self.new.pop(part)
+            if ids is None:
+                miss.append(part)
+            else:
+                here[part] = ids
+        for start in range(0, len(miss), 10_000):
+            some = miss[start:start + 10_000]
+            found = {w: array("i", e.ids).tobytes() for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False))}
+            here.update(found)
+            if len(self.new) + len(found) > NEW_WORDS:
+                self.new.clear()
+            self.new.update(found)
+        return [here[base] + here[tail] for base, tail in split]
+
+
+def encode_texts(texts: pa.Array, cache: WordCache, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, ids) of the texts, ``end_id`` after each.
 
     The tokenizer drops white space, and no token reaches over it, so a text's
@@ -64,9 +95,9 @@ def encode_texts(texts: pa.Array, tok, cache: dict, end_id: int) -> tuple[np.nda
     """
     offsets, flat = word_lists(texts)
     coded = flat.dictionary_encode()
-    parts = encode_words(coded.dictionary.to_pylist(), tok, cache)
-    length = np.fromiter(map(len, parts), np.int64, len(parts))
-    pool = np.fromiter(chain.from_iterable(parts), np.int32, int(length.sum()))
+    parts = cache.encode(coded.dictionary.to_pylist())
+    length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    pool = np.frombuffer(b"".join(parts), np.int32)
     first = np.cumsum(length) - length
     codes = coded.indices.to_numpy()
     n = length[codes]
@@ -80,10 +111,10 @@ def encode_texts(texts: pa.Array, tok, cache: dict, end_id: int) -> tuple[np.nda
 
 def _encoder(spec, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cache = _tokenizer(spec)
+        cache = _tokenizer(spec)
         before = 0
         for b in slices(batches, "text"):
-            offsets, ids = encode_texts(b.column("text"), tok, cache, end_id)
+            offsets, ids = encode_texts(b.column("text"), cache, end_id)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(before + offsets[:-1]), b.column("doc_id"), pa.array(np.diff(offsets)),
                  pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
