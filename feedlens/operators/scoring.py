@@ -14,17 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
-from ..functions.text import article_text, extract_domain, preview
+from ..functions.text import article_text, extract_domain
 
 SECONDS_PER_DAY = 86400
 
 
-def prepare_reporting(df: DataFrame, preview_chars: int = 500) -> DataFrame:
-    """The reporting view of queried articles: ``content`` becomes the stage
-    preview (first 500 characters + '...'), plus ``source`` and
-    ``content_length`` (length of that preview)."""
-    return (df.withColumn("content", preview("content", preview_chars))
-              .withColumn("source", F.coalesce(extract_domain("url"), F.lit("")))
+def prepare_reporting(df: DataFrame) -> DataFrame:
+    """The reporting view of queried articles: ``source`` and
+    ``content_length``.  Scores, topics, profiles and summaries read the whole
+    ``content``."""
+    return (df.withColumn("source", F.coalesce(extract_domain("url"), F.lit("")))
               .withColumn("content_length", F.coalesce(F.length("content"), F.lit(0)).cast("int")))
 
 

@@ -18,10 +18,19 @@ adjacent in both strings).  So:
 Grams are tagged with their occurrence number (multiset -> set), ordered by
 global rarity, and each string indexes only its first |grams| - T + 1 grams
 (prefix filtering), where T is the bound for the shortest partner the length
-filter allows.  Two strings that can reach the threshold share an indexed
-gram.  Strings whose bound is not positive (a few characters long) are paired
-by an equi-join on every admissible partner length instead.  No gram is
-capped and no candidate is dropped.
+filter allows.  The bound itself jumps up and down with S because M is rounded
+up; T is its lower envelope, which rises with S, so T at the shortest partner
+is at most the need of every partner.  Two strings that can reach the
+threshold share an indexed gram.  Strings whose T is not positive (a few
+characters long) meet on their character multisets instead: a pair with M
+matches has a common sub-multiset of exactly ceil(t S / 2) characters, so both
+list their sub-multisets of that size and join on them.  No gram is capped
+and no candidate is dropped.
+
+Candidates carry ids.  Before any string is joined, character histograms
+(L1 distance at most (1 - t) S) rule most of them out; the rest is tested
+against the longest common subsequence, which no sum of ordered blocks
+exceeds, and then by difflib itself.
 """
 
 from __future__ import annotations
@@ -30,6 +39,7 @@ import math
 from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,8 +49,8 @@ from ..session import checkpoint
 
 DEFAULT_THRESHOLD = 0.85
 
-# Diagnostics of the last similarity join in this process (for bench reports).
-LAST_STATS: dict = {}
+# Classes of the character histograms: characters modulo this many.
+HISTOGRAM = 64
 _EPS = 1e-9
 
 
@@ -58,6 +68,12 @@ def overlap_bound(s: Column, threshold: float, q: int) -> Column:
     return m * (2 * q - 1) - (s + 1) * (q - 1)
 
 
+def lowest_bound(s: Column, threshold: float, q: int) -> Column:
+    """The lower envelope of ``overlap_bound``: at most it, and never falling as s grows."""
+    slope = (2 * q - 1) * threshold / 2.0 - (q - 1)
+    return F.ceil(s * F.lit(slope) - F.lit(q - 1 + _EPS))
+
+
 def min_partner_length(n: Column, threshold: float) -> Column:
     return F.ceil(n * F.lit(threshold / (2.0 - threshold)) - F.lit(_EPS))
 
@@ -76,47 +92,45 @@ def ratio_at_least(a: str, b: str, threshold: float) -> bool:
     return sm.ratio() >= threshold
 
 
+def common_subsequence(a: str, where_b: dict[str, int], size_b: int) -> int:
+    """Length of the longest common subsequence, bit-parallel over b, given
+    as the bit set of the places of each character."""
+    full = (1 << size_b) - 1
+    row = full
+    for ch in a:
+        hit = row & where_b.get(ch, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return size_b - row.bit_count()
+
+
 def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
     """``ratio_at_least`` for a batch of pairs, cheapest exact bounds first:
-    length (real_quick_ratio), character multiset (quick_ratio), the trigram
-    bound of the module docstring, and only then difflib's ratio().
-
-    The trigram bound uses the tighter of two block counts.  Blocks are
-    separated by unmatched characters, so B <= S - 2M + 1.  And when ``b`` has
-    200+ characters difflib's autojunk leaves b's popular characters (more
-    than len(b) // 100 + 1 copies) out of its index: every block then holds a
-    matched non-popular character of ``b``, except possibly a common prefix
-    of both strings, so B <= (non-popular characters of b matchable in a) + 1.
-
-    Counters are cached per string and pairs are visited grouped by ``b`` so
-    one SequenceMatcher reuses its index of ``b``."""
+    length, shared trigrams, longest common subsequence, and only then
+    difflib's ratio().
+
+    The trigram bound of the module docstring takes the tighter of two block
+    counts.  Blocks are separated by unmatched characters, so
+    B <= S - 2M + 1.  And when ``b`` has 200+ characters difflib's autojunk
+    leaves b's popular characters (more than len(b) // 100 + 1 copies) out of
+    its index: every block then holds a matched non-popular character of ``b``,
+    except possibly a common prefix of both strings, so
+    B <= (non-popular characters of b matchable in a) + 1.
+
+    Pairs are visited grouped by ``b`` so its index is built once."""
+    n = len(a_values)
+    out = [False] * n
     chars: dict[str, Counter] = {}
     grams: dict[str, Counter] = {}
-    rare: dict[str, dict] = {}
-
-    def cc(s):
-        c = chars.get(s)
-        if c is None:
-            c = chars[s] = Counter(s)
-        return c
-
-    def gc(s):
-        g = grams.get(s)
-        if g is None:
-            g = grams[s] = Counter(s[i:i + 3] for i in range(len(s) - 2))
-        return g
-
-    def rc(s):
-        r = rare.get(s)
-        if r is None:
-            limit = len(s) // 100 + 1
-            r = rare[s] = {ch: k for ch, k in cc(s).items() if k <= limit}
-        return r
 
-    n = len(a_values)
-    out = [False] * n
+    def counted(s):
+        if s not in chars:
+            chars[s] = Counter(s)
+            grams[s] = Counter(s[i:i + 3] for i in range(len(s) - 2))
+        return chars[s], grams[s]
+
     sm = SequenceMatcher(None)
-    current_b = None
+    current_b, indexed = None, False
+    where: dict[str, int] = {}
     for i in sorted(range(n), key=lambda k: b_values[k]):
         x, y = a_values[i], b_values[i]
         if x == y:
@@ -125,24 +139,54 @@ def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
         total = len(x) + len(y)
         if total == 0 or 2.0 * min(len(x), len(y)) / total < threshold:
             continue
-        cx = cc(x)
-        if 2.0 * sum((cx & cc(y)).values()) / total < threshold:
-            continue
         if threshold > 0.8:
+            (cx, gx), (cy, gy) = counted(x), counted(y)
             m_min = math.ceil(threshold * total / 2.0 - 1e-9)
             blocks = total - 2 * m_min + 1
             if len(y) >= 200:
-                blocks = min(blocks, sum(min(k, cx.get(ch, 0)) for ch, k in rc(y).items()) + 1)
-            if sum((gc(x) & gc(y)).values()) < m_min - 2 * blocks:
+                limit = len(y) // 100 + 1
+                blocks = min(blocks, sum(min(k, cx.get(ch, 0)) for ch, k in cy.items() if k <= limit) + 1)
+            if sum((gx & gy).values()) < m_min - 2 * blocks:
                 continue
         if y is not current_b:
+            current_b, indexed = y, False
+            where = {}
+            for k, ch in enumerate(y):
+                where[ch] = where.get(ch, 0) | 1 << k
+        if 2.0 * common_subsequence(x, where, len(y)) / total < threshold:
+            continue
+        if not indexed:
             sm.set_seq2(y)
-            current_b = y
+            indexed = True
         sm.set_seq1(x)
         out[i] = sm.ratio() >= threshold
     return out
 
 
+def histogram_of(strings: pd.Series) -> list[bytes]:
+    out = []
+    for s in strings:
+        code = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32) % HISTOGRAM
+        out.append(np.bincount(code, minlength=HISTOGRAM).astype(np.int32).tobytes())
+    return out
+
+
+@F.pandas_udf(T.BinaryType())
+def _histogram(strings: pd.Series) -> pd.Series:
+    return pd.Series(histogram_of(strings))
+
+
+def _near_udf(threshold: float):
+    """Whether two histograms leave room for the threshold."""
+    @F.pandas_udf(T.BooleanType())
+    def near(x: pd.Series, y: pd.Series) -> pd.Series:
+        a = np.frombuffer(b"".join(x), np.int32).reshape(-1, HISTOGRAM)
+        b = np.frombuffer(b"".join(y), np.int32).reshape(-1, HISTOGRAM)
+        total = a.sum(axis=1) + b.sum(axis=1)
+        return pd.Series(total - np.abs(a - b).sum(axis=1) >= threshold * total - _EPS)
+    return near
+
+
 def _verify_udf(threshold: float):
     @F.pandas_udf(T.BooleanType())
     def verify(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -189,11 +233,11 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
                                       F.coalesce("in_b", F.lit(False)).alias("in_b"))
     n = F.length("s")
     u = u.withColumn("n", n).withColumn(
-        "t_min", F.when(n > 0, overlap_bound(n + min_partner_length(n, threshold), threshold, q)))
+        "t_min", F.when(n > 0, lowest_bound(n + min_partner_length(n, threshold), threshold, q)))
     u = u.withColumn("short", (F.col("n") < q) | (F.col("t_min") <= 0) | F.col("t_min").isNull())
     # stable ids for the distinct strings: checkpointed, so every branch below
     # sees the same numbering even after a lost executor
-    u = checkpoint(u.withColumn("sid", F.monotonically_increasing_id()))
+    u = checkpoint(u.withColumn("hist", _histogram("s")).withColumn("sid", F.monotonically_increasing_id()))
 
     # exact equality (includes the empty string)
     same = u.where(F.col("in_a") & F.col("in_b")).select(F.col("s").alias("a"), F.col("s").alias("b"))
@@ -218,9 +262,7 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     prefix = checkpoint(prefix, "prefix")
     probe = prefix.select("sid", "token", "r", "g", "n",
                           F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)).alias("lb"))
-    parts = _parts(prefix)
-    x = prefix.repartition(parts, "token", "lb").alias("x")
-    y = probe.repartition(parts, "token", "lb").alias("y")
+    x, y = prefix.alias("x"), probe.alias("y")  # hash-partitioned by the join, so AQE can split a frequent gram
     nx, ny = F.col("x.n"), F.col("y.n")
     lo, hi = F.least(nx, ny), F.greatest(nx, ny)
     need = overlap_bound(nx + ny, threshold, q)
@@ -234,26 +276,18 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
             & (room >= need))
     cand = x.join(y, cond).select(F.col("x.sid").alias("x"), F.col("y.sid").alias("y")).distinct()
 
-    # strings too short for the gram bound: pair by admissible length
-    short = u.where(F.col("short") & (F.col("n") > 0))
-    wants = short.select("sid", F.explode(F.sequence(min_partner_length(F.col("n"), threshold).cast("int"),
-                                                     max_partner_length(F.col("n"), threshold).cast("int")))
-                         .alias("pn"))
-    pool = u.where(F.col("n") > 0).select(F.col("sid").alias("o"), F.col("n").alias("pn"))
-    short_pairs = wants.join(pool, "pn").where(F.col("sid") != F.col("o")).select(
-        F.least("sid", "o").alias("x"), F.greatest("sid", "o").alias("y"))
+    cand = cand.unionByName(_short_candidates(u, threshold)).distinct()
+    one = u.select(F.col("sid").alias("x"), F.col("hist").alias("xh"))
+    two = u.select(F.col("sid").alias("y"), F.col("hist").alias("yh"))
+    near = _near_udf(threshold)
     # ids only, checkpointed: both verification directions read it once
-    cand = checkpoint(cand.unionByName(short_pairs).distinct())
-    LAST_STATS.clear()
-    LAST_STATS.update({"distinct_strings": u.count(), "candidate_pairs": cand.count()})
+    cand = checkpoint(cand.join(one, "x").join(two, "y").where(near("xh", "yh")).select("x", "y"))
 
-    flags = u.select("sid", "s", "in_a", "in_b", "n")
+    flags = u.select("sid", "s", "in_a", "in_b")
     c = (cand.join(flags.select(F.col("sid").alias("x"), F.col("s").alias("xs"), F.col("in_a").alias("xa"),
-                                F.col("in_b").alias("xb"), F.col("n").alias("xn")), "x")
+                                F.col("in_b").alias("xb")), "x")
              .join(flags.select(F.col("sid").alias("y"), F.col("s").alias("ys"), F.col("in_a").alias("ya"),
-                                F.col("in_b").alias("yb"), F.col("n").alias("yn")), "y"))
-    lo2, hi2 = F.least("xn", "yn"), F.greatest("xn", "yn")
-    c = c.where(lo2 * F.lit(2.0 - threshold) >= hi2 * F.lit(threshold) - F.lit(_EPS))
+                                F.col("in_b").alias("yb")), "y"))
     directed = (c.where(F.col("xa") & F.col("yb")).select(F.col("xs").alias("a"), F.col("ys").alias("b"))
                 .unionByName(c.where(F.col("ya") & F.col("xb")).select(F.col("ys").alias("a"),
                                                                        F.col("xs").alias("b"))))
@@ -263,6 +297,37 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     return same.unionByName(found)
 
 
+def _without_one(keys: Column) -> Column:
+    """All strings that lack one character of a string of the array."""
+    def each(k: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(k)),
+                           lambda i: F.concat(F.substring(k, F.lit(1), i - 1), F.substring(k, i + 1, F.length(k))))
+    return F.array_distinct(F.flatten(F.transform(F.filter(keys, lambda k: F.length(k) > 0), each)))
+
+
+def _short_candidates(u: DataFrame, threshold: float) -> DataFrame:
+    """(x, y) with a short string in the pair, over common sub-multisets of
+    exactly the needed number of characters."""
+    shorts = u.where(F.col("short") & (F.col("n") > 0))
+    longest = shorts.agg(F.max("n")).first()[0]
+    if longest is None:
+        return u.sparkSession.createDataFrame([], "x long, y long")
+    reach = int(math.floor(longest * (2.0 - threshold) / threshold + _EPS))
+    # the most characters that a pair leaves unmatched on one side
+    spare = max(m - math.ceil((n + m) * threshold / 2.0 - _EPS)
+                for n in range(1, longest + 1) for m in range(n, min(reach, int(n * (2.0 - threshold) / threshold + _EPS)) + 1))
+    level = F.array(F.array_join(F.array_sort(F.split("s", "")), ""))
+    levels = [level]
+    for _ in range(spare):
+        levels.append(_without_one(levels[-1]))
+    keyed = (u.where((F.col("n") > 0) & (F.col("n") <= reach)).repartition(_parts(u), "sid")
+             .select("sid", "n", "short", F.explode(F.concat(*levels)).alias("key")))
+    x, y = keyed.where("short").alias("x"), keyed.alias("y")
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") != F.col("y.sid"))
+                  & (F.length("x.key") == min_matches(F.col("x.n") + F.col("y.n"), threshold))).select(
+        F.least("x.sid", "y.sid").alias("x"), F.greatest("x.sid", "y.sid").alias("y"))
+
+
 def similar_pairs_bruteforce(a_values, b_values, threshold: float = DEFAULT_THRESHOLD) -> set:
     """Reference implementation for tests: every pair of distinct strings."""
     out = set()

@@ -56,7 +56,7 @@ def query_period_unique(unique: DataFrame, start, end) -> DataFrame:
 
 
 def period_profile(queried: DataFrame, start, end, as_of=None) -> DataFrame:
-    """M2 metadata: profile of the reporting view (500-character previews)."""
+    """M2 metadata: profile of the reporting view."""
     return profile_articles(prepare_reporting(queried), start, end, generated_at=as_of)
 
 

@@ -172,9 +172,8 @@ WHERE published_date >= TIMESTAMP '{start} 00:00:00'
 
 def reporting_sql(adapter: str, start: str = PERIOD[0], end: str = PERIOD[1]) -> str:
     return f"""
-SELECT * REPLACE ({preview('content')} AS content),
-       coalesce({extract_domain('url')}, '') AS source,
-       CAST(coalesce(length({preview('content')}), 0) AS INTEGER) AS content_length
+SELECT *, coalesce({extract_domain('url')}, '') AS source,
+       CAST(coalesce(length(content), 0) AS INTEGER) AS content_length
 FROM ({range_sql(adapter, start, end)}) r
 """
 
@@ -212,37 +211,65 @@ FROM ({reporting_sql(adapter, start, end)}) rp
 
 
 def selection_sql(scored: str, period: list[str]) -> str:
-    pp = ", ".join(period)
-    pb = f"PARTITION BY {pp}" if period else ""
-    pj = " AND ".join(f"c.{x} = m.{x}" for x in period)
-    pj_and = (pj + " AND") if period else ""
-    pcols = "".join(f"{x}, " for x in period)
+    """The selection as a walk down the ranked articles with caps: a main story
+    while fewer than 6 are taken and fewer than 2 of its topic, among the 10
+    best; then, among the next 15, a quick hit while fewer than 12 are taken
+    and fewer than 3 of its topic in all."""
+    pp = "".join(f"{x}, " for x in period)
+    by = f"PARTITION BY {', '.join(period)}" if period else ""
+    same = lambda a, b: "".join(f"{a}.{x} IS NOT DISTINCT FROM {b}.{x} AND " for x in period)
+    cp = "".join(f"c.{x}, " for x in period)
     return f"""
-WITH cut AS (
-  SELECT * FROM (SELECT *, row_number() OVER ({pb} ORDER BY impact_score DESC, number) AS rank
+WITH RECURSIVE cut AS (
+  SELECT * FROM (SELECT *, row_number() OVER ({by} ORDER BY impact_score DESC, number) AS rank
                  FROM ({scored}) s) WHERE rank <= 25),
-top AS (SELECT *, row_number() OVER (PARTITION BY {pcols} topic ORDER BY rank) AS topic_rank
-        FROM cut WHERE rank <= 10),
-main AS (SELECT * EXCLUDE (topic_rank, slot_pos), slot_pos FROM (
-           SELECT *, row_number() OVER ({pb} ORDER BY rank) AS slot_pos FROM top WHERE topic_rank <= 2)
-         WHERE slot_pos <= 6),
-rest AS (SELECT c.* FROM cut c WHERE NOT EXISTS (SELECT 1 FROM main m WHERE {pj_and} m.rank = c.rank)),
-rest15 AS (SELECT * FROM (SELECT *, row_number() OVER ({pb} ORDER BY rank) AS rest_pos FROM rest)
-           WHERE rest_pos <= 15),
-mt AS (SELECT {pcols} topic, count(*) AS main_in_topic FROM main GROUP BY ALL),
-quick0 AS (SELECT r.*, coalesce(mt.main_in_topic, 0) AS main_in_topic,
-                  row_number() OVER (PARTITION BY {', '.join('r.' + x for x in period) + ', ' if period else ''}r.topic
-                                     ORDER BY r.rank) AS topic_rank
-           FROM rest15 r LEFT JOIN mt ON {' AND '.join(f'r.{x} = mt.{x}' for x in period) + ' AND ' if period else ''}r.topic = mt.topic),
-quick AS (SELECT * FROM (SELECT * EXCLUDE (rest_pos, main_in_topic, topic_rank),
-                                row_number() OVER ({pb} ORDER BY rank) AS slot_pos
-                         FROM quick0 WHERE main_in_topic + topic_rank <= 3) WHERE slot_pos <= 12),
-nm AS (SELECT {pcols} count(*) AS n_main FROM main GROUP BY ALL),
+m AS (
+  SELECT DISTINCT {pp} CAST(0 AS BIGINT) AS rank, CAST([] AS VARCHAR[]) AS seen, false AS take FROM cut
+  UNION ALL
+  SELECT {cp} c.rank, CASE WHEN x.ok THEN list_append(m.seen, c.topic) ELSE m.seen END, x.ok
+  FROM m JOIN cut c ON {same('c', 'm')} c.rank = m.rank + 1 AND c.rank <= 10,
+  LATERAL (SELECT len(m.seen) < 6 AND len(list_filter(m.seen, lambda t: t = c.topic)) < 2 AS ok) x),
+rest AS (
+  SELECT *, row_number() OVER ({by} ORDER BY rank) AS pos FROM cut c
+  WHERE NOT EXISTS (SELECT 1 FROM m WHERE {same('m', 'c')} m.rank = c.rank AND m.take)),
+w AS (
+  SELECT {pp} CAST(0 AS BIGINT) AS pos, arg_max(seen, rank) AS seen, CAST(0 AS BIGINT) AS n, false AS take,
+         CAST(NULL AS BIGINT) AS rank FROM m {'GROUP BY ' + ', '.join(period) if period else ''}
+  UNION ALL
+  SELECT {cp} c.pos, CASE WHEN x.ok THEN list_append(w.seen, c.topic) ELSE w.seen END,
+         w.n + CASE WHEN x.ok THEN 1 ELSE 0 END, x.ok, c.rank
+  FROM w JOIN rest c ON {same('c', 'w')} c.pos = w.pos + 1 AND c.pos <= 15,
+  LATERAL (SELECT w.n < 12 AND len(list_filter(w.seen, lambda t: t = c.topic)) < 3 AS ok) x),
+took AS (
+  SELECT {pp} rank, 'main' AS slot FROM m WHERE take UNION ALL SELECT {pp} rank, 'quick' AS slot FROM w WHERE take),
 sel AS (
-  SELECT *, 'main' AS slot, CAST(slot_pos AS INTEGER) AS position FROM main
-  UNION ALL BY NAME
-  SELECT quick.*, 'quick' AS slot, CAST(quick.slot_pos + coalesce(
-      (SELECT n_main FROM nm WHERE {' AND '.join(f'nm.{x} = quick.{x}' for x in period) or 'TRUE'}), 0) AS INTEGER)
-      AS position FROM quick)
-SELECT * EXCLUDE (slot_pos), CASE WHEN position <= 6 THEN 'story' ELSE 'quick_hit' END AS section FROM sel
+  SELECT c.*, t.slot, CAST(row_number() OVER ({by.replace('BY ', 'BY c.') if period else ''} ORDER BY t.slot, c.rank) AS INTEGER) AS position
+  FROM cut c JOIN took t ON {same('t', 'c')} t.rank = c.rank)
+SELECT *, CASE WHEN position <= 6 THEN 'story' ELSE 'quick_hit' END AS section FROM sel
+"""
+
+
+def similar_sql(rules: str, threshold: float = 0.85) -> str:
+    """Pairs (a, b) of equal or similar strings.  Similarity adds up the longest
+    common substring (the earliest in a, then in b) and, again and again,
+    those of what is left of it and right of it on both sides.  For strings
+    under 200 characters."""
+    longest = ("list_transform(range(1, length(sa) + 1), lambda i: "
+               "len(list_filter(range(1, length(sa) - i + 2), lambda k: contains(sb, substr(sa, i, k)))))")
+    return f"""
+WITH RECURSIVE k AS ({rules}),
+x AS (SELECT DISTINCT a FROM k WHERE a IS NOT NULL), y AS (SELECT DISTINCT b FROM k WHERE b IS NOT NULL),
+p AS (SELECT a, b, length(a) + length(b) AS s FROM x, y
+      WHERE a <> b AND 2.0 * least(length(a), length(b)) >= {threshold} * (length(a) + length(b)) - 1e-9),
+seg AS (
+  SELECT a, b, s, a AS sa, b AS sb, CAST(0 AS BIGINT) AS m FROM p
+  UNION ALL
+  SELECT a, b, s, unnest([substr(sa, 1, i - 1), substr(sa, i + n)]), unnest([substr(sb, 1, j - 1), substr(sb, j + n)]),
+         unnest([n, 0])
+  FROM (SELECT *, strpos(sb, substr(sa, i, n)) AS j
+        FROM (SELECT *, list_position(ks, n) AS i
+              FROM (SELECT *, list_max(ks) AS n FROM (SELECT *, {longest} AS ks FROM seg WHERE sa <> '' AND sb <> '') l1) l2) l3
+        WHERE n > 0) l4)
+SELECT a, b FROM seg GROUP BY a, b, s HAVING 2.0 * sum(m) / s >= {threshold}
+UNION ALL SELECT a, b FROM x JOIN y ON a = b
 """

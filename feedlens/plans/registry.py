@@ -121,33 +121,31 @@ def q_extract_domain(spark, sf_dir):
 
 @register("text_functions", f"""
 SELECT feed_no, entry_no, {O.preview('content')} AS preview_500, {O.preview('content', 200)} AS preview_200,
-       {O.strip_tags('title')} AS title_untagged, {O.article_text('title', O.preview('content'))} AS article_text,
-       {O.summary_detailed(O.preview('content'))} AS summary_detailed,
-       {O.summary_brief(O.preview('content'))} AS summary_brief
+       {O.strip_tags('title')} AS title_untagged, {O.article_text()} AS article_text,
+       {O.summary_detailed('content')} AS summary_detailed,
+       {O.summary_brief('content')} AS summary_brief
 FROM ({DOCS}) a""")
 def q_text_functions(spark, sf_dir):
     """B7 strip_tags, B8 preview, B9 article_text, B10/B11 summaries."""
     a = documents_articles(spark, sf_dir)
-    p = TX.preview("content")
-    return a.select("feed_no", "entry_no", p.alias("preview_500"),
+    return a.select("feed_no", "entry_no", TX.preview("content").alias("preview_500"),
                     TX.preview("content", 200).alias("preview_200"),
                     TX.strip_tags("title").alias("title_untagged"),
-                    TX.article_text("title", p).alias("article_text"),
-                    TX.summary_detailed(p).alias("summary_detailed"),
-                    TX.summary_brief(p).alias("summary_brief"))
+                    TX.article_text().alias("article_text"),
+                    TX.summary_detailed("content").alias("summary_detailed"),
+                    TX.summary_brief("content").alias("summary_brief"))
 
 
 @register("text_functions_pages", f"""
 SELECT feed_no, entry_no, {O.strip_tags('title')} AS title_untagged,
-       {O.summary_detailed(O.preview('content'))} AS summary_detailed,
-       {O.summary_brief(O.preview('content'))} AS summary_brief
+       {O.summary_detailed('content')} AS summary_detailed,
+       {O.summary_brief('content')} AS summary_brief
 FROM ({PAGES}) a""")
 def q_text_functions_pages(spark, sf_dir):
     a = pages_articles(spark, sf_dir)
-    p = TX.preview("content")
     return a.select("feed_no", "entry_no", TX.strip_tags("title").alias("title_untagged"),
-                    TX.summary_detailed(p).alias("summary_detailed"),
-                    TX.summary_brief(p).alias("summary_brief"))
+                    TX.summary_detailed("content").alias("summary_detailed"),
+                    TX.summary_brief("content").alias("summary_brief"))
 
 
 # --------------------------------------------------------------------------- E1 / E2 / F1 / C
@@ -236,7 +234,7 @@ def q_actual_date_range(spark, sf_dir):
 @register("avg_content_length", f"""
 SELECT CAST(trunc(avg(length(coalesce(content, '')))) AS INTEGER) AS avg_content_length FROM ({REP_D}) r""")
 def q_avg_content_length(spark, sf_dir):
-    """E8 (on the 500-character previews)."""
+    """E8."""
     return profile.avg_content_length(_reporting(spark, sf_dir))
 
 
@@ -513,26 +511,36 @@ SELECT feed_no, entry_no, CAST(feed_no AS BIGINT) * 1099511627776 + entry_no AS
 FROM ({adapter}) x"""
 
 
-def _walk_sql(adapter: str) -> str:
-    """The sequential rule as a recursive CTE carrying the seen sets."""
+def _walk_sql(adapter: str, similar: bool = False) -> str:
+    return walk_sql(_rules_sql(adapter), O.similar_sql(_rules_sql(adapter)) if similar else None)
+
+
+def walk_sql(rules: str, pairs: str | None = None) -> str:
+    """The sequential rule as a recursive CTE carrying the seen sets; ``pairs``
+    gives the similar (a, b)."""
+    like = f"SELECT a, list(DISTINCT md5(b)) AS near FROM ({pairs}) s GROUP BY a" if pairs else \
+        "SELECT CAST(NULL AS VARCHAR) AS a, CAST([] AS VARCHAR[]) AS near WHERE false"
     return f"""
-WITH RECURSIVE r AS (
+WITH RECURSIVE sim AS MATERIALIZED ({like}),
+r AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY feed_no, entry_no) AS i, feed_no, entry_no,
-         md5(u) AS u, md5(t) AS t, h
-  FROM ({_rules_sql(adapter)}) k),
+         md5(u) AS u, md5(t) AS t, h, md5(b) AS b, coalesce(sim.near, []) AS near
+  FROM ({rules}) k LEFT JOIN sim ON sim.a = k.a),
 walk AS (
   SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS su, CAST([] AS VARCHAR[]) AS st,
-         CAST([] AS VARCHAR[]) AS sh, CAST(NULL AS VARCHAR) AS method
+         CAST([] AS VARCHAR[]) AS sh, CAST([] AS VARCHAR[]) AS sb, CAST(NULL AS VARCHAR) AS method
   UNION ALL
   SELECT r.i,
          CASE WHEN x.m = 'new' AND r.u IS NOT NULL THEN list_append(w.su, r.u) ELSE w.su END,
          CASE WHEN x.m = 'new' AND r.t IS NOT NULL THEN list_append(w.st, r.t) ELSE w.st END,
          CASE WHEN x.m = 'new' AND r.h IS NOT NULL THEN list_append(w.sh, r.h) ELSE w.sh END,
+         CASE WHEN x.m = 'new' AND r.b IS NOT NULL THEN list_append(w.sb, r.b) ELSE w.sb END,
          x.m
   FROM walk w JOIN r ON r.i = w.i + 1,
   LATERAL (SELECT CASE WHEN r.u IS NOT NULL AND list_contains(w.su, r.u) THEN 'url'
                        WHEN r.t IS NOT NULL AND list_contains(w.st, r.t) THEN 'title'
                        WHEN r.h IS NOT NULL AND list_contains(w.sh, r.h) THEN 'content'
+                       WHEN list_has_any(w.sb, r.near) THEN 'similar_title'
                        ELSE 'new' END AS m) x)
 SELECT r.feed_no, r.entry_no, w.method <> 'new' AS is_duplicate, w.method
 FROM walk w JOIN r USING (i)"""
@@ -581,7 +589,7 @@ def q_similar_titles(spark, sf_dir):
     return similar_pairs(rules.select("a"), rules.select("b"))
 
 
-@register("similar_titles_pages")
+@register("similar_titles_pages", O.similar_sql(_rules_sql(PAGES)))
 def q_similar_titles_pages(spark, sf_dir):
     rules = FG.duplicate_rules(pages_articles(spark, sf_dir))
     return similar_pairs(rules.select("a"), rules.select("b"))
@@ -694,13 +702,22 @@ def q_link_post_compact(spark, sf_dir):
     return link_post(attach_links(titles, url_map), compact=True, have_map=url_map)
 
 
-@register("render_script_weekly")
+@register("render_script_weekly", f"""
+WITH ws AS MATERIALIZED ({_sel_sql(True)})
+SELECT w.week, x.script FROM (SELECT DISTINCT week FROM ws) w,
+LATERAL ({_script_sql("SELECT * FROM ws WHERE ws.week = w.week")}) x""")
 def q_render_script_weekly(spark, sf_dir):
-    """R1 per ISO week in one job (rows-only: one document per week)."""
+    """R1 per ISO week in one job, one document a week."""
     return render_script(_selection(spark, sf_dir, week=True), ["week"])
 
 
-@register("flag_duplicates_pages")
+@register("flag_counts_pages", f"SELECT method, count(*) AS rows FROM ({_walk_sql(PAGES, True)}) w GROUP BY method")
+def q_flag_counts_pages(spark, sf_dir):
+    """E4 over J3 on pages."""
+    return FG.flag_counts(FG.flag_duplicates(pages_articles(spark, sf_dir), similar=True))
+
+
+@register("flag_duplicates_pages", _walk_sql(PAGES, True))
 def q_flag_duplicates_pages(spark, sf_dir):
     """J3 over the pages adapter (HTML titles, URLs with queries and fragments)."""
     return FG.flag_duplicates(pages_articles(spark, sf_dir), similar=True) \
