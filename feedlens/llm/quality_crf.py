@@ -192,8 +192,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, longest: i
     (features of those lines) bounded too."""
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q1")).where("q = q1"))
-    text = docs.select("doc_id", text_of().alias("text")).where(F.length("text") <= longest)
-    joined = known.join(text, "doc_id").select("q", "text", F.xxhash64("doc_id").alias("h"))
+    short = docs.select("doc_id", F.length(text_of()).alias("chars")).where(F.col("chars") <= longest).select("doc_id").distinct()
+    ids = known.join(short, "doc_id").select("doc_id", "q", F.xxhash64("doc_id").alias("h"))
+    chosen = [ids.where(F.col("q") == q).orderBy("h").limit(most) for q in (0, 1)]
+    texts = docs.select("doc_id", text_of().alias("text")).where(F.length("text") <= longest)
+    sample = texts.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")  # at most 2 * most ids
+    sample = sample.orderBy("h", F.xxhash64("text")).limit(2 * most)  # should ids repeat
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -202,8 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, longest: i
             rows = [x[e - c:e].tobytes() for c, e in zip(count, ends)]
             yield pa.RecordBatch.from_arrays([b.column("q"), b.column("h"), pa.array(rows, pa.binary())], ["q", "h", "x"])
 
-    sample = [joined.where(F.col("q") == q).orderBy("h", "text").limit(most) for q in (0, 1)]
-    got = sample[0].unionAll(sample[1]).mapInArrow(features, "q int, h long, x binary").toPandas()
+    got = sample.select("q", "h", "text").mapInArrow(features, "q int, h long, x binary").toPandas()
     got = got.sort_values(["q", "h"], kind="stable")
     parts = [np.frombuffer(b, np.float32).reshape(-1, 3 * _OWN + 1) for b in got["x"]]
     if not parts:
