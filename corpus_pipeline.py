@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm.byte_bpe import decode, encode, public_vocabulary
+from feedlens.llm.byte_bpe import encode, public_vocabulary
 from feedlens.llm.common import table
 from feedlens.llm.line_dedup import dedup_lines
 from feedlens.llm.mixing import mix
@@ -50,7 +50,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = public_vocabulary(VOCABULARY)
-    return decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks).select(
+    return encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

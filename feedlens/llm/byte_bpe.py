@@ -17,9 +17,11 @@ import base64
 import hashlib
 import heapq
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -33,10 +35,12 @@ SLOTS = 1 << 15
 #: Most entries of the dictionary of frequent words, and the bytes of a word
 #: that a higher-order fold encodes; the work of a fold grows with the square
 #: of the word, longer ones take ``merge_long``.
-DICTIONARY = 1 << 18
+DICTIONARY = 200_000
 FOLD_BYTES = 64
 #: Distinct words that a task counts before it hands them on.
-COUNTED = 400_000
+COUNTED = 300_000
+#: Text bytes that a worker handles at once.
+SLICE = 4 << 20
 _WORKER: dict = {}
 
 
@@ -107,7 +111,7 @@ def _count_words(pattern: str):
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())],
                                               ["word", "n"])
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             for t in b.column("text").to_pylist():
                 if t:
                     seen.update(find(t))
@@ -120,8 +124,12 @@ def _count_words(pattern: str):
 def _worker(spec):
     """The process's dictionary and ranks, read once from the broadcast."""
     if _WORKER.get("id") != spec.value["id"]:
-        _WORKER.update(id=spec.value["id"], ranks=read_ranks(spec.value["ranks"]),
-                       words=dict(zip(spec.value["words"], spec.value["ids"])))
+        top = pa.ipc.open_stream(spec.value["top"]).read_all().combine_chunks()
+        ends, flat = _lists(top.column("ids").combine_chunks())
+        one = list(range(int(flat.max()) + 1 if len(flat) else 0)).__getitem__  # one object per id
+        ids = [tuple(map(one, flat[s:e].tolist())) for s, e in zip(ends[:-1], ends[1:])]
+        words = (w.encode("latin-1").decode() for w in top.column("word").to_pylist())
+        _WORKER.update(id=spec.value["id"], ranks=read_ranks(spec.value["ranks"]), words=dict(zip(words, ids)))
     return _WORKER
 
 
@@ -130,8 +138,8 @@ def _look_up(spec, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, find = _worker(spec), regex.compile(pattern).findall
         known, ranks = w["words"], w["ranks"]
-        for b in slices(batches, "text"):
-            tokens, unknown = [], []
+        for b in slices(batches, "text", SLICE):
+            tokens, unknown, ends = array("i"), [], [0]
             for text in b.column("text").to_pylist():
                 ids: list[int] = []
                 new: dict[str, int] = {}
@@ -143,31 +151,65 @@ def _look_up(spec, pattern: str):
                         ids.append(-1 - new.setdefault(word, len(new)))
                     else:
                         ids.extend(merge_long(word.encode(), ranks))
-                tokens.append(ids)
+                tokens.extend(ids)
+                ends.append(len(tokens))
                 unknown.append([x.encode().decode("latin-1") for x in new])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(tokens, pa.list_(pa.int32())), pa.array(unknown, pa.list_(pa.string()))],
-                ["doc_id", "tokens", "unknown"])
+                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(tokens, np.int32))),
+                 pa.array(unknown, pa.list_(pa.string()))], ["doc_id", "tokens", "unknown"])
     return run
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for tokens, folded in zip(b.column("tokens").to_pylist(), b.column("folded").to_pylist()):
-            if folded:
-                ids: list[int] = []
-                for t in tokens:
-                    if t >= 0:
-                        ids.append(t)
-                    else:
-                        ids.extend(folded[-1 - t])
-                tokens = ids
-            out.append(tokens)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, flat values) of a list column, from 0."""
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.flatten().to_numpy(zero_copy_only=False)
+
+
+def fill_in(tokens: np.ndarray, ends: np.ndarray, fold_ends: np.ndarray, folded: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids): every place -1 - k of a document replaced by the ids of its k-th unknown word."""
+    word_ends, pool = _lists(folded)
+    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    gap = tokens < 0
+    word = fold_ends[doc[gap]] - 1 - tokens[gap]
+    size = np.ones(len(tokens), np.int64)
+    size[gap] = np.diff(word_ends)[word]
+    upto = np.concatenate([[0], np.cumsum(size)])
+    ids = np.empty(upto[-1], np.int32)
+    ids[upto[:-1][~gap]] = tokens[~gap]
+    n = size[gap]
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    ids[np.repeat(upto[:-1][gap], n) + step] = pool[np.repeat(word_ends[word], n) + step]
+    return upto[ends], ids
+
+
+def _joined(ids: np.ndarray, ends: np.ndarray, piece) -> pa.Array:
+    return pa.array([b"".join(map(piece, ids[s:e].tolist())) for s, e in zip(ends[:-1], ends[1:])], pa.binary())
+
+
+def _pieces(ranks_file: bytes):
+    return {i: p for p, i in read_ranks(ranks_file).items()}.__getitem__
+
+
+def _assemble(spec):
+    """Folded words back into their documents; with a rank file, decoded too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = _pieces(spec.value["ranks"]) if spec else None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                b = batch.slice(at, 1000)
+                ends, tokens = _lists(b.column("tokens"))
+                outer = b.column("folded")
+                fold_ends = outer.offsets.to_numpy() - outer.offsets.to_numpy()[0]
+                offsets, ids = fill_in(tokens, ends, fold_ends, outer.flatten())
+                out = [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+                if piece:
+                    out.append(_joined(ids, offsets, piece))
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][:len(out)])
+    return run
 
 
-def frequent_words(docs: DataFrame, ranks: Column, pattern: str, most: int = DICTIONARY) -> list:
+def frequent_words(docs: DataFrame, ranks: Column, pattern: str, most: int = DICTIONARY) -> pa.Table:
     """(word, ids) of the ``most`` most frequent words of the whole corpus, folded in Spark."""
     counted = (docs.select("text").mapInArrow(_count_words(pattern), "word string, n long")
                .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word"))
@@ -176,11 +218,12 @@ def frequent_words(docs: DataFrame, ranks: Column, pattern: str, most: int = DIC
     folded = checkpoint(top.repartition(parts).select("word", fold(F.col("word"), ranks).alias("ids")), "bpe-dictionary")
     rows = folded.toArrow()  # at most `most` short words
     discard(top, folded)
-    return list(zip((w.encode("latin-1").decode() for w in rows.column("word").to_pylist()), rows.column("ids").to_pylist()))
+    return rows
 
 
-def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTIONARY) -> DataFrame:
-    """One row per input row: doc_id, ids (array of int).
+def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTIONARY, decoded: bool = False) -> DataFrame:
+    """One row per input row: doc_id, ids (array of int), and with ``decoded``
+    the bytes that the ids decode to.
 
     Each match of ``pattern`` is encoded separately.  Null and empty texts have
     no ids; repeated rows are encoded each for itself; a null doc_id stays
@@ -191,13 +234,16 @@ def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTION
     table = read_ranks(ranks_file)
     literal = rank_map(table)
     top = frequent_words(docs, literal, pattern, most)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, top.schema) as out:
+        out.write_table(top)
+    data = sink.getvalue().to_pybytes()
     spec = spark.sparkContext.broadcast({  # the rank file (1 MB) and at most `most` words of at most FOLD_BYTES
-        "id": hashlib.sha256(ranks_file + repr(top[:100]).encode() + str(len(top)).encode()).hexdigest(),
-        "ranks": ranks_file, "words": [w for w, _ in top], "ids": [tuple(i) for _, i in top]})
+        "id": hashlib.sha256(ranks_file + data).hexdigest(), "ranks": ranks_file, "top": data})
     looked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
         _look_up(spec, pattern), "doc_id long, tokens array<int>, unknown array<string>")
     folded = looked.select("doc_id", "tokens", F.transform("unknown", lambda w: fold(w, literal)).alias("folded"))
-    return folded.mapInArrow(_assemble, "doc_id long, ids array<int>")
+    return folded.mapInArrow(_assemble(spec if decoded else None), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_file: bytes) -> DataFrame:
@@ -205,16 +251,16 @@ def decode(encoded: DataFrame, ranks_file: bytes) -> DataFrame:
     spec = encoded.sparkSession.sparkContext.broadcast(ranks_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = {i: p for p, i in read_ranks(spec.value).items()}.__getitem__
+        piece = _pieces(spec.value)
         for b in batches:
-            text = [b"".join(map(piece, ids)) for ids in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(text, pa.binary())], ["doc_id", "ids", "decoded"])
+            ends, ids = _lists(b.column("ids"))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), _joined(ids, ends, piece)], ["doc_id", "ids", "decoded"])
     return encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
 def bpe_report(docs: DataFrame, ranks_file: bytes, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256."""
-    return decode(encode(docs, ranks_file, pattern), ranks_file).select(
+    return encode(docs, ranks_file, pattern, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
