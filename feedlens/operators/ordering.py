@@ -50,13 +50,21 @@ def number_in_range(unique: DataFrame, start, end) -> DataFrame:
     """F1 restricted to a date range (C1), without numbering the whole table.
 
     In newest-first order every article published after the range precedes
-    every article inside it, and undated articles come last.  So numbering
-    only the articles published from the range start onward (a filter that
-    reaches the scan) gives the range its global numbers; for the usual
-    recent period that is a small slice of the table.
+    every article inside it, and undated articles come last.  So the articles
+    after the range are one count, and only those inside are sorted, by key
+    and order columns alone.  The filter is above the merge (the date is that
+    of a key's first arrival), so ``unique`` is computed once into a table that
+    holds of the newer articles nothing but the date.
     """
-    from .filters import day_bounds, filter_date_range
+    from .filters import day_bounds
 
-    lo, _ = day_bounds(start, end)
-    recent = unique.where(F.col("published_date") >= F.lit(lo).cast("timestamp_ntz"))
-    return filter_date_range(number_articles(recent), start, end)
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in day_bounds(start, end))
+    date = F.col("published_date")
+    slim = unique.where(date >= lo).select(*[
+        c if c == "published_date" else F.when(date < hi, F.col(c)).alias(c) for c in unique.columns])
+    recent = checkpoint(slim, "range")
+    newer = recent.where(date >= hi).agg(F.count(F.lit(1)).alias("_newer"))
+    inside = recent.where(date < hi)
+    keys = number_articles(inside.select("article_key", "published_date", "feed_no", "entry_no"))
+    numbers = keys.crossJoin(newer).select("article_key", (F.col("_newer") + F.col("number")).alias("number"))  # one-row side
+    return inside.join(numbers, "article_key").select(*unique.columns, "number")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dedup import merge_by_key
 from ..operators.filters import resolve_range
 from ..operators.ordering import number_articles
-from ..sources.sinks import write_documents, write_stage
+from ..sources.sinks import stage_path, write_articles, write_documents, write_stage
 from .jobs import DEFAULT_LEXICONS, Lexicons, digest_documents, period_profile, query_period
 
 
@@ -30,8 +30,10 @@ def run_digest(spark: SparkSession, raw: DataFrame, out_root: str, as_of, run_id
 
     out["raw"] = write_stage(raw, out_root, run_id, "raw", "entries")
     raw = spark.read.parquet(out["raw"])
-    out["unique"] = write_stage(number_articles(merge_by_key(raw)), out_root, run_id, "raw", "articles")
-    numbered = spark.read.parquet(out["unique"])
+    folder = stage_path(out_root, run_id, "raw")
+    write_articles(number_articles(merge_by_key(raw)), folder)
+    out["unique"] = f"{folder}/articles"
+    numbered = spark.read.parquet(out["unique"]).drop("published_day")
 
     queried = query_period(numbered, start_d, end_d)
     out["processed"] = write_stage(queried, out_root, run_id, "processed", "articles")

@@ -3,15 +3,14 @@
 Feeds are read with Spark's XML source at ``rowTag='channel'`` (RSS) or
 ``'feed'`` (Atom) with explicit schemas; the entry array is exploded with its
 position so arrival order is kept.  A malformed document yields a row with
-``_corrupt_record`` (counted, never fatal), like a lenient feed parser that
-warns and continues.  Landed files are named ``<feed_no>-<anything>.xml`` so
-each file maps to its registry row.
+``_corrupt_record`` (counted, never fatal) and the entries read before the
+defect, like a lenient feed parser that warns and continues.  A landed file
+names its registry row by a folder ``feed_no=<n>`` or a file name
+``<n>-<anything>.xml``; without either the number is NULL.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +31,7 @@ RSS_SCHEMA = T.StructType([
     T.StructField("title", S), T.StructField("description", S),
     T.StructField("item", T.ArrayType(T.StructType([
         T.StructField("title", S), T.StructField("link", S), T.StructField("pubDate", S),
+        T.StructField("updated", S), T.StructField("atom:updated", S), T.StructField("dc:date", S),
         T.StructField("content:encoded", S), T.StructField("description", S),
         T.StructField("summary", S)]))),
     T.StructField("_corrupt_record", S),
@@ -64,8 +64,10 @@ def read_feed_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _feed_no_from_path() -> Column:
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return F.regexp_extract(name, r"^(\d+)", 1).cast("int")
+    path = F.col("_metadata.file_path")
+    number = F.coalesce(F.regexp_extract(path, r"/feed_no=(\d+)/", 1).try_cast("int"),
+                        F.regexp_extract(path, r"/(\d+)[^/]*$", 1).try_cast("int"))
+    return number
 
 
 def parse_rfc822(col: Column) -> Column:
@@ -85,7 +87,8 @@ def read_feeds(spark: SparkSession, path: str, fmt: str = "rss") -> DataFrame:
     entries (array) and the corrupt-record text when the XML is malformed."""
     tag, schema = ("channel", RSS_SCHEMA) if fmt == "rss" else ("feed", ATOM_SCHEMA)
     raw = (spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).load(path))
+           .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True)
+           .schema(schema).load(path))
     feed_no = _feed_no_from_path()
     if fmt == "rss":
         return raw.select(feed_no.alias("feed_no"),
@@ -101,15 +104,15 @@ def read_feeds(spark: SparkSession, path: str, fmt: str = "rss") -> DataFrame:
 def extract_entries(feeds: DataFrame, as_of, fmt: str = "rss") -> DataFrame:
     """A3: entries -> articles.  Title defaults to 'No title available'; the
     date is published, else updated, else ``as_of``; content is the encoded
-    content, else summary/description, cleaned (B1)."""
-    ok = feeds.where(F.col("_corrupt_record").isNull())
-    e = ok.select("feed_no", F.posexplode_outer("entries").alias("entry_no", "e")) \
+    content, else summary/description, cleaned (B1).  Entries of a malformed
+    document that were read before the defect count."""
+    e = feeds.select("feed_no", F.posexplode_outer("entries").alias("entry_no", "e")) \
           .where(F.col("e").isNotNull())
     as_of_ts = F.lit(str(as_of)).cast("timestamp_ntz")
     if fmt == "rss":
         title = F.col("e.title")
         url = F.col("e.link")
-        published = parse_rfc822(F.col("e.pubDate"))
+        published = F.coalesce(*[parse_rfc822(F.col(f"e.`{c}`")) for c in ("pubDate", "updated", "atom:updated", "dc:date")])
         content = F.coalesce(F.col("e.`content:encoded`"), F.col("e.summary"), F.col("e.description"),
                              F.lit(""))
     else:
@@ -134,7 +137,3 @@ def corrupt_feed_count(feeds: DataFrame) -> DataFrame:
     return feeds.agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("malformed_feeds"),
                      F.count("entries").alias("feeds_with_entries"),
                      F.count(F.lit(1)).alias("feed_documents"))
-
-
-def now_utc() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)

@@ -1,9 +1,9 @@
 """A4: read existing plain-text article reports back into rows.
 
 A report is a header followed by article blocks separated by a rule of '='
-characters (70 in ingest reports, 60 in filtered reports).  Spark's text source
-splits on the rule itself (multi-character ``lineSep``), so every block is one
-record and the parse is a set of per-record regex extractions: no driver-side
+characters at a line's start (70 in ingest reports, 60 in filtered reports).
+Spark's text source splits on line break and rule (multi-character
+``lineSep``), so every block is one record and the parse is a set of per-record regex extractions: no driver-side
 line loop, splittable across files.
 """
 
@@ -27,17 +27,18 @@ def read_article_report(spark: SparkSession, path: str, filtered: bool = False)
     """Rows of (number, title, url, [source,] published_date, occurrences,
     [content_length,] content).  Unparsable dates are NULL; a bad content
     length is 0; empty fields are NULL."""
-    rule = FILTERED_RULE if filtered else INGEST_RULE
+    rule = "\n" + (FILTERED_RULE if filtered else INGEST_RULE)
     blocks = spark.read.option("lineSep", rule).text(path)
     art = blocks.where(F.col("value").rlike(r"(?m)^[ \t]*Article \S+[ \t]*\r?\n[^\n]*" + _DASHES))
-    content_tail = F.regexp_extract("value", r"(?s)\n[ \t]*Content: (.*)$", 1)
+    # content runs to the end of its block or to a line that starts with '='
+    content_tail = F.regexp_extract("value", r"(?s)\n[ \t]*Content: (.*?)(?:\n[ \t]*=.*)?\z", 1)
     content = strip_ws(F.array_join(F.transform(F.split(content_tail, r"\r?\n"), lambda l: strip_ws(l)), " "))
 
     def nz(c):
         return F.when(c != "", c)
 
     cols = [
-        F.regexp_extract("value", r"(?m)^[ \t]*Article (\S+)", 1).cast("long").alias("number"),
+        F.regexp_extract("value", r"(?m)^[ \t]*Article (\S+)", 1).try_cast("long").alias("number"),
         nz(_field("Title")).alias("title"),
         nz(_field("URL")).alias("url"),
     ]

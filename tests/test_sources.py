@@ -52,6 +52,16 @@ def test_atom(spark, tmpdir_path):
     assert rows[1].content == "body"
 
 
+def test_entries_before_a_defect_are_kept(spark, tmpdir_path):
+    good = "<item><title>good</title><link>https://a/1</link><dc:date>2024-01-07T10:00:00Z</dc:date></item>"
+    with open(os.path.join(tmpdir_path, "unnumbered.xml"), "w") as f:
+        f.write(f"<rss><channel><title>t</title>{good}<item><title>raw & sign</title></item></channel></rss>")
+    feeds = read_feeds(spark, tmpdir_path)
+    assert corrupt_feed_count(feeds).collect()[0].malformed_feeds == 1
+    rows = extract_entries(feeds, "2024-01-16 00:00:00").collect()
+    assert [(r.feed_no, r.title, r.published_date) for r in rows] == [(None, "good", dt.datetime(2024, 1, 7, 10))]
+
+
 def test_registry(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "sources.txt")
     with open(p, "w") as f:
@@ -77,3 +87,13 @@ def test_report_reader(spark, tmpdir_path):
         (1, "First one", "https://x.com/1", 2), (2, "Second", "https://x.com/2", 1)]
     assert rows[0].content == "Some text here more lines"
     assert rows[0].published_date == dt.datetime(2024, 1, 5, 10) and rows[1].published_date is None
+
+
+def test_report_rules_count_at_line_start_only(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "r.txt")
+    with open(p, "w") as f:
+        f.write(REPORT.replace("Some text here", "before " + "=" * 75 + " after the rule").replace("more lines", "more\n== end\nnot content")
+                .replace("Article 2", "Article x"))
+    rows = {r.title: r for r in read_article_report(spark, p).collect()}
+    assert rows["First one"].content == "before " + "=" * 75 + " after the rule more"
+    assert rows["Second"].number is None and rows["Second"].content == "Other"
