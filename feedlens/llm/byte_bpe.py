@@ -8,7 +8,8 @@ held as the characters U+0000 to U+00FF.
 
 Words are encoded once where they are distinct: the corpus's most frequent
 words (a bounded dictionary, which decides nothing but the cost) once in all,
-the others once per document.  Decoding concatenates the pieces' bytes.
+the others once per slice, a run of documents of about ``SLICE`` text bytes
+that travels as one row.  Decoding concatenates the pieces' bytes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,16 +34,18 @@ from pyspark.sql import functions as F
 from feedlens.llm.common import let, slices, text_of
 from feedlens.session import checkpoint, discard
 
-SLOTS = 1 << 15
-#: Most entries of the dictionary of frequent words, and the bytes of a word
-#: that a higher-order fold encodes; the work of a fold grows with the square
-#: of the word, longer ones take ``merge_long``.
-DICTIONARY = 200_000
+#: Places of each half of the rank map.
+SLOTS = 1 << 16
+#: Most entries of the dictionary of frequent words and most bytes of each: it
+#: is broadcast, at about 30 bytes an entry and 110 at worst.
+DICTIONARY, DICTIONARY_BYTES = 1_000_000, 24
+#: Bytes of a word that a higher-order fold encodes; the work of a fold grows
+#: with the square of the word, longer ones take ``merge_long``.
 FOLD_BYTES = 64
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 300_000
 #: Text bytes that a worker handles at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 _WORKER: dict = {}
 
 
@@ -49,19 +54,44 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The literal rank map: slot ``xxhash64(piece) mod SLOTS`` holds the ranks of its pieces."""
-    table: list[dict[str, int]] = [{} for _ in range(SLOTS)]
-    for piece, rank in ranks.items():
-        s = piece.decode("latin-1")
-        table[xxhash.xxh64_intdigest(s.encode(), seed=42) % (1 << 64) % SLOTS][s] = rank
-    return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
-
-
-def fold(word: Column, ranks: Column) -> Column:
+def rank_map(ranks: dict[bytes, int]) -> tuple[Column, ...]:
+    """The literal rank map: (hashes, ranks) by the low bits of a piece's hash,
+    (hashes, ranks) by its high bits.  Pieces are told apart by 64-bit hashes,
+    which are checked to differ."""
+    hashed = {xxhash.xxh64_intdigest(p.decode("latin-1").encode(), seed=42): r for p, r in ranks.items()}
+    if len(hashed) < len(ranks):
+        raise ValueError("two pieces share a hash")
+    tables: list[dict[int, int]] = [{}, {}]
+    place = (lambda h: h % SLOTS, lambda h: (h >> 32) % SLOTS)
+    for h in hashed:
+        side, moves = 0, 0
+        while True:
+            at = place[side](h)
+            h, tables[side][at] = tables[side].get(at), h
+            if h is None:
+                break
+            side, moves = 1 - side, moves + 1
+            if moves > 1000:
+                raise ValueError("SLOTS is too small for the ranks")
+    def literal(values, kind: str) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(kind)
+    out = []
+    for t in tables:
+        keys = [t.get(k, 0) for k in range(SLOTS)]
+        out += [literal((h - (1 << 64) if h >> 63 else h for h in keys), "array<bigint>"),
+                literal((hashed.get(h, -1) if k in t else -1 for k, h in enumerate(keys)), "array<int>")]
+    return tuple(out)
+
+
+def fold(word: Column, ranks: tuple[Column, ...]) -> Column:
     """Ids of a word given as a latin-1 string of its bytes."""
     def rank(s: Column) -> Column:
-        return F.element_at(F.get(ranks, F.expr("0") + F.xxhash64(s).bitwiseAND(F.lit(SLOTS - 1)).cast("int")), s)
+        def at(h: Column) -> Column:
+            low = h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+            high = F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+            return (F.when((F.get(ranks[0], low) == h) & (F.get(ranks[1], low) >= 0), F.get(ranks[1], low))
+                    .when((F.get(ranks[2], high) == h) & (F.get(ranks[3], high) >= 0), F.get(ranks[3], high)))
+        return let(F.xxhash64(s), at)
 
     def merge(parts: Column) -> Column:
         def best(r: Column) -> Column:
@@ -101,62 +131,119 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
+def chunked(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(ends, codes, chunks): text ``i`` is the concatenation of
+    ``chunks[codes[ends[i]:ends[i + 1]]]``, distinct strings cut before single
+    spaces between two characters that are not white space.  No match of the
+    pattern reaches over such a cut: a space only ever starts one there.  A
+    text with any other space is one chunk."""
+    lists = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")
+    ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
+    coded = lists.flatten().dictionary_encode()
+    parts, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    opens = np.array([not p or p[0].isspace() for p in parts], bool)
+    closes = np.array([not p or p[-1].isspace() for p in parts], bool)
+    head = np.zeros(len(code), bool)
+    head[ends[:-1]] = True
+    bad = np.zeros(len(code), bool)
+    bad[1:] = ~head[1:] & (opens[code[1:]] | closes[code[:-1]])
+    whole = np.add.reduceat(bad, ends[:-1]) > 0 if len(code) else np.zeros(0, bool)
+    used, code = np.unique(code * 2 + head, return_inverse=True)
+    chunks = [parts[c >> 1] if c & 1 else " " + parts[c >> 1] for c in used.tolist()]
+    if not whole.any():
+        return ends, code, chunks
+    runs = [code[s:e] for s, e in zip(ends[:-1], ends[1:])]
+    for k in np.flatnonzero(whole):
+        runs[k] = np.array([len(chunks)])
+        chunks.append(texts[int(k)].as_py())
+    return np.concatenate([[0], np.cumsum([len(r) for r in runs])]), np.concatenate(runs), chunks
+
+
 def _count_words(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, seen = regex.compile(pattern).findall, Counter()
 
         def out():
             part = [(w.encode().decode("latin-1"), n) for w, n in seen.items()]
-            part = [x for x in part if len(x[0]) <= FOLD_BYTES]
+            part = [x for x in part if len(x[0]) <= DICTIONARY_BYTES]
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())],
                                               ["word", "n"])
         for b in slices(batches, "text", SLICE):
-            for t in b.column("text").to_pylist():
-                if t:
-                    seen.update(find(t))
-                    if len(seen) > COUNTED:
-                        yield out()
+            _, codes, chunks = chunked(b.column("text"))
+            for chunk, n in zip(chunks, np.bincount(codes, minlength=len(chunks)).tolist()):
+                for w in find(chunk):
+                    seen[w] += n
+            if len(seen) > COUNTED:
+                yield out()
         yield out()
     return run
 
 
 def _worker(spec):
-    """The process's dictionary and ranks, read once from the broadcast."""
+    """The process's ranks, read once from the broadcast."""
     if _WORKER.get("id") != spec.value["id"]:
-        top = pa.ipc.open_stream(spec.value["top"]).read_all().combine_chunks()
-        ends, flat = _lists(top.column("ids").combine_chunks())
-        one = list(range(int(flat.max()) + 1 if len(flat) else 0)).__getitem__  # one object per id
-        ids = [tuple(map(one, flat[s:e].tolist())) for s, e in zip(ends[:-1], ends[1:])]
-        words = (w.encode("latin-1").decode() for w in top.column("word").to_pylist())
-        _WORKER.update(id=spec.value["id"], ranks=read_ranks(spec.value["ranks"]), words=dict(zip(words, ids)))
-    return _WORKER
+        _WORKER.update(id=spec.value["id"], ranks=read_ranks(spec.value["ranks"]))
+    return _WORKER["ranks"]
+
+
+def gather(pool: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, values) of the runs ``pool[ends[c]:ends[c + 1]]`` of all ``codes`` in order."""
+    n = np.diff(ends)[codes]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    return upto, pool[np.repeat(ends[:-1][codes] - upto[:-1], n) + np.arange(upto[-1])]
+
+
+def _hash(words: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, object), categorize=False) if words else np.zeros(0, np.uint64)
+
+
+def word_tokens(words: list[str], spec, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(ends, tokens, unknown): ids of each distinct word by the dictionary (64-bit
+    hashes), of a long word by ``merge_long``, and -1 - k for the k-th other one."""
+    keys, key_ends, key_ids = spec.value["keys"], spec.value["ends"], spec.value["ids"]
+    hashed = _hash(words)
+    at = np.minimum(np.searchsorted(keys, hashed), max(0, len(keys) - 1))
+    known = keys[at] == hashed if len(keys) else np.zeros(len(words), bool)
+    unknown, extra, extra_ends = [], array("i"), [0]
+    for k in np.flatnonzero(~known).tolist():
+        word = words[k].encode()
+        if len(word) <= FOLD_BYTES:
+            extra.append(-1 - len(unknown))
+            unknown.append(word.decode("latin-1"))
+        else:
+            extra.extend(merge_long(word, ranks))
+        extra_ends.append(len(extra))
+    pool = np.concatenate([key_ids, np.frombuffer(extra, np.int32) if len(extra) else np.zeros(0, np.int32)])
+    ends = np.concatenate([key_ends, len(key_ids) + np.array(extra_ends[1:], np.int64)])
+    codes = at.copy()
+    codes[~known] = len(keys) + np.arange(int((~known).sum()))
+    ends, tokens = gather(pool, ends.astype(np.int64), codes)
+    return ends, tokens, unknown
 
 
 def _look_up(spec, pattern: str):
-    """Text to (tokens, unknown): ids of known words, -1 - k for the k-th unknown word."""
+    """A row per slice: its doc_ids, the ends of their tokens, the tokens (ids of
+    known words, -1 - k for the k-th unknown word) and the unknown words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, find = _worker(spec), regex.compile(pattern).findall
-        known, ranks = w["words"], w["ranks"]
+        ranks, find = _worker(spec), regex.compile(pattern).findall
         for b in slices(batches, "text", SLICE):
-            tokens, unknown, ends = array("i"), [], [0]
-            for text in b.column("text").to_pylist():
-                ids: list[int] = []
-                new: dict[str, int] = {}
-                for word in find(text or ""):
-                    got = known.get(word)
-                    if got is not None:
-                        ids.extend(got)
-                    elif len(word) <= FOLD_BYTES and len(word.encode()) <= FOLD_BYTES:
-                        ids.append(-1 - new.setdefault(word, len(new)))
-                    else:
-                        ids.extend(merge_long(word.encode(), ranks))
-                tokens.extend(ids)
-                ends.append(len(tokens))
-                unknown.append([x.encode().decode("latin-1") for x in new])
+            ends, codes, chunks = chunked(b.column("text"))
+            index: dict[str, int] = {}
+            of, upto = array("i"), [0]
+            for chunk in chunks:
+                for word in find(chunk):
+                    of.append(index.setdefault(word, len(index)))
+                upto.append(len(of))
+            word_ends, tokens, unknown = word_tokens(list(index), spec, ranks)
+            part_ends, words = gather(np.frombuffer(of, np.int32) if len(of) else np.zeros(0, np.int32), np.array(upto), codes)
+            total, tokens = gather(tokens, word_ends, words)
+            one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+            ids = b.column("doc_id")
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(tokens, np.int32))),
-                 pa.array(unknown, pa.list_(pa.string()))], ["doc_id", "tokens", "unknown"])
+                [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays([ids])),
+                 one(total[part_ends[ends]].astype(np.int32), pa.int32()), one(tokens, pa.int32()), one(unknown, pa.string())],
+                ["doc_ids", "ends", "tokens", "unknown"])
     return run
 
 
@@ -166,12 +253,11 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], column.flatten().to_numpy(zero_copy_only=False)
 
 
-def fill_in(tokens: np.ndarray, ends: np.ndarray, fold_ends: np.ndarray, folded: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, ids): every place -1 - k of a document replaced by the ids of its k-th unknown word."""
+def fill_in(tokens: np.ndarray, ends: np.ndarray, folded: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids): every -1 - k replaced by the ids of the k-th unknown word."""
     word_ends, pool = _lists(folded)
-    doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     gap = tokens < 0
-    word = fold_ends[doc[gap]] - 1 - tokens[gap]
+    word = -1 - tokens[gap]
     size = np.ones(len(tokens), np.int64)
     size[gap] = np.diff(word_ends)[word]
     upto = np.concatenate([[0], np.cumsum(size)])
@@ -196,20 +282,17 @@ def _assemble(spec):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = _pieces(spec.value["ranks"]) if spec else None
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                b = batch.slice(at, 1000)
-                ends, tokens = _lists(b.column("tokens"))
-                outer = b.column("folded")
-                fold_ends = outer.offsets.to_numpy() - outer.offsets.to_numpy()[0]
-                offsets, ids = fill_in(tokens, ends, fold_ends, outer.flatten())
-                out = [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+            for row in range(batch.num_rows):
+                docs, ends, tokens, folded = (batch.column(c)[row].values for c in ("doc_ids", "ends", "tokens", "folded"))
+                offsets, ids = fill_in(tokens.to_numpy(), ends.to_numpy(), folded)
+                out = [docs, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
                 if piece:
                     out.append(_joined(ids, offsets, piece))
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][:len(out)])
     return run
 
 
-def frequent_words(docs: DataFrame, ranks: Column, pattern: str, most: int = DICTIONARY) -> pa.Table:
+def frequent_words(docs: DataFrame, ranks: tuple[Column, ...], pattern: str, most: int = DICTIONARY) -> pa.Table:
     """(word, ids) of the ``most`` most frequent words of the whole corpus, folded in Spark."""
     counted = (docs.select("text").mapInArrow(_count_words(pattern), "word string, n long")
                .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word"))
@@ -234,15 +317,16 @@ def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTION
     table = read_ranks(ranks_file)
     literal = rank_map(table)
     top = frequent_words(docs, literal, pattern, most)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, top.schema) as out:
-        out.write_table(top)
-    data = sink.getvalue().to_pybytes()
-    spec = spark.sparkContext.broadcast({  # the rank file (1 MB) and at most `most` words of at most FOLD_BYTES
-        "id": hashlib.sha256(ranks_file + data).hexdigest(), "ranks": ranks_file, "top": data})
+    keys = _hash([w.encode("latin-1").decode() for w in top.column("word").to_pylist()])
+    order = np.argsort(keys)
+    own_ends, own_ids = _lists(top.column("ids").combine_chunks()) if len(keys) else (np.zeros(1, np.int64), np.zeros(0, np.int32))
+    ends, ids = gather(own_ids.astype(np.int32), own_ends.astype(np.int64), order)
+    spec = spark.sparkContext.broadcast({  # the rank file (1 MB) and the dictionary (its bound above)
+        "id": hashlib.sha256(ranks_file).hexdigest(), "ranks": ranks_file, "keys": keys[order], "ends": ends, "ids": ids})
+    del top, own_ids
     looked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
-        _look_up(spec, pattern), "doc_id long, tokens array<int>, unknown array<string>")
-    folded = looked.select("doc_id", "tokens", F.transform("unknown", lambda w: fold(w, literal)).alias("folded"))
+        _look_up(spec, pattern), "doc_ids array<long>, ends array<int>, tokens array<int>, unknown array<string>")
+    folded = looked.select("doc_ids", "ends", "tokens", F.transform("unknown", lambda w: fold(w, literal)).alias("folded"))
     return folded.mapInArrow(_assemble(spec if decoded else None), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
