@@ -1,6 +1,7 @@
+import math
 import random
 
-from feedlens.operators.flagging import flag_duplicates
+from feedlens.operators.flagging import duplicate_rules, flag_duplicates
 from feedlens.operators.similarity import similar_pairs, similar_pairs_bruteforce
 from feedlens.schema import ARTICLES
 
@@ -33,14 +34,17 @@ def test_exact_rules_match_sequential_walk(spark):
     rng = random.Random(7)
     for n in (5, 12, 24):
         rows = _random_rows(rng, n)
-        assert _flags(spark, rows, False) == pyref.sequential_flags(rows, similar=False)
+        assert _flags(spark, rows, False) == pyref.walked_flags(_df(spark, rows))
 
 
 def test_similar_rule_matches_sequential_walk(spark):
     rng = random.Random(11)
     for n in (6, 16):
         rows = _random_rows(rng, n)
-        assert _flags(spark, rows, True) == pyref.sequential_flags(rows, similar=True)
+        df = _df(spark, rows)
+        strings = duplicate_rules(df).select("a", "b").collect()
+        pairs = similar_pairs_bruteforce([r.a for r in strings], [r.b for r in strings])
+        assert _flags(spark, rows, True) == pyref.walked_flags(df, pairs)
 
 
 def test_not_transitive_chain(spark):
@@ -79,6 +83,50 @@ def test_similarity_join_lossless_vs_bruteforce(spark):
     assert got == similar_pairs_bruteforce(values, values[::2])
 
 
+HARD = ("abcudefvghiwjklxmnyopzqrst", "abcdefghijklmnopqr\u03b1st")  # ratio 0.851, few shared trigrams
+
+
+def test_similarity_at_the_least_overlap(spark):
+    """Scattered edits leave as few shared trigrams as the threshold allows;
+    one pair or more for every length of the short and gram paths."""
+    rng = random.Random(13)
+    a_vals, b_vals = [HARD[0], HARD[1]], [HARD[1], HARD[0]]
+    for n in [*range(1, 40), 46, 47, 60, 75, 120, 199, 200, 230]:
+        for _ in range(4):
+            x = [chr(0x4E00 + rng.randrange(3000)) for _ in range(n)]
+            y = list(x)
+            edits = max(1, math.floor(0.3 * n * rng.choice([0.8, 1.0])))
+            for k in range(edits):  # evenly spread insertions and deletions
+                at = min(len(y) - 1, (k * len(y)) // edits) if y else 0
+                if rng.random() < 0.5 and y:
+                    y.pop(at)
+                else:
+                    y.insert(at, chr(0x3042 + k))
+            a_vals += ["".join(x), "".join(y)]
+            b_vals += ["".join(y), "".join(x)]
+    a_vals += ["aab", "abc", "aaaaaaa", "bca"]
+    b_vals += ["aba", "cab", "aaaaaab", "abcd"]
+    got = {(r.a, r.b) for r in similar_pairs(spark.createDataFrame([(v,) for v in a_vals], "a string"),
+                                             spark.createDataFrame([(v,) for v in b_vals], "b string")).collect()}
+    expected = similar_pairs_bruteforce(a_vals, b_vals)
+    assert got == expected and HARD in expected and len(expected) > 150
+
+
+def test_hard_pair_is_flagged(spark):
+    rows = [{"feed_no": 0, "entry_no": k, "url": f"https://x.com/{k}", "title": t, "content": f"c{k}"} for k, t in enumerate(HARD[::-1])]
+    assert _flags(spark, rows, True) == {(0, 0): "new", (0, 1): "similar_title"}
+
+
+def test_lowest_bound_is_an_envelope(spark):
+    from pyspark.sql import functions as F
+
+    from feedlens.operators.similarity import lowest_bound, overlap_bound
+    s = F.col("id")
+    rows = spark.range(2, 6000).select(lowest_bound(s, 0.85, 3).alias("low"), overlap_bound(s, 0.85, 3).alias("need")).collect()
+    assert all(r.low <= r.need for r in rows)
+    assert all(x.low <= y.low for x, y in zip(rows, rows[1:]))
+
+
 def test_partition_invariance(spark):
     rows = _random_rows(random.Random(3), 20)
     before = spark.conf.get("spark.sql.shuffle.partitions")

