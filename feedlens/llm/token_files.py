@@ -9,6 +9,7 @@ doc_id, n_tokens, ids.
 
 from __future__ import annotations
 
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,9 +30,11 @@ WRITE_OPTIONS = {
     "parquet.page.row.count.limit": "500",
 }
 #: Words whose ids a worker remembers: seen again since they were new, and new.
-OLD_WORDS, NEW_WORDS = 200_000, 150_000
+OLD_WORDS, NEW_WORDS = 250_000, 200_000
 #: Marks that form a token run of their own after an ASCII letter or digit.
-TAIL = ".,!?;:"
+TAIL = string.punctuation.replace("'", "")
+#: Text bytes that a worker handles at once.
+SLICE = 4 << 20
 _WORKER: dict = {}
 
 
@@ -113,7 +116,7 @@ def _encoder(spec, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _tokenizer(spec)
         before = 0
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             offsets, ids = encode_texts(b.column("text"), cache, end_id)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(before + offsets[:-1]), b.column("doc_id"), pa.array(np.diff(offsets)),
