@@ -504,8 +504,7 @@ from ..operators.similarity import similar_pairs  # noqa: E402
 def _rules_sql(adapter: str) -> str:
     t = O.normalize_title("title")
     return f"""
-SELECT feed_no, entry_no, CAST(feed_no AS BIGINT) * 1099511627776 + entry_no AS seq,
-       {O.normalize_url('url')} AS u, {t} AS t, {O.content_hash('content')} AS h,
+SELECT feed_no, entry_no, {O.normalize_url('url')} AS u, {t} AS t, {O.content_hash('content')} AS h,
        CASE WHEN title IS NOT NULL AND title <> '' THEN coalesce({t}, '') END AS a,
        CASE WHEN {t} IS NOT NULL THEN coalesce({O.normalize_title(t)}, '') END AS b
 FROM ({adapter}) x"""
@@ -549,7 +548,7 @@ FROM walk w JOIN r USING (i)"""
 @register("duplicate_rules", f"SELECT * FROM ({_rules_sql(DOCS)}) x")
 def q_duplicate_rules(spark, sf_dir):
     """Rule keys per row (url, title, content hash) and similarity strings."""
-    return FG.duplicate_rules(documents_articles(spark, sf_dir))
+    return FG.duplicate_rules(documents_articles(spark, sf_dir)).drop("seq")
 
 
 @register("flag_duplicates_exact", _walk_sql(DOCS))
