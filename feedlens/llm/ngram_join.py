@@ -192,23 +192,27 @@ def _survivors(percent: int, nearest: int | None):
     Rows come sorted by (token, low, high); a group has at most about two
     blocks.  With ``nearest`` only the closest few of each member.
     """
+    def admitted(g: dict, i, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the pairs (i, j) may reach the threshold, their bitmap distances)."""
+        s, t = g["n"][i], g["n"][j]
+        least = -(-percent * (s + t) // (100 + percent))  # overlap that a pair needs
+        bound = np.minimum(g["pos"][i], g["pos"][j]) + np.minimum(s - g["pos"][i], t - g["pos"][j])
+        rows = np.flatnonzero((g["label"][i] != g["label"][j]) & (bound >= least)
+                              & (100 * np.minimum(s, t) >= percent * np.maximum(s, t)))
+        x = g["bitmap"][i] if np.ndim(i) == 0 else g["bitmap"][i[rows]]
+        far = np.bitwise_count(g["bitmap"][j[rows]] ^ x).sum(axis=1, dtype=np.int64)
+        ok = ((s + t)[rows] - far) // 2 >= least[rows]
+        return rows[ok], far[ok]
+
     def pairs(g: dict) -> Iterator[tuple]:
-        m = len(g["sig"])
-        for i in range(m):
-            j = np.arange(i + 1, m) if g["low"][i] == g["high"][i] else np.flatnonzero(g["block"] != g["block"][i])
-            if g["low"][i] != g["high"][i] and g["block"][i] != g["low"][i]:
-                continue
-            s, t = g["n"][i], g["n"][j]
-            least = -(-percent * (s + t) // (100 + percent))  # overlap that the pair needs
-            bound = np.minimum(g["pos"][i], g["pos"][j]) + 1 + np.minimum(s - g["pos"][i], t - g["pos"][j]) - 1
-            j = j[(g["label"][j] != g["label"][i]) & (bound >= least) & (100 * np.minimum(s, t) >= percent * np.maximum(s, t))]
-            if not len(j):
+        for i in range(len(g["sig"])):
+            one_block = g["low"][i] == g["high"][i]
+            if not one_block and g["block"][i] != g["low"][i]:
                 continue
-            far = np.bitwise_count(g["bitmap"][j] ^ g["bitmap"][i]).sum(axis=1, dtype=np.int64)
-            t = g["n"][j]
-            ok = (s + t - far) // 2 >= -(-percent * (s + t) // (100 + percent))
-            if ok.any():
-                yield i, j[ok], far[ok]
+            j = np.arange(i + 1, len(g["sig"])) if one_block else np.flatnonzero(g["block"] != g["block"][i])
+            rows, far = admitted(g, i, j)
+            if len(rows):
+                yield i, j[rows], far
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
@@ -216,8 +220,18 @@ def _survivors(percent: int, nearest: int | None):
             g["n"], g["pos"] = g["n"].astype(np.int64), g["pos"].astype(np.int64)
             g["bitmap"] = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(len(g["sig"]), BITMAP // 64)
             start = np.flatnonzero(np.concatenate([[True], np.diff(t.column("group").to_numpy()) != 0]))
+            end = np.append(start[1:], len(g["sig"]))
             out = []
-            for a, b in zip(start, np.append(start[1:], len(g["sig"]))):
+            i = start[end - start == 2]  # most groups: all at once
+            j = i + 1
+            here = (g["low"][i] == g["high"][i]) | (g["block"][i] != g["block"][j])
+            i, j = i[here], j[here]
+            rows, _ = admitted(g, i, j)
+            i, j = i[rows], j[rows]
+            if len(i):
+                out.append((np.minimum(g["sig"][i], g["sig"][j]), np.maximum(g["sig"][i], g["sig"][j]),
+                            np.minimum(g["ell"][i], g["ell"][j])))
+            for a, b in zip(start[end - start > 2], end[end - start > 2]):
                 one = {k: v[a:b] for k, v in g.items()}
                 found = [(np.full(len(j), i), j, far) for i, j, far in pairs(one)]
                 if not found:
