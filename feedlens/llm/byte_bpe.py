@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import let, slices, text_of
+from feedlens.llm.common import fresh, let, slices, text_of
 from feedlens.session import checkpoint, discard
 
 #: Places of each half of the rank map.
@@ -137,7 +137,7 @@ def chunked(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     spaces between two characters that are not white space.  No match of the
     pattern reaches over such a cut: a space only ever starts one there.  A
     text with any other space is one chunk."""
-    lists = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")
+    lists = pc.split_pattern(fresh(texts), " ")
     ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
     coded = lists.flatten().dictionary_encode()
     parts, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)

@@ -53,6 +53,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             start = stop
 
 
+def fresh(texts: pa.Array) -> pa.Array:
+    """The texts as large strings with null as empty, in buffers of their own:
+    Arrow's string kernels mistake a slice's offsets."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    return texts.take(pa.array(np.arange(len(texts))))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer."""
     x = x.astype(np.uint64, copy=True)
@@ -67,8 +74,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def word_lists(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text: (offsets, flat words); text
     ``i`` has the words ``flat[offsets[i]:offsets[i + 1]]``."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists = pc.ascii_split_whitespace(texts)
+    lists = pc.ascii_split_whitespace(fresh(texts))
     flat = lists.flatten()
     real = pc.not_equal(flat, "")
     count = np.diff(lists.offsets.to_numpy())

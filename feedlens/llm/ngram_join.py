@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import gram_hashes, mix64, slices, word_hashes, word_lists
+from feedlens.llm.common import fresh, gram_hashes, mix64, slices, word_hashes, word_lists
 from feedlens.llm.components import components
 from feedlens.session import checkpoint, discard
 
@@ -45,7 +45,7 @@ HOT_LANES = 16
 
 def sets_of(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(size of each text's set, hashes of the sets one after the other, each ascending)."""
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    texts = pc.ascii_lower(fresh(texts))
     offsets, flat = word_lists(texts)
     words = word_hashes(flat)
     count = np.diff(offsets)

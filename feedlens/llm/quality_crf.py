@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from feedlens.llm.common import mix64, text_of, word_hashes, word_lists
+from feedlens.llm.common import fresh, mix64, text_of, word_hashes, word_lists
 
 #: Bounds of the training sample: documents of each label (those with the
 #: smallest hash of doc_id) and the longest text taken for training.
@@ -65,7 +65,7 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     A null or empty text is one empty line.  Work and memory follow the bytes
     of the array.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = fresh(texts)
     lists = pc.split_pattern(texts, "\n")
     count = np.diff(lists.offsets.to_numpy())
     lines = pa.concat_arrays([lists.flatten()]) if len(texts) else pa.array([], pa.large_string())

@@ -333,3 +333,30 @@ def test_line_features_do_not_depend_on_the_batch():
         c1, x1, s1 = quality_crf.line_features(pa.array(["zz\nyy", t]).slice(1))
         assert c1[0] == n and np.allclose(x[at:at + n], x1) and np.allclose(size[at:at + n], s1)
         at += n
+
+
+def test_slices_compute_what_the_whole_does(pairs):
+    """Arrow batches cut into slices (as on long partitions) give the rows of the uncut batch."""
+    import pyarrow as pa
+
+    from feedlens.llm.common import slices, word_lists
+
+    texts = [p[1] for p in pairs] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    cut = list(slices(iter([batch.slice(1)]), "text", 3000))
+    assert len(cut) > 20 and sum(b.num_rows for b in cut) == len(texts) - 1
+    at = 1
+    for b in cut:
+        col, here = b.column("text"), texts[at:at + b.num_rows]
+        offsets, flat = word_lists(col)
+        words = flat.to_pylist()
+        assert [words[s:e] for s, e in zip(offsets[:-1], offsets[1:])] == [brute.words(t) for t in here]
+        size, _ = ngram_join.sets_of(col, 4)
+        assert size.tolist() == [len(brute.shingles(t, 4)) for t in here]
+        ends, codes, chunks = byte_bpe.chunked(col)
+        assert ["".join(chunks[c] for c in codes[s:e]) for s, e in zip(ends[:-1], ends[1:])] == [t or "" for t in here]
+        count, x, _ = quality_crf.line_features(col)
+        assert count.tolist() == [(t or "").count("\n") + 1 for t in here]
+        assert np.allclose(x, quality_crf.line_features(pa.array(here, pa.string()))[1])
+        assert len(substring_dedup.Stretches(col)) == len(substring_dedup.Stretches(pa.array(here, pa.string())))
+        at += b.num_rows
