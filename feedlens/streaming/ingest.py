@@ -11,10 +11,11 @@ shared file system.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import merge_by_key
-from ..schema import ARTICLES
+from ..operators.dedup import arrival, with_article_key
+from ..schema import ARTICLE_COLUMNS, ARTICLES
 
 
 def read_landed_entries(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None
@@ -26,16 +27,23 @@ def read_landed_entries(spark: SparkSession, landing_dir: str, max_files_per_tri
 
 
 def unique_articles_stream(entries: DataFrame) -> DataFrame:
-    """E1 as a streaming aggregation (update / complete output modes)."""
-    return merge_by_key(entries)
+    """E1 as a streaming aggregation (update / complete output modes).  The state
+    of a key is its first arrival's row and the count, so the batch form's join
+    back to the input is not needed."""
+    merged = with_article_key(entries).groupBy("article_key").agg(
+        F.min_by(F.struct(*ARTICLE_COLUMNS), arrival()).alias("first"), F.count(F.lit(1)).alias("occurrences"))
+    return merged.select("article_key", "first.*", "occurrences")
 
 
 def start_unique_articles(spark: SparkSession, landing_dir: str, checkpoint_location: str,
                           sink=None, query_name: str = "unique_articles",
                           trigger_seconds: int | None = None) -> StreamingQuery:
     """Start the stream.  ``sink(batch_df, batch_id)`` receives the updated
-    keys of every micro-batch (``foreachBatch``, idempotent by batch id); without
-    a sink, an in-memory table named ``query_name`` is kept (tests)."""
+    keys of every micro-batch (``foreachBatch``, idempotent by batch id).  Without a
+    sink, an in-memory table named ``query_name`` is kept in the driver: local
+    sessions only."""
+    if sink is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("a sink is needed on a cluster: the in-memory table lies in the driver")
     stream = unique_articles_stream(read_landed_entries(spark, landing_dir))
     w = stream.writeStream.option("checkpointLocation", checkpoint_location).queryName(query_name)
     if trigger_seconds:
