@@ -38,7 +38,7 @@ from feedlens.session import checkpoint, discard
 SLOTS = 1 << 16
 #: Most entries of the dictionary of frequent words and most bytes of each: it
 #: is broadcast, at about 30 bytes an entry and 110 at worst.
-DICTIONARY, DICTIONARY_BYTES = 1_000_000, 24
+DICTIONARY, DICTIONARY_BYTES = 600_000, 24
 #: Bytes of a word that a higher-order fold encodes; the work of a fold grows
 #: with the square of the word, longer ones take ``merge_long``.
 FOLD_BYTES = 64
@@ -54,10 +54,11 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def rank_map(ranks: dict[bytes, int]) -> tuple[Column, ...]:
-    """The literal rank map: (hashes, ranks) by the low bits of a piece's hash,
-    (hashes, ranks) by its high bits.  Pieces are told apart by 64-bit hashes,
-    which are checked to differ."""
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """The literal rank map, a struct: hashes and ranks by the low bits of a
+    piece's hash, hashes and ranks by its high bits.  Pieces are told apart by
+    64-bit hashes, which are checked to differ.  Bind it by ``let``, so that a plan
+    holds it once."""
     hashed = {xxhash.xxh64_intdigest(p.decode("latin-1").encode(), seed=42): r for p, r in ranks.items()}
     if len(hashed) < len(ranks):
         raise ValueError("two pieces share a hash")
@@ -76,21 +77,21 @@ def rank_map(ranks: dict[bytes, int]) -> tuple[Column, ...]:
     def literal(values, kind: str) -> Column:
         return F.split(F.lit(",".join(map(str, values))), ",").cast(kind)
     out = []
-    for t in tables:
+    for name, t in zip(("low", "high"), tables):
         keys = [t.get(k, 0) for k in range(SLOTS)]
-        out += [literal((h - (1 << 64) if h >> 63 else h for h in keys), "array<bigint>"),
-                literal((hashed.get(h, -1) if k in t else -1 for k, h in enumerate(keys)), "array<int>")]
-    return tuple(out)
+        out += [literal((h - (1 << 64) if h >> 63 else h for h in keys), "array<bigint>").alias(name),
+                literal((hashed.get(h, -1) if k in t else -1 for k, h in enumerate(keys)), "array<int>").alias(name + "_rank")]
+    return F.struct(*out)
 
 
-def fold(word: Column, ranks: tuple[Column, ...]) -> Column:
+def fold(word: Column, ranks: Column) -> Column:
     """Ids of a word given as a latin-1 string of its bytes."""
     def rank(s: Column) -> Column:
         def at(h: Column) -> Column:
             low = h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
             high = F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-            return (F.when((F.get(ranks[0], low) == h) & (F.get(ranks[1], low) >= 0), F.get(ranks[1], low))
-                    .when((F.get(ranks[2], high) == h) & (F.get(ranks[3], high) >= 0), F.get(ranks[3], high)))
+            return (F.when((F.get(ranks["low"], low) == h) & (F.get(ranks["low_rank"], low) >= 0), F.get(ranks["low_rank"], low))
+                    .when((F.get(ranks["high"], high) == h) & (F.get(ranks["high_rank"], high) >= 0), F.get(ranks["high_rank"], high)))
         return let(F.xxhash64(s), at)
 
     def merge(parts: Column) -> Column:
@@ -292,15 +293,22 @@ def _assemble(spec):
     return run
 
 
-def frequent_words(docs: DataFrame, ranks: tuple[Column, ...], pattern: str, most: int = DICTIONARY) -> pa.Table:
-    """(word, ids) of the ``most`` most frequent words of the whole corpus, folded in Spark."""
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        key = _hash([w.encode("latin-1").decode() for w in b.column("word").to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("ids")], ["key", "ids"])
+
+
+def frequent_words(docs: DataFrame, ranks: Column, pattern: str, most: int = DICTIONARY) -> pa.Table:
+    """(key, ids) of the ``most`` most frequent words of the whole corpus, folded in Spark."""
     counted = (docs.select("text").mapInArrow(_count_words(pattern), "word string, n long")
                .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word"))
     top = checkpoint(counted, "bpe-words")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    folded = checkpoint(top.repartition(parts).select("word", fold(F.col("word"), ranks).alias("ids")), "bpe-dictionary")
-    rows = folded.toArrow()  # at most `most` short words
-    discard(top, folded)
+    folded = top.repartition(parts).select("word", let(ranks, lambda r: fold(F.col("word"), r)).alias("ids"))
+    keyed = checkpoint(folded.mapInArrow(_keyed, "key long, ids array<int>"), "bpe-dictionary")
+    rows = keyed.toArrow()  # at most `most` hashes and the ids of short words
+    discard(top, keyed)
     return rows
 
 
@@ -317,7 +325,7 @@ def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTION
     table = read_ranks(ranks_file)
     literal = rank_map(table)
     top = frequent_words(docs, literal, pattern, most)
-    keys = _hash([w.encode("latin-1").decode() for w in top.column("word").to_pylist()])
+    keys = top.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     own_ends, own_ids = _lists(top.column("ids").combine_chunks()) if len(keys) else (np.zeros(1, np.int64), np.zeros(0, np.int32))
     ends, ids = gather(own_ids.astype(np.int32), own_ends.astype(np.int64), order)
@@ -326,7 +334,7 @@ def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTION
     del top, own_ids
     looked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
         _look_up(spec, pattern), "doc_ids array<long>, ends array<int>, tokens array<int>, unknown array<string>")
-    folded = looked.select("doc_ids", "ends", "tokens", F.transform("unknown", lambda w: fold(w, literal)).alias("folded"))
+    folded = looked.select("doc_ids", "ends", "tokens", let(literal, lambda r: F.transform("unknown", lambda w: fold(w, r))).alias("folded"))
     return folded.mapInArrow(_assemble(spec if decoded else None), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
