@@ -18,6 +18,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.maxPlanStringLength": "1000000",  # plans with literal tables stay out of the driver's memory
     "spark.ui.enabled": "false",
 }
 
