@@ -8,12 +8,17 @@ constraints (their number, their words) until one of them is 0 or 1, which
 keeps the source's expected documents and words exact.  It runs in blocks of
 a source; the two documents or fewer that a block leaves fly on with those of
 other blocks, level by level, so a source that holds a third of all rows is
-many small tasks.  What is left of the last block lands: first without the
-word constraint, then by one draw, corrected by exchanges.
+many small tasks.  A source lands in the level where it has one block: what is
+left is settled first without the word constraint, then by one draw, and the
+words are corrected by exchanges.  What a flight leaves are the longest
+documents, so each block also sends decided ones along, and a landing always
+has about a block of documents (or the whole source) to exchange.  A document too
+long for these is made up for by exchanges in all blocks of its source.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -86,12 +91,46 @@ def fly(p: list[float], x: list[float], draws: np.ndarray) -> list[float]:
         pool = [k for k in pool if 0.0 < p[k] < 1.0]
 
 
-def land(start: list[float], p: list[float], x: list[float], draws: np.ndarray) -> list[float]:
+def exchange(taken: np.ndarray, size: np.ndarray, goal: float, free: np.ndarray, alone: bool) -> np.ndarray:
+    """``taken`` (0 or 1) after the best exchanges of a taken and a left document
+    of ``free``, one at a time while that brings the words nearer to ``goal``;
+    with ``alone`` a document may also come or go by itself."""
+    taken = taken.copy()
+    nobody = [-1] if alone else []
+    while abs(over := float(size @ taken) - goal) > 0.5:
+        ins, outs = (np.concatenate([np.flatnonzero(free & (taken == v)), nobody]).astype(int) for v in (1.0, 0.0))
+        if not len(ins) or not len(outs):
+            break
+        get = np.where(outs < 0, 0.0, size[outs])
+        order = np.argsort(get, kind="stable")
+        outs, get = outs[order], get[order]
+        give = np.where(ins < 0, 0.0, size[ins])
+        at = np.searchsorted(get, give - over)  # the place of the best partner
+        at = np.stack([np.clip(at - 1, 0, len(get) - 1), np.clip(at, 0, len(get) - 1)])
+        off = np.abs(over - give + get[at])
+        side, i = np.unravel_index(np.argmin(off), off.shape)
+        if off[side, i] >= abs(over) - 1e-6:
+            break
+        for k, v in ((ins[i], 0.0), (outs[at[side, i]], 1.0)):
+            if k >= 0:
+                taken[k] = v
+    return taken
+
+
+def land(start: list[float], p: list[float], x: list[float], free: np.ndarray, draws: np.ndarray,
+         whole: bool = True) -> list[float]:
     """Landing phase for the block whose probabilities were ``start`` before
     and ``p`` after the flight: the last two keep their sum, a last one is
-    drawn, and then taken and left documents change places while that brings
-    the words nearer to their expectation."""
+    drawn, and then documents of ``free`` change places.
+
+    The drawn ones stay as drawn and the others make up for them: at first by
+    exchanges that keep the number of documents, then also by single ones.
+    If the words stay off by over a hundredth of a mean document and the block
+    is the ``whole`` source, the drawn ones may fall otherwise, and the nearest
+    of all results counts; else it is left to all blocks (``make_up``).
+    """
     p = list(p)
+    drawn = [k for k, q in enumerate(p) if 0.0 < q < 1.0]
     step = 0
     while len(open_ := [k for k, q in enumerate(p) if 0.0 < q < 1.0]) > 1:
         a, b = open_[:2]
@@ -103,40 +142,97 @@ def land(start: list[float], p: list[float], x: list[float], draws: np.ndarray)
     for k in open_:
         p[k] = float(draws[step] < p[k])
     taken, size = np.array(p), np.array(x)
-    free = (np.array(start) > 0.0) & (np.array(start) < 1.0)  # whole copies are certain
-    for _ in range(8):
-        over = float((size * (taken - np.array(start))).sum())
-        ins, outs = np.flatnonzero(free & (taken == 1.0)), np.flatnonzero(free & (taken == 0.0))
-        if not len(ins) or not len(outs):
-            break
-        outs = outs[np.argsort(size[outs], kind="stable")]
-        at = np.searchsorted(size[outs], size[ins] - over)  # the place of the best partner
-        best = min(((abs(over - size[i] + size[outs[j]]), i, outs[j])
-                    for i, k in zip(ins, at) for j in (k - 1, k) if 0 <= j < len(outs)), default=None)
-        if best is None or best[0] >= abs(over):
-            break
-        taken[best[1]], taken[best[2]] = 0.0, 1.0
-    return taken.tolist()
+    others = free.copy()
+    others[drawn] = False
+    if not others.any():
+        return taken.tolist()
+    goal = float(size @ np.array(start))
+    near = max(0.5, float(size[free].mean()) / 100)
+    as_drawn = tuple(taken[drawn])
+    best = None
+    for state in sorted(itertools.product((0.0, 1.0), repeat=len(drawn)), key=lambda s: sum(map(float.__ne__, s, as_drawn))):
+        trial = taken.copy()
+        trial[drawn] = state
+        for alone in (False, True):
+            trial = exchange(trial, size, goal, others, alone)
+            off = abs(float(size @ trial) - goal)
+            if best is None or off < best[0] - 1e-6:
+                best = off, trial
+            if off <= near:
+                return trial.tolist()
+        if not whole:
+            return taken.tolist()
+    return best[1].tolist()
+
+
+def _carried(p: list[float], free: np.ndarray, n: int, rng) -> np.ndarray:
+    """Marks the open documents and about ``n`` decided ones of ``free``, taken
+    and left ones alike, that fly on."""
+    q = np.array(p)
+    marks = (q > 0.0) & (q < 1.0)
+    left, took = (rng.permutation(np.flatnonzero(free & (q == v))) for v in (0.0, 1.0))
+    k = min(len(left), max(n // 2, n - len(took)))
+    marks[left[:k]] = True
+    marks[took[:max(0, n - k)]] = True
+    return marks
 
 
-def _flight(seed: int, level: int, last: bool):
+def _flight(seed: int, level: int, size: int, fan: int):
     def run(key, block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["doc_id", "size"], na_position="first", kind="stable")
         rng = np.random.default_rng(zlib.crc32(repr((seed, level, *map(str, key))).encode()))
         draws = rng.random(len(block) + 3)
         start, x = block["p"].tolist(), block["size"].astype(float).tolist()
+        free = block["flies"].to_numpy(bool)  # whole copies are certain
         p = fly(start, x, draws)
-        if last:
-            p = land(start, p, x, rng.random(4))
-        return block.assign(p=p)
+        blocks = int(block["blocks"].iloc[0])
+        if blocks == 1:
+            p = land(start, p, x, free, rng.random(4), whole=level == 0)
+            return block.assign(p=p, flies=False)
+        return block.assign(p=p, flies=_carried(p, free, max(0, size // min(blocks, fan) - 2), rng))
     return run
 
 
+def _share(key, block: pd.DataFrame) -> pd.DataFrame:
+    block = block.sort_values(["doc_id", "size"], na_position="first", kind="stable")
+    size, taken = block["size"].to_numpy(float), block["p"].to_numpy(float)
+    over, room = float(block["over"].iloc[0]), float(block["room"].iloc[0])
+    free = block["free"].to_numpy(bool)
+    can = float(size[free & (taken == float(over > 0))].sum())
+    if can:
+        goal = float(size @ taken) - round(over * min(1.0, can / room))
+        for alone in (False, True):
+            taken = exchange(taken, size, goal, free, alone)
+    return block.assign(p=taken).drop(columns=["over", "room", "free"])
+
+
+def make_up(done: DataFrame) -> DataFrame:
+    """``done`` with the words by which sources of several blocks are off
+    made up for: every block exchanges documents for its share of them.  Longer
+    documents than that are not touched."""
+    words = F.col("size") * (F.col("whole") + F.col("p"))
+    off = done.groupBy("source").agg((F.sum(words) - F.max("target")).alias("over"), F.avg("size").alias("mean"),
+                                     F.max("home").alias("last"))
+    off = checkpoint(off.where((F.col("last") > 0) & (F.abs("over") > F.greatest(F.lit(0.5), F.col("mean") / 100)))
+                     .select(F.col("source").alias("t_source"), "over"), "mix-off")  # one row per source at most
+    if off.isEmpty():
+        return done
+    same = F.col("source").eqNullSafe(F.col("t_source"))
+    fraction = F.col("target") / F.col("source_size") - F.col("whole")
+    rows = done.join(off, same).drop("t_source").withColumn("free", (fraction >= 1e-9) & (F.col("size") <= F.abs("over")))
+    room = rows.where(F.col("free") & (F.col("p") == (F.col("over") > 0).cast("double"))).groupBy("source").agg(
+        F.sum("size").alias("room")).withColumnRenamed("source", "t_source")
+    moved = rows.join(room, same).drop("t_source").groupBy("source", "home").applyInPandas(_share, done.schema)
+    return done.join(room, same, "left_anti").unionAll(checkpoint(moved, "mix-made-up"))
+
+
 def copies(units: DataFrame, weights=WEIGHTS, most: float = MAX_COPIES, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """Units (row, doc_id, source, size) with source_size, target and copies.
 
     Blocks are dealt by a hash of (doc_id, size), never by physical partition,
-    and the draws by source and block, so reruns agree.
+    and the draws by source and block, so reruns agree.  A source's number of
+    blocks follows from its own rows; ``flies`` marks the documents that still
+    may change.
     """
     units = checkpoint(units, "mix-units")
     targets = checkpoint(source_targets(units, weights, most), "mix-targets")  # one row per source
@@ -147,21 +243,25 @@ def copies(units: DataFrame, weights=WEIGHTS, most: float = MAX_COPIES, seed: in
     flying = (units.join(t, units["source"].eqNullSafe(t["t_source"])).drop("t_source")
               .withColumn("whole", whole).withColumn("p", F.greatest(F.lit(0.0), ratio - whole))
               .withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p")))
-              .withColumn("block", F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("n_docs") / F.lit(block))))
-              .select("row", "doc_id", "source", "size", "source_size", "target", "whole", "p", "block"))
+              .withColumn("blocks", F.ceil(F.col("n_docs") / F.lit(block)))
+              .withColumn("home", F.pmod(F.xxhash64("doc_id", "size"), "blocks")).withColumn("block", F.col("home"))
+              .withColumn("flies", F.col("p") > 0)
+              .select("row", "doc_id", "source", "size", "source_size", "target", "whole", "p", "home", "blocks", "block", "flies"))
+    fan = max(2, block // 16)  # at most two are left of each block, and as many decided ones go along as fill the next
     done = None
     blocks, level = max(1, -(-biggest // block)), 0
     while True:
-        last = blocks == 1
         flown = checkpoint(flying.groupBy("source", "block").applyInPandas(
-            _flight(seed, level, last), flying.schema), f"mix-flight-{level}")
-        decided = flown if last else flown.where("p = 0 OR p = 1")
+            _flight(seed, level, block, fan), flying.schema), f"mix-flight-{level}")
+        decided = flown.where("NOT flies")
         done = decided if done is None else done.unionAll(decided)
-        if last:
+        if blocks == 1:
             break
-        fan = block // 4  # at most two are left of each block
-        flying = flown.where("p > 0 AND p < 1").withColumn("block", F.expr(f"block div {fan}"))
+        flying = (flown.where("flies").withColumn("block", F.expr(f"block div {fan}"))
+                  .withColumn("blocks", F.expr(f"(blocks + {fan - 1}) div {fan}")))
         blocks, level = -(-blocks // fan), level + 1
+    if level:
+        done = make_up(done)
     return done.select("row", "doc_id", "source", "size", "source_size", "target",
                        (F.col("whole") + F.col("p")).cast("long").alias("copies"))
 

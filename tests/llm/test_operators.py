@@ -199,6 +199,22 @@ def test_mixing_meets_targets_over_many_blocks(spark):
         assert abs(count[s] - expect[s]) < 2
 
 
+@pytest.mark.parametrize("block", [64, mixing.BLOCK])
+def test_mixing_lands_every_source(spark, block):
+    """Small sources and one of several blocks, each with a very long document, meet their targets to a few words."""
+    rng = random.Random(11)
+    units = [(s, rng.randrange(20, 100)) for s, n in (("a", 5000), ("b", 1000), ("c", 2000)) for _ in range(n)]
+    units += [("a", 20000), ("b", 20000), ("c", 15000)]
+    units = spark.createDataFrame([(k, k, s, x) for k, (s, x) in enumerate(units)], "row long, doc_id long, source string, size long")
+    rows = mixing.copies(units, block=block).collect()
+    taken, target = Counter(), {}
+    for r in rows:
+        assert r["copies"] - int(r["target"] / r["source_size"]) in (0, 1)
+        taken[r["source"]] += r["copies"] * r["size"]
+        target[r["source"]] = r["target"]
+    assert len(rows) == 8003 and max(abs(taken[s] - target[s]) for s in target) < 3
+
+
 def test_flight_is_fair():
     """Means over many draws come to the probabilities (before the exchanges)."""
     x = [3.0, 5.0, 5.0, 8.0, 1.0, 9.0, 2.0, 7.0]
