@@ -26,7 +26,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = table_path(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents"), path, public_vocabulary("word_bpe_49k.json"))
+    write_token_files(table(spark, sf_dir, "documents"), path, public_vocabulary("word_bpe_49k.json"), added=True)
     return token_report(spark, path)
 
 

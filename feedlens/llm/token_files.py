@@ -9,6 +9,8 @@ doc_id, n_tokens, ids.
 
 from __future__ import annotations
 
+import itertools
+import os
 import string
 import zlib
 from array import array
@@ -38,15 +40,15 @@ SLICE = 4 << 20
 _WORKER: dict = {}
 
 
-def _tokenizer(spec):
+def _tokenizer(spec, added: bool):
     """The worker's word cache with its tokenizer; built once per process."""
-    key = zlib.crc32(spec.value)
+    key = zlib.crc32(spec.value), added
     if _WORKER.get("key") != key:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(spec.value.decode())
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        _WORKER.update(key=key, cache=WordCache(tok))
+        tok.encode_special_tokens = not added
+        _WORKER.update(key=key, cache=WordCache(tok, [t.content for t in tok.get_added_tokens_decoder().values()] if added else []))
     return _WORKER["cache"]
 
 
@@ -55,15 +57,23 @@ class WordCache:
     comes back while it is remembered as new becomes old; the new ones are
     forgotten when they are too many, so rare words do not push out frequent ones."""
 
-    def __init__(self, tok):
+    def __init__(self, tok, added: list[str] = ()):
+        """``added``: strings that are one token wherever they stand."""
         self.tok, self.old, self.new = tok, {}, {}
+        self.added = [a.lower() for a in added]
+        #: A word without these (uncased) characters holds none of them.
+        self.lead = "".join(itertools.takewhile(lambda c: c in string.punctuation, os.path.commonprefix(self.added)))
 
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each of the distinct ``words``.  A tail of marks is a token
         run of its own, and A-Z of a pure ASCII word are lower-cased by the
-        tokenizer anyway, so words are remembered without both."""
+        tokenizer anyway, so words are remembered without both.  Words with an
+        added token's string, in any case, go to the tokenizer as they are."""
         split = []
         for w in words:
+            if self.added and self.lead in w and any(a in w.lower() for a in self.added):
+                split.append((w, ""))
+                continue
             base = w.rstrip(TAIL)
             if len(base) == len(w) or not base or not (base[-1].isascii() and base[-1].isalnum()):
                 base = w
@@ -112,9 +122,9 @@ def encode_texts(texts: pa.Array, cache: WordCache, end_id: int) -> tuple[np.nda
     return np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]), out
 
 
-def _encoder(spec, end_id: int):
+def _encoder(spec, end_id: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _tokenizer(spec)
+        cache = _tokenizer(spec, added)
         before = 0
         for b in slices(batches, "text", SLICE):
             offsets, ids = encode_texts(b.column("text"), cache, end_id)
@@ -126,18 +136,20 @@ def _encoder(spec, end_id: int):
     return run
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int = END_ID) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int = END_ID, added: bool = False) -> None:
     """Encode ``text`` and write the files in ascending doc_id order.
 
     Null text is empty (the end id alone); a null doc_id comes first; rows of
     one doc_id are ordered by a hash of the text.  An empty table writes files
-    without rows.  The text is shuffled once, the ids never.
+    without rows.  The text is shuffled once, the ids never.  With ``added``
+    the strings of added tokens (<|endoftext|>) become their ids, as by the
+    library's encode(text, add_special_tokens=False); else they are ordinary text.
     """
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # the vocabulary file, about 2 MB
     order = [F.col("doc_id"), F.xxhash64("text")]
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
      .repartitionByRange(*order).sortWithinPartitions(*order)
-     .mapInArrow(_encoder(spec, end_id), "at long, doc_id long, n_tokens long, ids array<int>")
+     .mapInArrow(_encoder(spec, end_id, added), "at long, doc_id long, n_tokens long, ids array<int>")
      .withColumn("part", F.spark_partition_id())
      .write.options(**WRITE_OPTIONS).parquet(path))
 

@@ -82,6 +82,22 @@ def test_token_files(spark, odd, empty, pairs, tmp_path):
     assert token_files.token_report(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_token_files_query_encodes_as_the_library_does(spark, pairs, tmp_path):
+    from tokenizers import Tokenizer
+
+    from feedlens.llm.queries import op2_token_files
+
+    texts = ["a <|endoftext|> b", "foo<|endoftext|>Bar", "<|ENDOFTEXT|>", "<|endoftext|>.", "X<|startoftext|><|endoftext|>!!",
+             "<|start of", "<|EndOfText|>éÀ<|endoftext|>", None, "plain!! <|endoftext|"] + [p[1] for p in pairs]
+    spark.createDataFrame(rows_of(list(enumerate(texts))), SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    tok = Tokenizer.from_str(byte_bpe.public_vocabulary("word_bpe_49k.json").decode())
+    ids = [tok.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert 49407 in ids[0] and 49406 in ids[4]
+    starts = np.cumsum([0, *map(len, ids)]).tolist()
+    assert got(op2_token_files(spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32")) == want(
+        (k, starts[k], len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(ids))
+
+
 def test_token_files_read_selectively(spark, odd, tmp_path):
     import glob
 
