@@ -1,9 +1,10 @@
-"""Exact deduplication by a tree-merge of sorted digest runs (native).
+"""Exact deduplication by a tree-merge of digest runs (native).
 
 Texts are equal when their whitespace-normalised forms are identical.  Every
-leaf holds one sorted run of digests (digest, verifier, smallest id, count).
+leaf holds one run of digests (digest, verifier, smallest id, count).
 In each binomial round run ``r`` meets run ``r XOR 2^round``: the pair is
-merged by digest, keeping the smallest identifier and the summed count.  A
+shuffled and aggregated by digest (not merged in sort order), keeping the
+smallest identifier and the summed count.  A
 run is spread over the shuffle partitions by (run, digest), so the last round
 does not meet in one task, and a group of copies is one row per run and task
 before it is shuffled.
@@ -39,7 +40,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def merge_runs(runs: DataFrame, rounds: int) -> DataFrame:
     """One binomial round after the other; each level is a written table of
-    runs sorted by digest, so a lost executor costs one round at most."""
+    runs, so a lost executor costs one round at most."""
     for level in range(rounds):
         merged = (runs.withColumn("run", F.shiftright("run", 1))
                   .groupBy("run", "digest", "verifier")
