@@ -62,8 +62,8 @@ STAGES = [
     ("byte-level BPE encoding and decoding", tokens),
 ]
 
-#: The classifier, the sampling and the tokenizer are beyond SQL; the tests
-#: hold every stage against a brute-force version.
+#: The classifier, the sampling and the tokenizer are beyond SQL;
+#: tests/llm/test_pipeline.py holds every stage of a run against a brute-force version.
 ORACLE_SQL = None
 
 
