@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import gram_hashes, mix64, sha256_hex, slices, word_hashes, word_lists
+from feedlens.llm.common import gram_hashes, mix64, sha256_hex, slices, text_of, word_hashes, word_lists
 from feedlens.llm.ngram_join import HOT_LANES, SKETCH_BITS, excess
 from feedlens.session import checkpoint, discard
 
@@ -88,7 +88,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchors(frequency):
-    """(lane, hot, anchor, key, content) of each text, equal stretches of a text once."""
+    """(lane, hot, anchor, key, alike, content) of each text, equal stretches of a text once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(frequency.value, np.float32)
         for b in slices(batches, "text"):
@@ -102,7 +102,8 @@ def _anchors(frequency):
             lane = np.where(hot, mix64(anchor + mix64(key.astype(np.uint64)) % np.uint64(HOT_LANES) + np.uint64(1)), anchor)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lane.view(np.int64)), pa.array(hot), pa.array(anchor.view(np.int64)), pa.array(key),
-                 pa.array(s.content[rows].view(np.int64))], ["lane", "hot", "anchor", "key", "content"])
+                 b.column("alike").take(pa.array(s.text[rows])), pa.array(s.content[rows].view(np.int64))],
+                ["lane", "hot", "anchor", "key", "alike", "content"])
     return run
 
 
@@ -273,8 +274,14 @@ def _key(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NO_ID))
 
 
+def _alike(doc_id: Column) -> Column:
+    """0 for a row with a doc_id; without one a hash of the text, so that only
+    rows of one text, which hold the same stretches, are collected together."""
+    return F.when(doc_id.isNull(), F.xxhash64(text_of())).otherwise(F.lit(0).cast("long"))
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(key, content, first_window, mask): the windows of each document's
+    """(key, alike, content, first_window, mask): the windows of each document's
     stretches that start in a document with a smaller key."""
     spark = docs.sparkSession
     counts = (docs.select("text").mapInArrow(_sketch, "bucket int, cnt long").groupBy("bucket")
@@ -282,17 +289,17 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     sketch = np.zeros(1 << SKETCH_BITS)
     sketch[counts.column("bucket").to_numpy()] = counts.column("cnt").to_numpy()
     frequency = spark.sparkContext.broadcast(excess(sketch).astype(np.float32).tobytes())  # 1 MB
-    keyed = docs.select(_key(F.col("doc_id")).alias("key"), "text")
-    rows = keyed.mapInArrow(_anchors(frequency), "lane long, hot boolean, anchor long, key long, content long")
+    keyed = docs.select(_key(F.col("doc_id")).alias("key"), _alike(F.col("doc_id")).alias("alike"), "text")
+    rows = keyed.mapInArrow(_anchors(frequency), "lane long, hot boolean, anchor long, key long, alike long, content long")
     meet = Window.partitionBy("lane")
     shared = checkpoint(rows.withColumn("low", F.min("key").over(meet)).withColumn("high", F.max("key").over(meet))
-                        .where("hot OR low < high").select("anchor", "key", "content"), "shared")
-    stretches = shared.groupBy("anchor", "content").agg(F.min("key").alias("key"), F.max("key").alias("last"))
-    stretches = checkpoint(stretches, "stretches")
+                        .where("hot OR low < high").select("anchor", "key", "alike", "content"), "shared")
+    stretches = shared.groupBy("anchor", "content").agg(F.min(F.struct("key", "alike")).alias("of"), F.max("key").alias("last"))
+    stretches = checkpoint(stretches.select("anchor", "content", "of.key", "of.alike", "last"), "stretches")
     wide = stretches.groupBy("anchor").count().where(F.col("count") > WIDE_ANCHOR).select("anchor", F.lit(True).alias("wide"))
     asked = (stretches.join(wide, "anchor", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
-             .groupBy("key").agg(F.collect_list(F.struct("content", "last", "wide")).alias("asked")))
-    words = checkpoint(keyed.join(asked, "key").select("key", "text", "asked").mapInArrow(
+             .groupBy("key", "alike").agg(F.collect_list(F.struct("content", "last", "wide")).alias("asked")))
+    words = checkpoint(keyed.join(asked, ["key", "alike"]).select("key", "text", "asked").mapInArrow(
         _words, "route long, content long, first_window int, key long, last long, words binary"), "stretch-words")
     total = words.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     shards = int(total // (8 * SHARD_WORDS)) + 1
@@ -300,7 +307,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         _search_shard, "content long, first_window int, earliest array<long>"), "windows")
     discard(words, stretches)
     hits = shared.join(found, "content").withColumn("mask", F.transform("earliest", lambda e: e < F.col("key"))).where(
-        F.array_contains("mask", True)).select("key", "content", "first_window", "mask")
+        F.array_contains("mask", True)).select("key", "alike", "content", "first_window", "mask")
     return checkpoint(hits.distinct(), "hits")
 
 
@@ -314,9 +321,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     than any number; rows that share a doc_id never remove one another's
     words.  An empty table gives an empty result; other columns are not read.
     """
-    hits = repeated_windows(docs).groupBy("key").agg(F.collect_list(F.struct("content", "first_window", "mask")).alias("hits"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _key(F.col("doc_id")).alias("key"))
-    return rows.join(hits, "key", "left").select("doc_id", "text", "hits").mapInArrow(
+    hits = repeated_windows(docs).groupBy("key", "alike").agg(F.collect_list(F.struct("content", "first_window", "mask")).alias("hits"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _key(F.col("doc_id")).alias("key"),
+                       _alike(F.col("doc_id")).alias("alike"))
+    return rows.join(hits, ["key", "alike"], "left").select("doc_id", "text", "hits").mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, text string")
 
 

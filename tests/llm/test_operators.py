@@ -158,6 +158,18 @@ def test_substring_dedup(odd, empty, pairs):
     assert substring_dedup.repeat_report(empty).count() == 0
 
 
+def test_substring_dedup_of_many_null_ids(spark):
+    """Rows without a doc_id do not collect one another's stretches."""
+    rng = random.Random(6)
+    passages = [" ".join(f"p{rng.randrange(9999)}" for _ in range(20)) for _ in range(40)]
+    pairs = [(k, p) for k, p in enumerate(passages)]
+    pairs += [(None, f"{k} own words {k} {p} and more {k}") for k, p in enumerate(passages)] + [(None, "1 own words " + passages[1])] * 2
+    docs = spark.createDataFrame(rows_of(pairs), SCHEMA)
+    assert got(substring_dedup.repeat_report(docs)) == want(brute.passages(pairs))
+    hits = substring_dedup.repeated_windows(docs).where(f"key = {substring_dedup.NO_ID}")
+    assert max(r["count"] for r in hits.groupBy("key", "alike").count().collect()) < 10
+
+
 def test_substring_dedup_wide_and_hot_anchors(odd, pairs, monkeypatch):
     monkeypatch.setattr(substring_dedup, "WIDE_ANCHOR", 2)
     monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 500)
