@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from feedlens.llm import oracle
 from feedlens.llm.byte_bpe import bpe_report, public_vocabulary
 from feedlens.llm.common import table
+from feedlens.llm.conversation_repair import repair
 from feedlens.llm.exact_dedup import exact_groups
 from feedlens.llm.line_dedup import line_report
 from feedlens.llm.mixing import mix_report
 from feedlens.llm.ngram_join import similar_classes
 from feedlens.llm.quality_crf import classify
 from feedlens.llm.quality_rules import apply_rules
+from feedlens.llm.secret_scan import find_secrets
 from feedlens.llm.sharding import shard_documents
+from feedlens.llm.source_audit import audit_sources
 from feedlens.llm.substring_dedup import repeat_report
 from feedlens.llm.token_files import token_report, write_token_files
 from feedlens.session import table_path
@@ -65,9 +68,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_token_files, op3_ngram_join, op4_byte_bpe, op5_substring_dedup, op6_mixing, op7_line_dedup,
-    op8_quality_crf, op9_exact_dedup, op10_quality_rules)}
+    op8_quality_crf, op9_exact_dedup, op10_quality_rules, op11_source_audit, op12_secret_scan, op13_conversation_repair)}
 
 SQL = {
     "op1_sharding": oracle.SHARDING,
@@ -76,4 +91,6 @@ SQL = {
     "op7_line_dedup": oracle.LINE_DEDUP,
     "op9_exact_dedup": oracle.EXACT_DEDUP,
     "op10_quality_rules": oracle.QUALITY_RULES,
+    "op11_source_audit": oracle.SOURCE_AUDIT,
+    "op13_conversation_repair": oracle.CONVERSATION_REPAIR,
 }
