@@ -137,16 +137,6 @@ def normalize_title(col) -> Column:
     return empty_to_null(c)
 
 
-def normalize_title_str(t: str) -> str:
-    """Python twin of ``normalize_title`` for the similarity UDF."""
-    if not t:
-        return ""
-    t = t.lower().strip()
-    for p in TITLE_NOISE:
-        t = t.replace(p, "")
-    return t
-
-
 def content_hash(col) -> Column:
     """md5 of lower-cased, whitespace-collapsed content.  Empty -> NULL."""
     c = _c(col)

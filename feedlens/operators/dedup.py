@@ -18,28 +18,24 @@ def with_article_key(df: DataFrame) -> DataFrame:
     return df.withColumn("article_key", article_key())
 
 
-def arrival() -> Column:
-    """Arrival order (feed_no, entry_no), nulls first, as one fixed-width number:
-    a decimal buffer lets the minimum be a hash aggregate."""
-    span, half = F.lit(str(10 ** 18)).cast("decimal(19,0)"), F.lit(4 * 10 ** 17)
-    feed = F.coalesce(F.col("feed_no").cast("long"), F.lit(-(1 << 40)))  # below any int
-    entry = F.coalesce(F.col("entry_no").cast("long"), -half) + half      # positions within +-4e17
-    return (feed.cast("decimal(18,0)") * span + entry.cast("decimal(18,0)")).cast("decimal(38,0)")
+def arrival_order() -> Column:
+    """Arrival order (feed_no, entry_no), nulls first; rows that repeat an arrival
+    (files without a feed number do) go by a hash of the row."""
+    return F.struct(*ORDER_COLUMNS, F.xxhash64(*ARTICLE_COLUMNS).alias("row"))
 
 
 def merge_by_key(df: DataFrame) -> DataFrame:
     """One row per article key with the fields of its first arrival and the
     number of rows seen.
 
-    First arrivals and counts are a hash aggregate over (key, arrival), partial
-    before the shuffle, so a key holding a third of the input ships one short row
-    per map task.  The fields are then fetched by a join on the arrival, which
-    no key can skew.  Arrivals are unique; rows that repeat one count as
-    occurrences and give the fields of any of them."""
+    One scan and one shuffle: the first row is an aggregate, partial before the
+    shuffle, so a key holding a third of the input ships one row per map task.
+    Rows that repeat an arrival count as occurrences; which of them is
+    first is decided by their hash, so reruns agree."""
     keyed = df if "article_key" in df.columns else with_article_key(df)
-    keyed = keyed.withColumn("_at", arrival())
-    first = keyed.groupBy("article_key").agg(F.min("_at").alias("_at"), F.count(F.lit(1)).alias("occurrences"))
-    return keyed.join(first, ["article_key", "_at"]).select("article_key", *ARTICLE_COLUMNS, "occurrences")
+    merged = keyed.groupBy("article_key").agg(F.min_by(F.struct(*ARTICLE_COLUMNS), arrival_order()).alias("first"),
+                                              F.count(F.lit(1)).alias("occurrences"))
+    return merged.select("article_key", "first.*", "occurrences")
 
 
 def occurrence_histogram(unique: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 The predicate is a half-open timestamp range on ``published_date`` rather than
 ``to_date(published_date) BETWEEN``: the range form reaches the Parquet scan as
-pushed filters (and as partition pruning when stages are written partitioned
-by day).
+pushed filters.  Rows that carry their day (``published_day``, the partition
+column of stored articles) get the day range as well, derived from the same
+bounds, so that a scan of stored articles lists and reads only these days.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_DAYS = 7
+DAY_COLUMN = "published_day"
 
 
 def parse_day(value) -> _dt.date:
@@ -43,6 +45,8 @@ def filter_date_range(df: DataFrame, start, end, col: str = "published_date") ->
     """Days start..end, both inclusive; rows without a date are dropped."""
     lo, hi = day_bounds(start, end)
     c = F.col(col)
+    if col == "published_date" and DAY_COLUMN in df.columns:
+        df = df.where(F.col(DAY_COLUMN).between(F.lit(lo.date()), F.lit((hi - _dt.timedelta(days=1)).date())))
     return df.where((c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz")))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_domain
+from ..session import checkpoint
 
 
 def _truthy(c: str):
@@ -33,6 +34,48 @@ def top_sources(df: DataFrame, k: int = 5) -> DataFrame:
             .where(F.col("rank") <= k).select("rank", "domain", "articles"))
 
 
+# Items that a heavy-hitter sketch tracks, and its error: an item that it does not
+# track has at most SKETCH_ERROR / items of all rows (frequent-items sketch of a hash
+# map with at least items / 0.75 places and an error of 3.5 / places).
+SKETCH_ITEMS = 10_000
+SKETCH_ERROR = 3.5 * 0.75
+
+
+def source_sketch(df: DataFrame, by: list[str] | None = None, items: int = SKETCH_ITEMS) -> DataFrame:
+    """Mergeable heavy-hitter sketches of the domains, of bounded size (one, or one for each ``by``)."""
+    dom = df.where(_truthy("url")).withColumn("_domain", extract_domain("url"))
+    return dom.groupBy(*(by or [])).agg(F.expr(f"approx_top_k_accumulate(_domain, {int(items)})").alias("sketch"),
+                                        F.count(F.lit(1)).alias("rows"))
+
+
+def top_sources_bounded(df: DataFrame, k: int = 5, items: int = SKETCH_ITEMS, sketches: DataFrame | None = None) -> DataFrame:
+    """G3 with bounded memory: a sketch names the candidates, a second pass counts only these.
+
+    A domain that the sketch does not track has at most rows * SKETCH_ERROR / items
+    rows.  When the k-th counted candidate has more than that, none is
+    missing, ties included; else (nearly tied domains) all domains are counted as in
+    ``top_sources``.  ``sketches`` are those of disjoint parts of ``df``, made earlier.
+    """
+    sketches = source_sketch(df, items=items) if sketches is None else sketches
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {int(items)})").alias("sketch"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    found = merged.select("rows", F.expr(f"approx_top_k_estimate(sketch, {int(items)})").alias("top")).first()
+    if not found["rows"]:
+        return top_sources(df, k)
+    names = [r["item"] for r in found["top"]]  # at most ``items``
+    spark = df.sparkSession
+    candidates = F.broadcast(spark.createDataFrame([(x,) for x in names], "_candidate string"))
+    dom = df.where(_truthy("url")).withColumn("_domain", extract_domain("url"))
+    counted = checkpoint(dom.join(candidates, F.col("_domain") == F.col("_candidate"), "left_semi").groupBy(F.col("_domain").alias("domain"))
+                         .agg(F.count(F.lit(1)).alias("articles"), F.min("number").alias("first_number")), "candidates")
+    best = counted.orderBy(F.col("articles").desc(), F.col("first_number").asc()).limit(k)
+    least = best.agg(F.min("articles").alias("least"), F.count(F.lit(1)).alias("n")).first()
+    whole = len(names) < items and found["rows"] <= items  # nothing was ever dropped from the sketch
+    if not whole and (least["n"] < k or least["least"] <= found["rows"] * SKETCH_ERROR / items):
+        return top_sources(df, k)
+    w = Window.orderBy(F.col("articles").desc(), F.col("first_number").asc())  # over k rows
+    return best.withColumn("rank", F.row_number().over(w)).select("rank", "domain", "articles")
+
+
 def unique_sources(df: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """Number of distinct domains.  Exact by default; with ``approx_rsd``
     (relative standard deviation, e.g. 0.01) a HyperLogLog++ sketch merges

@@ -15,13 +15,19 @@ adjacent in both strings).  So:
   and b share at least  (2q - 1) M - (q - 1)(S + 1)  grams, with
   M >= ceil(t S / 2).  For q = 3 and t = 0.85 that is about S/8 - 2.
 
-Grams are tagged with their occurrence number (multiset -> set), ordered by
-global rarity, and each string indexes only its first |grams| - T + 1 grams
-(prefix filtering), where T is the bound for the shortest partner the length
-filter allows.  The bound itself jumps up and down with S because M is rounded
-up; T is its lower envelope, which rises with S, so T at the shortest partner
-is at most the need of every partner.  Two strings that can reach the
-threshold share an indexed gram.  Strings whose T is not positive (a few
+These shared grams are aligned: inside a block they lie at positions i of one
+string and j of the other with  -(|b| - M) <= i - j <= |a| - M,  for i - j is
+what is unmatched before them in a less that in b.  So grams are
+joined with their positions, and only pairs within that shift count.
+
+The grams of a string are ordered by global rarity, then gram, then position.
+Blocks keep order, so the k-th shared gram of a is the k-th of b.  Of at least T shared ones the
+first l lie among the first |grams| - T + l of either string: each string
+indexes only these, and a pair has to meet in l of them (``MATCHES``, or T if that
+is less).  T is the bound for the shortest partner the length filter allows;
+the bound itself jumps up and down with S because M is rounded up, so T is
+its lower envelope, which rises with S: at the shortest partner it is at
+most the need of every partner.  Strings whose T is not positive (a few
 characters long) meet on their character multisets instead: a pair with M
 matches has a common sub-multiset of exactly ceil(t S / 2) characters, so both
 list their sub-multisets of that size and join on them.  No gram is capped
@@ -49,6 +55,9 @@ from ..session import checkpoint
 
 DEFAULT_THRESHOLD = 0.85
 
+# Shared grams that a candidate pair needs in the indexed ones of both strings.
+MATCHES = 4
+
 # Classes of the character histograms: characters modulo this many.
 HISTOGRAM = 64
 _EPS = 1e-9
@@ -187,14 +196,14 @@ def _near_udf(threshold: float):
     return near
 
 
-def _verify_udf(threshold: float):
+def verifier(threshold: float):
     @F.pandas_udf(T.BooleanType())
     def verify(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(verify_pairs(a.tolist(), b.tolist(), threshold), dtype=bool)
     return verify
 
 
-def _parts(df: DataFrame) -> int:
+def parts(df: DataFrame) -> int:
     """Partition count for the CPU-heavy steps.  They blow small inputs up
     (a string into hundreds of grams, grams into pairs), so AQE's coalescing
     by input bytes would squeeze them into a task or two; an explicit count is
@@ -204,18 +213,32 @@ def _parts(df: DataFrame) -> int:
                spark.sparkContext.defaultParallelism * 2)
 
 
-def _tokens(strings: DataFrame, q: int) -> DataFrame:
-    """(sid, n, t_min, token): q-grams of each string tagged with their
-    occurrence number.  Strings are hash-partitioned by id first, so the
-    occurrence window needs no further shuffle."""
+def grams_of(strings: DataFrame, q: int) -> DataFrame:
+    """(sid, n, t_min, pos, gram): the q-grams of each string with their positions."""
     n = F.length("s")
-    grams = strings.where(n >= q).repartition(_parts(strings), "sid").select(
+    return strings.where(n >= q).repartition(parts(strings), "sid").select(
         "sid", "n", "t_min",
         F.posexplode(F.transform(F.sequence(F.lit(1), n - q + 1),
                                  lambda i: F.substring(F.col("s"), i, q))).alias("pos", "gram"))
-    occ = F.row_number().over(Window.partitionBy("sid", "gram").orderBy("pos"))
-    return grams.select("sid", "n", "t_min",
-                        F.concat(F.col("gram"), F.lit("\u0001"), occ.cast("string")).alias("token"))
+
+
+def indexed_grams(grams: DataFrame, frequency: DataFrame, q: int, matches: int = MATCHES) -> DataFrame:
+    """(sid, n, gram, pos, r, g, l): the first g - t_min + l grams of each string by rarity.
+    ``frequency`` (gram, df) gives the order; a gram it lacks is the rarest."""
+    ranked = grams.join(frequency, "gram", "left").withColumn("r", F.row_number().over(
+        Window.partitionBy("sid").orderBy(F.col("df").asc_nulls_first(), "gram", "pos")))
+    ranked = ranked.withColumn("g", F.col("n") - q + 1).withColumn("l", F.least(F.lit(matches), "t_min").cast("int"))
+    return ranked.where(F.col("r") <= F.col("g") - F.col("t_min") + F.col("l")).select("sid", "n", "gram", "pos", "r", "g", "l")
+
+
+def lengths_fit(nx: Column, ny: Column, threshold: float) -> Column:
+    return F.least(nx, ny) * F.lit(2.0 - threshold) >= F.greatest(nx, ny) * F.lit(threshold) - F.lit(_EPS)
+
+
+def aligned(nx: Column, ny: Column, px: Column, py: Column, threshold: float) -> Column:
+    """Whether grams at these positions can lie in one matching block of a pair that reaches the threshold."""
+    m = min_matches(nx + ny, threshold)
+    return (px - py <= nx - m) & (py - px <= ny - m)
 
 
 def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
@@ -231,10 +254,7 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
         .withColumn("in_b", F.lit(True))
     u = a.join(b, "s", "full").select("s", F.coalesce("in_a", F.lit(False)).alias("in_a"),
                                       F.coalesce("in_b", F.lit(False)).alias("in_b"))
-    n = F.length("s")
-    u = u.withColumn("n", n).withColumn(
-        "t_min", F.when(n > 0, lowest_bound(n + min_partner_length(n, threshold), threshold, q)))
-    u = u.withColumn("short", (F.col("n") < q) | (F.col("t_min") <= 0) | F.col("t_min").isNull())
+    u = measured(u, threshold)
     # stable ids for the distinct strings: checkpointed, so every branch below
     # sees the same numbering even after a lost executor
     u = checkpoint(u.withColumn("hist", _histogram("s")).withColumn("sid", F.monotonically_increasing_id()))
@@ -242,39 +262,32 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     # exact equality (includes the empty string)
     same = u.where(F.col("in_a") & F.col("in_b")).select(F.col("s").alias("a"), F.col("s").alias("b"))
 
-    # prefix-filtered gram candidates among regular strings
+    # gram candidates among regular strings
     reg = u.where(~F.col("short"))
-    tok = _tokens(reg.select("sid", "s", "n", "t_min"), q)
-    freq = tok.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tok.join(freq, "token")
-    ranked = ranked.withColumn("r", F.row_number().over(
-        Window.partitionBy("sid").orderBy("df", "token")))
-    ranked = ranked.withColumn("g", F.col("n") - q + 1)
+    grams = grams_of(reg.select("sid", "s", "n", "t_min"), q)
+    freq = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     # geometric length buckets as wide as the admissible length ratio: two
     # strings that pass the length filter are at most one bucket apart, so the
     # gram join only meets strings of compatible length
     width = math.log((2.0 - threshold) / threshold)
-    prefix = ranked.where(F.col("r") <= F.col("g") - F.col("t_min") + 1) \
-                   .select("sid", "token", "r", "g", "n",
-                           F.floor(F.log(F.col("n")) / F.lit(width)).cast("int").alias("lb"))
+    prefix = indexed_grams(grams, freq, q).withColumn("lb", F.floor(F.log(F.col("n")) / F.lit(width)).cast("int"))
     # written once: both join sides read it, and the planner sizes the join
-    # from the real table instead of estimates of the generated tokens
+    # from the real table instead of estimates of the generated grams
     prefix = checkpoint(prefix, "prefix")
-    probe = prefix.select("sid", "token", "r", "g", "n",
-                          F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)).alias("lb"))
+    probe = prefix.withColumn("lb", F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)))
     x, y = prefix.alias("x"), probe.alias("y")  # hash-partitioned by the join, so AQE can split a frequent gram
     nx, ny = F.col("x.n"), F.col("y.n")
-    lo, hi = F.least(nx, ny), F.greatest(nx, ny)
     need = overlap_bound(nx + ny, threshold, q)
-    # positional filter: the first common token (smallest rank) at ranks
-    # (rx, ry) caps the overlap at 1 + min(gx - rx, gy - ry); later common
-    # tokens give smaller caps, so testing every matching token is lossless.
-    room = F.least(F.col("x.g") - F.col("x.r"), F.col("y.g") - F.col("y.r")) + 1
-    cond = ((F.col("x.token") == F.col("y.token")) & (F.col("x.lb") == F.col("y.lb"))
-            & (F.col("x.sid") < F.col("y.sid"))
-            & (lo * F.lit(2.0 - threshold) >= hi * F.lit(threshold) - F.lit(_EPS))
-            & (room >= need))
-    cand = x.join(y, cond).select(F.col("x.sid").alias("x"), F.col("y.sid").alias("y")).distinct()
+    # positional filter: the k-th shared gram at ranks (rx, ry) caps the overlap
+    # at k + min(gx - rx, gy - ry), and only the first l of them have to count
+    least = F.least("x.l", "y.l")
+    room = F.least(F.col("x.g") - F.col("x.r"), F.col("y.g") - F.col("y.r")) + least
+    cond = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.lb") == F.col("y.lb"))
+            & (F.col("x.sid") < F.col("y.sid")) & lengths_fit(nx, ny, threshold)
+            & aligned(nx, ny, F.col("x.pos"), F.col("y.pos"), threshold) & (room >= need))
+    met = x.join(y, cond).groupBy(F.col("x.sid").alias("x"), F.col("y.sid").alias("y")).agg(
+        F.count(F.lit(1)).alias("met"), F.first(least).alias("least"))
+    cand = met.where("met >= least").select("x", "y")
 
     cand = cand.unionByName(_short_candidates(u, threshold)).distinct()
     one = u.select(F.col("sid").alias("x"), F.col("hist").alias("xh"))
@@ -291,12 +304,36 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     directed = (c.where(F.col("xa") & F.col("yb")).select(F.col("xs").alias("a"), F.col("ys").alias("b"))
                 .unionByName(c.where(F.col("ya") & F.col("xb")).select(F.col("ys").alias("a"),
                                                                        F.col("xs").alias("b"))))
-    verify = _verify_udf(threshold)
-    found = (directed.repartition(_parts(directed), "b", "a").sortWithinPartitions("b")
+    verify = verifier(threshold)
+    found = (directed.repartition(parts(directed), "b", "a").sortWithinPartitions("b")
              .where(verify(F.col("a"), F.col("b"))))
     return same.unionByName(found)
 
 
+def measured(strings: DataFrame, threshold: float) -> DataFrame:
+    """With n, t_min (the shared grams that every partner needs at least) and
+    ``short`` (that bound says nothing)."""
+    n, q = F.length("s"), gram_size(threshold)
+    out = strings.withColumn("n", n).withColumn(
+        "t_min", F.when(n > 0, lowest_bound(n + min_partner_length(n, threshold), threshold, q)))
+    return out.withColumn("short", (F.col("n") < q) | (F.col("t_min") <= 0) | F.col("t_min").isNull())
+
+
+def short_reach(threshold: float) -> tuple[int, int]:
+    """(length of the longest partner of a short string, the most characters that
+    a pair with a short string leaves unmatched on one side)."""
+    q = gram_size(threshold)
+    slope = (2 * q - 1) * threshold / 2.0 - (q - 1)
+    def is_short(n: int) -> bool:
+        partner = math.ceil(n * threshold / (2.0 - threshold) - _EPS)
+        return n < q or math.ceil((n + partner) * slope - (q - 1 + _EPS)) <= 0
+    longest = max((n for n in range(1, 1000) if is_short(n)), default=0)
+    reach = int(longest * (2.0 - threshold) / threshold + _EPS)
+    spare = max(m - math.ceil((n + m) * threshold / 2.0 - _EPS)
+                for n in range(1, longest + 1) for m in range(n, min(reach, int(n * (2.0 - threshold) / threshold + _EPS)) + 1)) if longest else 0
+    return reach, spare
+
+
 def _without_one(keys: Column) -> Column:
     """All strings that lack one character of a string of the array."""
     def each(k: Column) -> Column:
@@ -305,35 +342,21 @@ def _without_one(keys: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.filter(keys, lambda k: F.length(k) > 0), each)))
 
 
+def multisets(strings: DataFrame, threshold: float) -> DataFrame:
+    """(sid, n, short, key): the sub-multisets of characters that short strings and their partners meet on."""
+    reach, spare = short_reach(threshold)
+    levels = [F.array(F.array_join(F.array_sort(F.split("s", "")), ""))]
+    for _ in range(spare):
+        levels.append(_without_one(levels[-1]))
+    return (strings.where((F.col("n") > 0) & (F.col("n") <= reach)).repartition(parts(strings), "sid")
+            .select("sid", "n", "short", F.explode(F.concat(*levels)).alias("key")))
+
+
 def _short_candidates(u: DataFrame, threshold: float) -> DataFrame:
     """(x, y) with a short string in the pair, over common sub-multisets of
     exactly the needed number of characters."""
-    shorts = u.where(F.col("short") & (F.col("n") > 0))
-    longest = shorts.agg(F.max("n")).first()[0]
-    if longest is None:
-        return u.sparkSession.createDataFrame([], "x long, y long")
-    reach = int(math.floor(longest * (2.0 - threshold) / threshold + _EPS))
-    # the most characters that a pair leaves unmatched on one side
-    spare = max(m - math.ceil((n + m) * threshold / 2.0 - _EPS)
-                for n in range(1, longest + 1) for m in range(n, min(reach, int(n * (2.0 - threshold) / threshold + _EPS)) + 1))
-    level = F.array(F.array_join(F.array_sort(F.split("s", "")), ""))
-    levels = [level]
-    for _ in range(spare):
-        levels.append(_without_one(levels[-1]))
-    keyed = (u.where((F.col("n") > 0) & (F.col("n") <= reach)).repartition(_parts(u), "sid")
-             .select("sid", "n", "short", F.explode(F.concat(*levels)).alias("key")))
+    keyed = multisets(u, threshold)
     x, y = keyed.where("short").alias("x"), keyed.alias("y")
     return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") != F.col("y.sid"))
                   & (F.length("x.key") == min_matches(F.col("x.n") + F.col("y.n"), threshold))).select(
         F.least("x.sid", "y.sid").alias("x"), F.greatest("x.sid", "y.sid").alias("y"))
-
-
-def similar_pairs_bruteforce(a_values, b_values, threshold: float = DEFAULT_THRESHOLD) -> set:
-    """Reference implementation for tests: every pair of distinct strings."""
-    out = set()
-    for x in set(v for v in a_values if v is not None):
-        for y in set(v for v in b_values if v is not None):
-            if ratio_at_least(x, y, threshold):
-                out.add((x, y))
-    return out
-

@@ -7,15 +7,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
+from ..operators.days import number_days, profile_days, unique_sources_days
 from ..operators.dedup import merge_by_key
 from ..session import table_path
-from ..sources.adapters import documents_articles
-from ..sources.feeds import DEFAULT_TITLE, extract_entries, read_feed_registry, read_feeds
-from ..sources.reports import INGEST_RULE, read_article_report
+from ..sources.adapters import documents_articles, pages_articles
+from ..sources.feeds import DEFAULT_TITLE, extract_entries, read_entries, read_feed_registry, read_feeds
+from ..sources.reports import FILTERED_RULE, INGEST_RULE, read_article_report
 from ..sources.sinks import write_articles, write_documents, write_stage
 from . import oracle as O
-from .jobs import CORPUS_LEXICONS
-from .registry import register
+from .jobs import CORPUS_LEXICONS, query_period
+from .registry import _PROFILE_COLS, _profile_sql, _reporting, register
 from .run import run_digest
 
 ITEMS = 50  # entries of one feed document
@@ -71,8 +72,62 @@ def q_feed_entries(spark, sf_dir):
     return extract_entries(read_feeds(spark, path), O.AS_OF).drop("entry_no")
 
 
+def write_atom(articles: DataFrame, path: str) -> None:
+    """The same as Atom documents, in folders ``feed_no=<n>``."""
+    date = F.date_format("published_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    link = F.when(F.col("url") != "", F.concat(F.lit('<link rel="self" href="https://self.example.com/"/><link rel="alternate" href="'),
+                                              F.replace(_xml(F.col("url")), F.lit('"'), F.lit("&quot;")), F.lit('"/>'))).otherwise(F.lit(""))
+    entry = F.concat(F.lit("<entry>"), _element("title", F.col("title")), F.coalesce(link, F.lit("")), _element("published", date),
+                     _element("content", F.col("content")), F.lit("</entry>"))
+    docs = (articles.select("feed_no", "entry_no", F.expr(f"entry_no div {ITEMS}").alias("chunk"), entry.alias("entry"))
+            .groupBy("feed_no", "chunk").agg(F.array_sort(F.collect_list(F.struct("entry_no", "entry"))).alias("entries")))
+    doc = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("feed_no").cast("string"), F.lit("</title>"),
+                   F.array_join(F.transform("entries", lambda x: x["entry"]), ""), F.lit("</feed>"))
+    docs.select("feed_no", "chunk", doc.alias("value")).write.mode("append").partitionBy("feed_no", "chunk").text(path)
+
+
+@register("feed_entries_mixed", f"""
+SELECT feed_no, coalesce(nullif(title, ''), {O.q(DEFAULT_TITLE)}) AS title, url,
+       coalesce(published_date, TIMESTAMP '{O.AS_OF}') AS published_date, {O.clean_content('content')} AS content
+FROM ({O.DOCS}) a""")
+def q_feed_entries_mixed(spark, sf_dir):
+    """A2 + A3 + H1: every article in one folder of RSS and Atom documents and
+    broken files, read in one call (the first poll is RSS, the second Atom)."""
+    path = table_path(spark, "mixed-feeds")
+    rows = documents_articles(spark, sf_dir)
+    write_rss(rows.where("feed_no < 100"), path)
+    write_atom(rows.where("feed_no >= 100"), path)
+    broken = rows.select("feed_no").distinct().select((F.col("feed_no") + 1000).alias("feed_no"), F.lit(0).alias("chunk"),
+                                                      F.lit("<html><body>moved</body></html>").alias("value"))
+    broken.write.mode("append").partitionBy("feed_no", "chunk").text(path)
+    return read_entries(spark, path, O.AS_OF).drop("entry_no")
+
+
+def write_filtered_report(articles: DataFrame, path: str) -> None:
+    """Plain-text blocks as a filtered report has them, one article each."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    block = F.concat(
+        F.lit("Article "), F.col("number").cast("string"), F.lit("\n" + "-" * 30), F.lit("\nTitle: "), blank("title"),
+        F.lit("\nURL: "), blank("url"), F.lit("\nSource: "), blank("source"),
+        F.lit("\nPublished: "), F.coalesce(F.date_format("published_date", "yyyy-MM-dd HH:mm:ss"), F.lit("None")),
+        F.lit("\nOccurrences: "), F.col("occurrences").cast("string"),
+        F.lit("\nContent Length: "), F.col("content_length").cast("string"), F.lit(" characters"),
+        F.lit("\nContent: "), blank("content"), F.lit("\n\n" + FILTERED_RULE + "\n"))
+    articles.select(block.alias("value")).write.text(path)
+
+
+@register("article_report_filtered", f"""
+SELECT number, nullif(title, '') AS title, url, nullif(source, '') AS source, published_date, occurrences, content_length,
+       nullif(content, '') AS content FROM ({O.reporting_sql(O.DOCS)}) r""")
+def q_article_report_filtered(spark, sf_dir):
+    """A4 for filtered reports: the period's reporting view as a report, read back."""
+    path = table_path(spark, "filtered-reports")
+    write_filtered_report(_reporting(spark, sf_dir), path)
+    return read_article_report(spark, path, filtered=True)
+
+
 @register("article_report", f"""
-SELECT CAST(entry_no * 2 + feed_no // 100 AS BIGINT) AS number, nullif(title, '') AS title, url, published_date,
+SELECT CAST(entry_no * 4 + feed_no // 100 AS BIGINT) AS number, nullif(title, '') AS title, url, published_date,
        CAST(1 AS BIGINT) AS occurrences, nullif(content, '') AS content FROM ({O.DOCS}) a""")
 def q_article_report(spark, sf_dir):
     """A4 + B13: every article as a block of a plain-text report, read back."""
@@ -80,7 +135,7 @@ def q_article_report(spark, sf_dir):
     a = documents_articles(spark, sf_dir)
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     block = F.concat(
-        F.lit("Article "), (F.col("entry_no") * 2 + F.floor(F.col("feed_no") / 100)).cast("string"), F.lit("\n" + "-" * 30),
+        F.lit("Article "), (F.col("entry_no") * 4 + F.floor(F.col("feed_no") / 100)).cast("string"), F.lit("\n" + "-" * 30),
         F.lit("\nTitle: "), blank("title"), F.lit("\nURL: "), blank("url"),
         F.lit("\nPublished: "), F.coalesce(F.date_format("published_date", "yyyy-MM-dd HH:mm:ss"), F.lit("None")),
         F.lit("\nOccurrences: 1\nContent: "), blank("content"), F.lit("\n\n" + INGEST_RULE + "\n"))
@@ -119,3 +174,40 @@ def q_run_digest(spark, sf_dir) -> DataFrame:
     out = run_digest(spark, documents_articles(spark, sf_dir), table_path(spark, "digest"), O.AS_OF, run_id="r",
                      start=O.PERIOD[0], end=O.PERIOD[1], lexicons=CORPUS_LEXICONS)
     return spark.read.parquet(out["selection"]).select("slot", "position", "section", "number", "topic", "impact_score", "title", "source")
+
+
+def _stored(spark, sf_dir, adapter=documents_articles) -> str:
+    """The unique articles and their day summary, written by day (A5)."""
+    path = table_path(spark, "stored")
+    write_articles(merge_by_key(adapter(spark, sf_dir)), path)
+    return path
+
+
+@register("query_period_stored", f"SELECT article_key, published_date, occurrences FROM ({O.range_sql(O.DOCS)}) r")
+def q_query_period_stored(spark, sf_dir):
+    """M2 / C1 over stored articles: only the period's days are read."""
+    return query_period(spark.read.parquet(f"{_stored(spark, sf_dir)}/articles"), *O.PERIOD).select("article_key", "published_date", "occurrences")
+
+
+@register("number_range_stored", f"SELECT number, article_key FROM ({O.range_sql(O.DOCS)}) r")
+def q_number_range_stored(spark, sf_dir):
+    """F1 of a period from the counts per day and the period's own days."""
+    path = _stored(spark, sf_dir)
+    return number_days(spark.read.parquet(f"{path}/articles"), spark.read.parquet(f"{path}/day_summary"), *O.PERIOD).select("number", "article_key")
+
+
+@register("profile_period_days", _profile_sql(O.reporting_sql(O.DOCS), *O.PERIOD))
+def q_profile_period_days(spark, sf_dir):
+    """E11 of a period merged from day summaries, without the articles."""
+    return profile_days(spark.read.parquet(f"{_stored(spark, sf_dir)}/day_summary"), *O.PERIOD).select(*_PROFILE_COLS)
+
+
+@register("profile_period_days_pages", _profile_sql(O.reporting_sql(O.PAGES), *O.PERIOD))
+def q_profile_period_days_pages(spark, sf_dir):
+    return profile_days(spark.read.parquet(f"{_stored(spark, sf_dir, pages_articles)}/day_summary"), *O.PERIOD).select(*_PROFILE_COLS)
+
+
+@register("unique_sources_days")
+def q_unique_sources_days(spark, sf_dir):
+    """E6 of a period from the days' sketches (an estimate; tests hold it against the exact count)."""
+    return unique_sources_days(spark.read.parquet(f"{_stored(spark, sf_dir, pages_articles)}/day_summary"), *O.PERIOD)

@@ -123,14 +123,15 @@ def summary_brief(x: str) -> str:
 DOCS = f"""
 SELECT CAST(CAST(substr(d.source, 4) AS INTEGER) + p.poll * 100 AS INTEGER) AS feed_no,
        d.doc_id AS entry_no,
-       CASE WHEN d.doc_id % 7 <> 0 THEN trim(split_part(d.text, chr(10), 1)) END AS title,
-       CASE WHEN d.doc_id % 3 <> 0 THEN 'https://' || d.source || '.example.com/' || CAST(d.doc_id AS VARCHAR)
+       CASE WHEN p.poll <> 2 THEN trim(split_part(d.text, chr(10), 1)) END AS title,
+       CASE WHEN p.poll < 2 THEN 'https://' || d.source || '.example.com/' || CAST(d.doc_id AS VARCHAR)
             || CASE WHEN p.poll = 1 THEN '/?utm_source=rss' ELSE '' END END AS url,
        CAST(date_trunc('second', e.ts) AS TIMESTAMP) AS published_date,
        {clean_content('d.text')} AS content
 FROM documents d
 LEFT JOIN events e ON e.event_id = d.doc_id * 5
-JOIN (SELECT 0 AS poll UNION ALL SELECT 1) p ON p.poll = 0 OR d.doc_id % 10 = 0
+JOIN (SELECT 0 AS poll, NULL AS tenth UNION ALL SELECT 1, 0 UNION ALL SELECT 2, 3 UNION ALL SELECT 3, 6) p
+  ON p.poll = 0 OR d.doc_id % 10 = p.tenth
 """
 
 PAGES = f"""

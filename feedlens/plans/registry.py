@@ -16,6 +16,7 @@ from ..functions import lexicons as L
 from ..functions import text as TX
 from ..operators import dedup, profile
 from ..operators import render as R
+from ..operators.lexicon_join import lexicon_scores, lexicon_topics
 from ..operators.ordering import number_articles, number_in_range
 from ..operators.render import (attach_links, extract_script_titles, link_post, render_script,
                                 sources_section, title_url_map, trends_sentence)
@@ -215,6 +216,15 @@ def q_top_sources(spark, sf_dir):
     return profile.top_sources(_reporting(spark, sf_dir, pages_articles), 5)
 
 
+@register("top_sources_bounded", f"""
+SELECT * FROM (SELECT row_number() OVER (ORDER BY count(*) DESC, min(number)) AS rank,
+                      {O.extract_domain('url')} AS domain, count(*) AS articles
+               FROM ({REP_P}) r WHERE url IS NOT NULL AND url <> '' GROUP BY 2) WHERE rank <= 5""")
+def q_top_sources_bounded(spark, sf_dir):
+    """G3 by a mergeable sketch and a count of its candidates only."""
+    return profile.top_sources_bounded(_reporting(spark, sf_dir, pages_articles), 5)
+
+
 @register("unique_sources", f"""
 SELECT count(DISTINCT {O.extract_domain('url')}) AS unique_sources
 FROM ({REP_P}) r WHERE url IS NOT NULL AND url <> ''""")
@@ -345,6 +355,37 @@ def q_lexicon_hits(spark, sf_dir):
     return t.where(F.col("_t").contains(F.col("k.keyword"))).select("number", "k.keyword", "k.weight")
 
 
+# every distinct benchmark word of four letters or more as a keyword, weighed by its length
+_LEXICON_SQL = """
+SELECT word AS keyword, CAST(length(word) AS INTEGER) AS weight FROM (
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM benchmark)"""
+
+
+def _benchmark_lexicon(spark, sf_dir) -> DataFrame:
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))
+    return (spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.explode(words).alias("keyword")).distinct()
+            .withColumn("weight", F.length("keyword")))
+
+
+@register("lexicon_scores", f"""
+SELECT r.number, sum(k.weight) AS keyword_score, count(*) AS hits
+FROM ({REP_D}) r JOIN ({_LEXICON_SQL}) k ON strpos({O.article_text()}, k.keyword) > 0 GROUP BY 1""")
+def q_lexicon_scores(spark, sf_dir):
+    """D4 / I1 with a lexicon table: a join on each keyword's rarest gram."""
+    return lexicon_scores(_reporting(spark, sf_dir), _benchmark_lexicon(spark, sf_dir))
+
+
+def _topic_table(spark, topics: dict) -> DataFrame:
+    rows = [(t, p, w) for p, (t, words) in enumerate(topics.items()) for w in words]
+    return spark.createDataFrame(rows, "topic string, priority int, keyword string")
+
+
+@register("lexicon_topics", f"SELECT number, topic FROM ({O.scored_sql(DOCS, L.CORPUS_IMPACT_KEYWORDS, L.CORPUS_TOPIC_KEYWORDS)}) s")
+def q_lexicon_topics(spark, sf_dir):
+    """I2 with the topics' keywords as a table."""
+    return lexicon_topics(_reporting(spark, sf_dir), _topic_table(spark, L.CORPUS_TOPIC_KEYWORDS), L.DEFAULT_TOPIC)
+
+
 @register("rank_by_impact", f"""
 SELECT number, row_number() OVER (ORDER BY impact_score DESC, number) AS impact_rank
 FROM ({O.scored_sql(DOCS, L.CORPUS_IMPACT_KEYWORDS, L.CORPUS_TOPIC_KEYWORDS)}) s""")
@@ -548,7 +589,7 @@ FROM walk w JOIN r USING (i)"""
 @register("duplicate_rules", f"SELECT * FROM ({_rules_sql(DOCS)}) x")
 def q_duplicate_rules(spark, sf_dir):
     """Rule keys per row (url, title, content hash) and similarity strings."""
-    return FG.duplicate_rules(documents_articles(spark, sf_dir)).drop("seq")
+    return FG.duplicate_rules(documents_articles(spark, sf_dir))
 
 
 @register("flag_duplicates_exact", _walk_sql(DOCS))

@@ -15,7 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedup import merge_by_key
-from ..operators.filters import resolve_range
+from ..operators.filters import DAY_COLUMN, resolve_range
 from ..operators.ordering import number_articles
 from ..sources.sinks import stage_path, write_articles, write_documents, write_stage
 from .jobs import DEFAULT_LEXICONS, Lexicons, digest_documents, period_profile, query_period
@@ -33,9 +33,7 @@ def run_digest(spark: SparkSession, raw: DataFrame, out_root: str, as_of, run_id
     folder = stage_path(out_root, run_id, "raw")
     write_articles(number_articles(merge_by_key(raw)), folder)
     out["unique"] = f"{folder}/articles"
-    numbered = spark.read.parquet(out["unique"]).drop("published_day")
-
-    queried = query_period(numbered, start_d, end_d)
+    queried = query_period(spark.read.parquet(out["unique"]), start_d, end_d).drop(DAY_COLUMN)
     out["processed"] = write_stage(queried, out_root, run_id, "processed", "articles")
     queried = spark.read.parquet(out["processed"])
     out["profile"] = write_stage(period_profile(queried, start_d, end_d, as_of), out_root, run_id,

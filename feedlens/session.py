@@ -19,6 +19,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.maxPlanStringLength": "1000000",  # plans with literal tables stay out of the driver's memory
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",  # runs of one sorted file a bucket are merged unsorted
+    # a union of bucketed scans would count as bucketed, and lose that when a later rule turns the scans back to plain ones
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.ui.enabled": "false",
 }
 

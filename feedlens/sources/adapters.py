@@ -22,30 +22,30 @@ def _event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents -> articles.  Poll 0 is every document; poll 1 re-reads a tenth
-    of them later with a tracking query on the URL (a feed read twice)."""
+    """documents -> articles.  Poll 0 is every document with its title and URL.
+    Later polls add rows: poll 1 re-reads a tenth of the documents with a tracking query on
+    the URL (a feed read twice), poll 2 another tenth with neither title nor URL,
+    poll 3 a tenth with the title but no URL."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     ev = _event_times(spark, sf_dir)
     base = docs.join(ev, docs.doc_id * 5 == ev.event_id, "left")
-    poll = F.explode(F.when(F.col("doc_id") % 10 == 0, F.array(F.lit(0), F.lit(1)))
-                     .otherwise(F.array(F.lit(0))))
-    url = F.when(F.col("doc_id") % 3 != 0,
-                 F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"),
-                          F.col("doc_id").cast("string")))
+    tenth = F.col("doc_id") % 10
+    also = F.when(tenth == 0, 1).when(tenth == 3, 2).when(tenth == 6, 3)
+    poll = F.explode(F.when(also.isNotNull(), F.array(F.lit(0), also)).otherwise(F.array(F.lit(0))))
+    url = F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/"), F.col("doc_id").cast("string"))
     rows = base.select(
         F.expr("cast(substr(source, 4) as int)").alias("feed_no0"),
         F.col("doc_id").alias("entry_no"),
-        F.when(F.col("doc_id") % 7 != 0,
-               F.trim(F.substring_index(F.col("text"), "\n", 1))).alias("title"),
+        F.trim(F.substring_index(F.col("text"), "\n", 1)).alias("title0"),
         url.alias("url0"),
         "published_date",
         clean_content("text").alias("content"),
         poll.alias("poll"))
     return rows.select(
         (F.col("feed_no0") + F.col("poll") * 100).cast("int").alias("feed_no"),
-        "entry_no", "title",
+        "entry_no", F.when(F.col("poll") != 2, F.col("title0")).alias("title"),
         F.when(F.col("poll") == 1, F.concat(F.col("url0"), F.lit("/?utm_source=rss")))
-         .otherwise(F.col("url0")).alias("url"),
+         .when(F.col("poll") == 0, F.col("url0")).alias("url"),
         "published_date", "content").select(*ARTICLE_COLUMNS)
 
 

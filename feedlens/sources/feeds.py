@@ -7,6 +7,9 @@ position so arrival order is kept.  A malformed document yields a row with
 defect, like a lenient feed parser that warns and continues.  A landed file
 names its registry row by a folder ``feed_no=<n>`` or a file name
 ``<n>-<anything>.xml``; without either the number is NULL.
+
+A folder may hold both formats: ``read_entries`` takes every document as what
+its row tag says, and ``stream_entries`` does so for files as they land.
 """
 
 from __future__ import annotations
@@ -82,23 +85,29 @@ def parse_rfc822(col: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
 
+FORMATS = {"rss": ("channel", RSS_SCHEMA), "atom": ("feed", ATOM_SCHEMA)}
+
+
+def _load(reader, path: str, fmt: str) -> DataFrame:
+    tag, schema = FORMATS[fmt]
+    return (reader.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True)
+            .schema(schema).load(path))
+
+
+def _documents(raw: DataFrame, fmt: str) -> DataFrame:
+    feed_no = _feed_no_from_path().alias("feed_no")
+    title, description, entries = (("title", "description", "item") if fmt == "rss"
+                                   else ("title._VALUE", "subtitle._VALUE", "entry"))
+    return raw.select(feed_no, F.coalesce(title, F.lit(FEED_TITLE_DEFAULT)).alias("feed_title"),
+                      F.coalesce(description, F.lit("")).alias("feed_description"),
+                      F.col(entries).alias("entries"), "_corrupt_record")
+
+
 def read_feeds(spark: SparkSession, path: str, fmt: str = "rss") -> DataFrame:
-    """A2: one row per landed feed document: feed_no, title, description,
-    entries (array) and the corrupt-record text when the XML is malformed."""
-    tag, schema = ("channel", RSS_SCHEMA) if fmt == "rss" else ("feed", ATOM_SCHEMA)
-    raw = (spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True)
-           .schema(schema).load(path))
-    feed_no = _feed_no_from_path()
-    if fmt == "rss":
-        return raw.select(feed_no.alias("feed_no"),
-                          F.coalesce("title", F.lit(FEED_TITLE_DEFAULT)).alias("feed_title"),
-                          F.coalesce("description", F.lit("")).alias("feed_description"),
-                          F.col("item").alias("entries"), "_corrupt_record")
-    return raw.select(feed_no.alias("feed_no"),
-                      F.coalesce("title._VALUE", F.lit(FEED_TITLE_DEFAULT)).alias("feed_title"),
-                      F.coalesce("subtitle._VALUE", F.lit("")).alias("feed_description"),
-                      F.col("entry").alias("entries"), "_corrupt_record")
+    """A2: one row per landed feed document of one format: feed_no, title,
+    description, entries (array) and the corrupt-record text when the XML is malformed."""
+    return _documents(_load(spark.read, path, fmt), fmt)
 
 
 def extract_entries(feeds: DataFrame, as_of, fmt: str = "rss") -> DataFrame:
@@ -131,6 +140,23 @@ def extract_entries(feeds: DataFrame, as_of, fmt: str = "rss") -> DataFrame:
     return out.select(*ARTICLE_COLUMNS)
 
 
+def read_entries(spark: SparkSession, path: str, as_of) -> DataFrame:
+    """A2 + A3 + H1 over a folder of RSS and Atom documents, in one job.  A document
+    that is neither has no row; of one with a defect the entries before it count."""
+    parts = [extract_entries(read_feeds(spark, path, fmt), as_of, fmt) for fmt in FORMATS]
+    return parts[0].unionAll(parts[1])
+
+
+def stream_entries(spark: SparkSession, path: str, as_of, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same as a stream over the files that land in the folder; the log of
+    files read is the stream's checkpoint."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    parts = [extract_entries(_documents(_load(reader, path, fmt), fmt), as_of, fmt) for fmt in FORMATS]
+    return parts[0].unionAll(parts[1])
+
+
 def corrupt_feed_count(feeds: DataFrame) -> DataFrame:
     """Malformed feed documents (reported, never fatal)."""
     # (the XML source refuses queries that read only the corrupt-record column)

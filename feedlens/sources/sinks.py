@@ -1,8 +1,8 @@
 """Sinks (A5-A7): Parquet stages and text documents.
 
 Stage outputs are Parquet, partitioned by publication day where rows are
-articles, so a later date filter prunes whole partitions.  Writes are plain
-DataFrameWriter jobs (atomic per job through the output committer), so a lost
+articles; C1 derives the days of a date range, so that a later date filter prunes
+whole partitions.  Writes are plain DataFrameWriter jobs (atomic per job through the output committer), so a lost
 executor only re-runs its tasks.
 """
 
@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.days import summarize_days
 from ..operators.dedup import occurrence_histogram
 
 
 def write_articles(unique: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A5: unique articles partitioned by day, and their occurrence statistics
-    (E2, from the written table) next to them.  Rows are dealt by day and a
+    (E2) and day summary (both from the written table) next to them.  Rows are dealt by day and a
     hash before the write, so a day is a few files and a busy day not one task."""
     spark = unique.sparkSession
     day = F.to_date("published_date")
@@ -26,6 +27,7 @@ def write_articles(unique: DataFrame, path: str, mode: str = "overwrite") -> Non
            .write.mode(mode).partitionBy("published_day").parquet(f"{path}/articles"))
     occurrence_histogram(spark.read.parquet(f"{path}/articles")).coalesce(1).write.mode(mode).parquet(
         f"{path}/occurrence_statistics")
+    summarize_days(spark.read.parquet(f"{path}/articles")).coalesce(parts).write.mode(mode).parquet(f"{path}/day_summary")
 
 
 def stage_path(root: str, run_id: str, stage: str) -> str:

@@ -11,11 +11,10 @@ shared file system.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import arrival, with_article_key
-from ..schema import ARTICLE_COLUMNS, ARTICLES
+from ..operators.dedup import merge_by_key
+from ..schema import ARTICLES
 
 
 def read_landed_entries(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None
@@ -27,12 +26,9 @@ def read_landed_entries(spark: SparkSession, landing_dir: str, max_files_per_tri
 
 
 def unique_articles_stream(entries: DataFrame) -> DataFrame:
-    """E1 as a streaming aggregation (update / complete output modes).  The state
-    of a key is its first arrival's row and the count, so the batch form's join
-    back to the input is not needed."""
-    merged = with_article_key(entries).groupBy("article_key").agg(
-        F.min_by(F.struct(*ARTICLE_COLUMNS), arrival()).alias("first"), F.count(F.lit(1)).alias("occurrences"))
-    return merged.select("article_key", "first.*", "occurrences")
+    """E1 as a streaming aggregation (update / complete output modes); the state of
+    a key is its first arrival's row and the count."""
+    return merge_by_key(entries)
 
 
 def start_unique_articles(spark: SparkSession, landing_dir: str, checkpoint_location: str,
@@ -51,3 +47,13 @@ def start_unique_articles(spark: SparkSession, landing_dir: str, checkpoint_loca
     if sink is None:
         return w.outputMode("complete").format("memory").start()
     return w.outputMode("update").foreachBatch(sink).start()
+
+
+def start_article_store(entries: DataFrame, store, checkpoint_location: str, query_name: str = "article_store",
+                        available_now: bool = False) -> StreamingQuery:
+    """Keep an ``ArticleStore`` up to date from a stream of entries (A2 as a stream or landed
+    tables).  A batch is known by its id, so a restarted stream does not count it twice."""
+    w = entries.writeStream.option("checkpointLocation", checkpoint_location).queryName(query_name)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.outputMode("append").foreachBatch(store.sink).start()

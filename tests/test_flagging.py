@@ -2,7 +2,7 @@ import math
 import random
 
 from feedlens.operators.flagging import duplicate_rules, flag_duplicates
-from feedlens.operators.similarity import similar_pairs, similar_pairs_bruteforce
+from feedlens.operators.similarity import similar_pairs
 from feedlens.schema import ARTICLES
 
 from . import pyref
@@ -43,7 +43,7 @@ def test_similar_rule_matches_sequential_walk(spark):
         rows = _random_rows(rng, n)
         df = _df(spark, rows)
         strings = duplicate_rules(df).select("a", "b").collect()
-        pairs = similar_pairs_bruteforce([r.a for r in strings], [r.b for r in strings])
+        pairs = pyref.similar_pairs([r.a for r in strings], [r.b for r in strings])
         assert _flags(spark, rows, True) == pyref.walked_flags(df, pairs)
 
 
@@ -80,7 +80,7 @@ def test_similarity_join_lossless_vs_bruteforce(spark):
     a_df = spark.createDataFrame([(v,) for v in values], "a string")
     b_df = spark.createDataFrame([(v,) for v in values[::2]], "b string")
     got = {(r.a, r.b) for r in similar_pairs(a_df, b_df).collect()}
-    assert got == similar_pairs_bruteforce(values, values[::2])
+    assert got == pyref.similar_pairs(values, values[::2])
 
 
 HARD = ("abcudefvghiwjklxmnyopzqrst", "abcdefghijklmnopqr\u03b1st")  # ratio 0.851, few shared trigrams
@@ -108,7 +108,7 @@ def test_similarity_at_the_least_overlap(spark):
     b_vals += ["aba", "cab", "aaaaaab", "abcd"]
     got = {(r.a, r.b) for r in similar_pairs(spark.createDataFrame([(v,) for v in a_vals], "a string"),
                                              spark.createDataFrame([(v,) for v in b_vals], "b string")).collect()}
-    expected = similar_pairs_bruteforce(a_vals, b_vals)
+    expected = pyref.similar_pairs(a_vals, b_vals)
     assert got == expected and HARD in expected and len(expected) > 150
 
 

@@ -1,8 +1,8 @@
 import datetime as dt
 import os
 
-from feedlens.sources.feeds import (corrupt_feed_count, extract_entries, read_feed_registry,
-                                    read_feeds)
+from feedlens.sources.feeds import (corrupt_feed_count, extract_entries, read_entries,
+                                    read_feed_registry, read_feeds)
 from feedlens.sources.reports import read_article_report
 
 RSS = """<?xml version="1.0" encoding="UTF-8"?>
@@ -52,6 +52,38 @@ def test_atom(spark, tmpdir_path):
     assert rows[1].content == "body"
 
 
+def mixed_folder(path, step=0):
+    """RSS, Atom and files that are neither, as they land in two steps."""
+    files = [{"00003-x.xml": RSS, "00004-bad.xml": '<?xml version="1.0"?><rss><channel><title>t</title><item><title>x', "00009-moved.html": "<html>moved</html>"},
+             {"feed_no=7/a.xml": ATOM, "00008-again.xml": RSS, "empty.xml": ""}][step]
+    for name, text in files.items():
+        os.makedirs(os.path.dirname(os.path.join(path, name)), exist_ok=True)
+        with open(os.path.join(path, name), "w") as f:
+            f.write(text)
+
+
+def test_mixed_folder(spark, tmpdir_path):
+    mixed_folder(tmpdir_path, 0)
+    mixed_folder(tmpdir_path, 1)
+    rows = read_entries(spark, tmpdir_path, "2024-01-16 00:00:00").collect()
+    one = extract_entries(read_feeds(spark, tmpdir_path), "2024-01-16 00:00:00").collect()
+    two = extract_entries(read_feeds(spark, tmpdir_path, "atom"), "2024-01-16 00:00:00", "atom").collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, one + two))
+    assert sorted((r.feed_no, r.entry_no) for r in rows) == [(3, 0), (3, 1), (3, 2), (7, 0), (7, 1), (8, 0), (8, 1), (8, 2)]
+
+
+def test_filtered_report(spark, tmpdir_path):
+    rule = "=" * 60
+    text = (f"FILTERED\n{rule}\n\nArticle 12\n" + "-" * 30 + "\nTitle: First\nURL: https://x.com/1\nSource: x.com\nPublished: 2024-01-05 10:00:00\n"
+            f"Occurrences: 2\nContent Length: 345 characters\nContent: Some text\n\n{rule}\n"
+            "Article 13\n" + "-" * 30 + f"\nTitle: Second\nURL: \nSource: \nPublished: None\nOccurrences: x\nContent Length: many\nContent: {'=' * 70}\n\n{rule}\n")
+    with open(os.path.join(tmpdir_path, "f.txt"), "w") as f:
+        f.write(text)
+    rows = {r.number: r for r in read_article_report(spark, tmpdir_path, filtered=True).collect()}
+    assert (rows[12].source, rows[12].content_length, rows[12].occurrences, rows[12].content) == ("x.com", 345, 2, "Some text")
+    assert (rows[13].source, rows[13].content_length, rows[13].occurrences, rows[13].published_date, rows[13].url) == (None, 0, None, None, None)
+
+
 def test_entries_before_a_defect_are_kept(spark, tmpdir_path):
     good = "<item><title>good</title><link>https://a/1</link><dc:date>2024-01-07T10:00:00Z</dc:date></item>"
     with open(os.path.join(tmpdir_path, "unnumbered.xml"), "w") as f:
