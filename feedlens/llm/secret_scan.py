@@ -30,8 +30,10 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 # ---------------------------------------------------------------------------
 
-#: What the models judge: tokens of at least this many of these characters.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: What the models judge: tokens of at least LONG of these characters.  What
+#: they learn ordinary identifiers from: shorter ones, since the long are not labelled.
+LONG = 20
+CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LONG},}}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{6,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _SIDE = len(ALPHABET) + 1  # 0: any other character
@@ -40,7 +42,13 @@ _SIDE = len(ALPHABET) + 1  # 0: any other character
 #: the identifiers come from (those with the smallest hashes).
 TRAIN_TOKENS = 20_000
 TRAIN_TEXTS = 2_000
+#: A character pair's probability leans on this many pairs drawn from what the
+#: model falls back on: for ordinary tokens the single characters (each counted
+#: SMOOTH times more), for random strings any character alike, which also makes
+#: up EVEN of their model, for the labelled secrets may know one alphabet only.
+BACKOFF = 5.0
 SMOOTH = 0.5
+EVEN = 0.5
 #: How much likelier (natural log) a secret must be: one token in 10,000 is one.
 LOG_ODDS = math.log(10_000)
 #: A model of fewer random strings than this judges nothing.
@@ -134,13 +142,14 @@ def samples(docs: DataFrame, scanned: DataFrame, tokens: int = TRAIN_TOKENS, tex
     body = docs.select(text_of().alias("text"), F.xxhash64(text_of()).alias("h")).where("text <> ''")
     chosen = body.select("h").distinct().orderBy("h").limit(texts)
     plain = (body.join(F.broadcast(chosen), "h").dropDuplicates(["h"])  # at most ``texts`` hashes
-             .select(F.explode(F.regexp_extract_all(rest_of(F.col("text")), F.lit(IDENTIFIER), F.lit(0))).alias("token")))
+             .select(F.explode(F.regexp_extract_all(rest_of(F.col("text")), F.lit(IDENTIFIER), F.lit(0))).alias("token"))
+             .where(F.length("token") < LONG))
     pick = lambda df, label: (df.distinct().orderBy(F.xxhash64("token"), "token").limit(tokens)
                               .select(F.lit(label).alias("label"), "token"))
     return pick(found, 1).unionAll(pick(plain, 0))
 
 
-def log_ratios(sample: DataFrame, smooth: float = SMOOTH) -> list[int] | None:
+def log_ratios(sample: DataFrame) -> list[int] | None:
     """Log-likelihood ratio (random to ordinary, in thousandths) of every
     character after every other; None without enough of both.  What is collected is
     bounded by the square of the alphabet."""
@@ -156,10 +165,15 @@ def log_ratios(sample: DataFrame, smooth: float = SMOOTH) -> list[int] | None:
             count[r["label"]][r["a"]][r["b"]] = r["count"]
     if min(tokens) < LEAST_TOKENS:
         return None
+    single = [SMOOTH + sum(row[b] for row in count[0]) for b in range(_SIDE)]
+    single = [x / sum(single) for x in single]
     out = []
     for plain, random in zip(*count):
-        all_plain, all_random = sum(plain) + smooth * _SIDE, sum(random) + smooth * _SIDE
-        out += [round(1000 * math.log((r + smooth) / all_random * all_plain / (p + smooth))) for p, r in zip(plain, random)]
+        all_plain, all_random = sum(plain) + BACKOFF, sum(random) + BACKOFF
+        for b in range(_SIDE):
+            ordinary = (plain[b] + BACKOFF * single[b]) / all_plain
+            chance = (1 - EVEN) * (random[b] + BACKOFF / _SIDE) / all_random + EVEN / _SIDE
+            out.append(round(1000 * math.log(chance / ordinary)))
     return out
 
 
