@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import fresh, let, slices, text_of
+from feedlens.llm.common import fresh, let, slices, small_batches, text_of
 from feedlens.session import checkpoint, discard
 
 #: Places of each half of the rank map.
@@ -322,6 +322,7 @@ def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTION
     Texts are never shuffled.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     table = read_ranks(ranks_file)
     literal = rank_map(table)
     top = frequent_words(docs, literal, pattern, most)

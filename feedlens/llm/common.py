@@ -39,11 +39,19 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def small_batches(spark: SparkSession, limit: int = 16 << 20) -> None:
+    """Bound the bytes of the Arrow batches that Python stages are handed from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, per_line: int = 0) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each holds about ``limit`` text bytes (or one
-    longer text): a worker's memory follows the longest text, not the batch."""
+    longer text): a worker's memory follows the longest text, not the batch.
+    ``per_line`` counts every line as so many bytes more, for work that follows lines."""
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if per_line:
+            size = size + per_line * (1 + pc.fill_null(pc.count_substring(batch.column(text), "\n"), 0).to_numpy(zero_copy_only=False))
         end = np.cumsum(size)
         start = 0
         while start < batch.num_rows:

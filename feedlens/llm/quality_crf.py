@@ -21,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from feedlens.llm.common import fresh, mix64, text_of, word_hashes, word_lists
+from feedlens.llm.common import fresh, mix64, small_batches, text_of, word_hashes, word_lists
 
 #: Bounds of the training sample: documents of each label (those with the
 #: smallest hash of doc_id) and the longest text taken for training.
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 200_000
 FOLDS, HELD_OUT = 5, 0
+#: What a line counts in the cutting of slices, besides its own bytes.
+LINE_BYTES = 64
 THRESHOLD = 0.3
 
 _SYMBOLS, _MARKS, _ENDS = b"#*$%&|<>@^~_+=\\{}[]", b"!?", b".!?\"')"
@@ -59,11 +61,11 @@ def _repeats(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
     return order[same]
 
 
-def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lines per text, features of each line, UTF-8 bytes of each line).
+def own_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(lines per text, features of each line alone, UTF-8 bytes of each line, its text).
 
     A null or empty text is one empty line.  Work and memory follow the bytes
-    of the array.
+    and the lines of the array.
     """
     texts = fresh(texts)
     lists = pc.split_pattern(texts, "\n")
@@ -71,7 +73,7 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lines = pa.concat_arrays([lists.flatten()]) if len(texts) else pa.array([], pa.large_string())
     n = len(lines)
     if not n:
-        return count, np.zeros((0, 3 * _OWN + 1), np.float32), np.zeros(0)
+        return count, np.zeros((0, _OWN), np.float32), np.zeros(0), np.zeros(0, np.int64)
     size = pc.binary_length(lines).to_numpy().astype(np.int64)
     data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)
     at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + n + 1]
@@ -102,11 +104,18 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     own = np.stack([
         symbol / solid, np.minimum(1.0, symbol / w), np.minimum(1.0, mark / w), upper / np.maximum(1.0, upper + lower),
         digit / solid, again / w, np.minimum(1.0, solid / w / 20.0), np.minimum(1.0, words / 40.0), seen,
-        np.isin(last, list(_ENDS)).astype(float), (doc_again / dw)[doc], (pair_again / dw)[doc]], axis=1)
+        np.isin(last, list(_ENDS)).astype(float), (doc_again / dw)[doc], (pair_again / dw)[doc]], axis=1, dtype=np.float32, casting="same_kind")
+    return count, own, size.astype(float), doc
+
+
+def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lines per text, features of each line, its neighbours and a constant, UTF-8 bytes of each line)."""
+    count, own, size, doc = own_features(texts)
     before, after = np.zeros_like(own), np.zeros_like(own)
-    before[1:] = np.where((doc[1:] == doc[:-1])[:, None], own[:-1], 0.0)
-    after[:-1] = np.where((doc[1:] == doc[:-1])[:, None], own[1:], 0.0)
-    return count, np.concatenate([own, before, after, np.ones((n, 1))], axis=1).astype(np.float32), size.astype(float)
+    same = (doc[1:] == doc[:-1])[:, None]
+    before[1:] = np.where(same, own[:-1], 0.0)
+    after[:-1] = np.where(same, own[1:], 0.0)
+    return count, np.concatenate([own, before, after, np.ones((len(own), 1), np.float32)], axis=1), size
 
 
 @dataclass(frozen=True)
@@ -175,9 +184,14 @@ def fit(count: np.ndarray, x: np.ndarray, label: np.ndarray, steps: int = 200, r
 
 def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
     """Length-weighted mean of the lines' good probability (bytes plus one each)."""
-    count, x, size = line_features(texts)
-    p, _, _ = marginals(x.astype(float) @ model.weights, count, model.transitions)
-    doc = np.repeat(np.arange(len(count)), count)
+    count, own, size, doc = own_features(texts)
+    # the neighbours' part of a line's potential, without their features side by side
+    mine, before, after = (own @ model.weights[k * _OWN:(k + 1) * _OWN] for k in range(3))
+    same = doc[1:] == doc[:-1]
+    emit = mine + model.weights[-1]
+    emit[1:] += np.where(same, before[:-1], 0.0)
+    emit[:-1] += np.where(same, after[1:], 0.0)
+    p, _, _ = marginals(emit, count, model.transitions)
     return np.clip(np.bincount(doc, weights=p * (size + 1), minlength=len(count))
                    / np.bincount(doc, weights=size + 1, minlength=len(count)), 0.0, 1.0)
 
@@ -190,6 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, longest: i
     """Fit on at most ``most`` documents of each label outside the held-out fold,
     of at most ``longest`` characters; the bound makes the driver's part
     (features of those lines) bounded too."""
+    small_batches(docs.sparkSession)
     known = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q1")).where("q = q1"))
     short = docs.select("doc_id", F.length(text_of()).alias("chars")).where(F.col("chars") <= longest).select("doc_id").distinct()
@@ -220,7 +235,7 @@ def score(text: Column, model: Model) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         from feedlens.llm.common import slices
 
-        out = [score_texts(b.column(0), model) for b in slices(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), "t")]
+        out = [score_texts(b.column(0), model) for b in slices(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), "t", per_line=LINE_BYTES)]
         return pa.array(np.concatenate(out) if out else np.zeros(0))
     return run(text)
 
