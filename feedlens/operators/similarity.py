@@ -24,7 +24,7 @@ The grams of a string are ordered by global rarity, then gram, then position.
 Blocks keep order, so the k-th shared gram of a is the k-th of b.  Of at least T shared ones the
 first l lie among the first |grams| - T + l of either string: each string
 indexes only these, and a pair has to meet in l of them (``MATCHES``, or T if that
-is less).  T is the bound for the shortest partner the length filter allows;
+is less; of two strings' l the smaller).  T is the bound for the shortest partner the length filter allows;
 the bound itself jumps up and down with S because M is rounded up, so T is
 its lower envelope, which rises with S: at the shortest partner it is at
 most the need of every partner.  Strings whose T is not positive (a few
@@ -35,14 +35,13 @@ and no candidate is dropped.
 
 Candidates carry ids.  Before any string is joined, character histograms
 (L1 distance at most (1 - t) S) rule most of them out; the rest is tested
-against the longest common subsequence, which no sum of ordered blocks
+once for both directions against the longest common subsequence, which no sum of ordered blocks
 exceeds, and then by difflib itself.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -56,6 +55,7 @@ from ..session import checkpoint
 DEFAULT_THRESHOLD = 0.85
 
 # Shared grams that a candidate pair needs in the indexed ones of both strings.
+# More of them leave fewer candidates, but make each string index more, and more frequent, grams.
 MATCHES = 4
 
 # Classes of the character histograms: characters modulo this many.
@@ -101,74 +101,42 @@ def ratio_at_least(a: str, b: str, threshold: float) -> bool:
     return sm.ratio() >= threshold
 
 
-def common_subsequence(a: str, where_b: dict[str, int], size_b: int) -> int:
-    """Length of the longest common subsequence, bit-parallel over b, given
-    as the bit set of the places of each character."""
+def common_subsequence(a: str, where_b: dict[str, int], size_b: int, need: int = 0) -> int:
+    """Length of the longest common subsequence, bit-parallel over b, given as the
+    bit set of the places of each character; once ``need`` is out of reach, anything below it."""
     full = (1 << size_b) - 1
     row = full
+    left = len(a)
     for ch in a:
         hit = row & where_b.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
+        left -= 1
+        if not left & 31 and size_b - row.bit_count() + left < need:
+            return -1
     return size_b - row.bit_count()
 
 
-def verify_pairs(a_values, b_values, threshold: float) -> list[bool]:
-    """``ratio_at_least`` for a batch of pairs, cheapest exact bounds first:
-    length, shared trigrams, longest common subsequence, and only then
-    difflib's ratio().
-
-    The trigram bound of the module docstring takes the tighter of two block
-    counts.  Blocks are separated by unmatched characters, so
-    B <= S - 2M + 1.  And when ``b`` has 200+ characters difflib's autojunk
-    leaves b's popular characters (more than len(b) // 100 + 1 copies) out of
-    its index: every block then holds a matched non-popular character of ``b``,
-    except possibly a common prefix of both strings, so
-    B <= (non-popular characters of b matchable in a) + 1.
-
-    Pairs are visited grouped by ``b`` so its index is built once."""
+def verify_pairs(a_values, b_values, threshold: float) -> list[tuple[bool, bool]]:
+    """``ratio_at_least`` both ways, (a, b) and (b, a), for a batch of pairs: by the
+    longest common subsequence, which no matching exceeds either way, and only then by
+    difflib, which is not symmetric.  Pairs are visited grouped by ``b``."""
     n = len(a_values)
-    out = [False] * n
-    chars: dict[str, Counter] = {}
-    grams: dict[str, Counter] = {}
-
-    def counted(s):
-        if s not in chars:
-            chars[s] = Counter(s)
-            grams[s] = Counter(s[i:i + 3] for i in range(len(s) - 2))
-        return chars[s], grams[s]
-
-    sm = SequenceMatcher(None)
-    current_b, indexed = None, False
-    where: dict[str, int] = {}
+    out = [(False, False)] * n
+    current, where = None, {}
     for i in sorted(range(n), key=lambda k: b_values[k]):
         x, y = a_values[i], b_values[i]
         if x == y:
-            out[i] = True
+            out[i] = (True, True)
             continue
         total = len(x) + len(y)
         if total == 0 or 2.0 * min(len(x), len(y)) / total < threshold:
             continue
-        if threshold > 0.8:
-            (cx, gx), (cy, gy) = counted(x), counted(y)
-            m_min = math.ceil(threshold * total / 2.0 - 1e-9)
-            blocks = total - 2 * m_min + 1
-            if len(y) >= 200:
-                limit = len(y) // 100 + 1
-                blocks = min(blocks, sum(min(k, cx.get(ch, 0)) for ch, k in cy.items() if k <= limit) + 1)
-            if sum((gx & gy).values()) < m_min - 2 * blocks:
-                continue
-        if y is not current_b:
-            current_b, indexed = y, False
-            where = {}
+        if y is not current:
+            current, where = y, {}
             for k, ch in enumerate(y):
                 where[ch] = where.get(ch, 0) | 1 << k
-        if 2.0 * common_subsequence(x, where, len(y)) / total < threshold:
-            continue
-        if not indexed:
-            sm.set_seq2(y)
-            indexed = True
-        sm.set_seq1(x)
-        out[i] = sm.ratio() >= threshold
+        if 2.0 * common_subsequence(x, where, len(y), math.ceil(threshold * total / 2.0 - 1e-9)) / total >= threshold:
+            out[i] = (SequenceMatcher(None, x, y).ratio() >= threshold, SequenceMatcher(None, y, x).ratio() >= threshold)
     return out
 
 
@@ -197,9 +165,10 @@ def _near_udf(threshold: float):
 
 
 def verifier(threshold: float):
-    @F.pandas_udf(T.BooleanType())
-    def verify(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(verify_pairs(a.tolist(), b.tolist(), threshold), dtype=bool)
+    """Whether (a, b) and whether (b, a) reach the threshold."""
+    @F.pandas_udf("forth boolean, back boolean")
+    def verify(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(verify_pairs(a.tolist(), b.tolist(), threshold), columns=["forth", "back"], dtype=bool)
     return verify
 
 
@@ -222,12 +191,12 @@ def grams_of(strings: DataFrame, q: int) -> DataFrame:
                                  lambda i: F.substring(F.col("s"), i, q))).alias("pos", "gram"))
 
 
-def indexed_grams(grams: DataFrame, frequency: DataFrame, q: int, matches: int = MATCHES) -> DataFrame:
+def indexed_grams(grams: DataFrame, frequency: DataFrame, q: int) -> DataFrame:
     """(sid, n, gram, pos, r, g, l): the first g - t_min + l grams of each string by rarity.
     ``frequency`` (gram, df) gives the order; a gram it lacks is the rarest."""
     ranked = grams.join(frequency, "gram", "left").withColumn("r", F.row_number().over(
         Window.partitionBy("sid").orderBy(F.col("df").asc_nulls_first(), "gram", "pos")))
-    ranked = ranked.withColumn("g", F.col("n") - q + 1).withColumn("l", F.least(F.lit(matches), "t_min").cast("int"))
+    ranked = ranked.withColumn("g", F.col("n") - q + 1).withColumn("l", F.least(F.lit(MATCHES), "t_min").cast("int"))
     return ranked.where(F.col("r") <= F.col("g") - F.col("t_min") + F.col("l")).select("sid", "n", "gram", "pos", "r", "g", "l")
 
 
@@ -274,7 +243,7 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     # written once: both join sides read it, and the planner sizes the join
     # from the real table instead of estimates of the generated grams
     prefix = checkpoint(prefix, "prefix")
-    probe = prefix.withColumn("lb", F.explode(F.array(F.col("lb") - 1, F.col("lb"), F.col("lb") + 1)))
+    probe = prefix.withColumn("lb", F.explode(F.array(F.col("lb") - 1, F.col("lb"))))  # y is the longer one
     x, y = prefix.alias("x"), probe.alias("y")  # hash-partitioned by the join, so AQE can split a frequent gram
     nx, ny = F.col("x.n"), F.col("y.n")
     need = overlap_bound(nx + ny, threshold, q)
@@ -283,7 +252,7 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     least = F.least("x.l", "y.l")
     room = F.least(F.col("x.g") - F.col("x.r"), F.col("y.g") - F.col("y.r")) + least
     cond = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.lb") == F.col("y.lb"))
-            & (F.col("x.sid") < F.col("y.sid")) & lengths_fit(nx, ny, threshold)
+            & ((nx < ny) | (nx == ny) & (F.col("x.sid") < F.col("y.sid"))) & lengths_fit(nx, ny, threshold)
             & aligned(nx, ny, F.col("x.pos"), F.col("y.pos"), threshold) & (room >= need))
     met = x.join(y, cond).groupBy(F.col("x.sid").alias("x"), F.col("y.sid").alias("y")).agg(
         F.count(F.lit(1)).alias("met"), F.first(least).alias("least"))
@@ -300,13 +269,12 @@ def similar_pairs(new_side: DataFrame, seen_side: DataFrame,
     c = (cand.join(flags.select(F.col("sid").alias("x"), F.col("s").alias("xs"), F.col("in_a").alias("xa"),
                                 F.col("in_b").alias("xb")), "x")
              .join(flags.select(F.col("sid").alias("y"), F.col("s").alias("ys"), F.col("in_a").alias("ya"),
-                                F.col("in_b").alias("yb")), "y"))
-    directed = (c.where(F.col("xa") & F.col("yb")).select(F.col("xs").alias("a"), F.col("ys").alias("b"))
-                .unionByName(c.where(F.col("ya") & F.col("xb")).select(F.col("ys").alias("a"),
-                                                                       F.col("xs").alias("b"))))
-    verify = verifier(threshold)
-    found = (directed.repartition(parts(directed), "b", "a").sortWithinPartitions("b")
-             .where(verify(F.col("a"), F.col("b"))))
+                                F.col("in_b").alias("yb")), "y")
+             .where(F.col("xa") & F.col("yb") | F.col("ya") & F.col("xb")))
+    c = c.repartition(parts(c), "y", "x").sortWithinPartitions("y").withColumn("is", verifier(threshold)("xs", "ys"))
+    each = F.array(F.when(F.col("xa") & F.col("yb") & F.col("is.forth"), F.struct(F.col("xs").alias("a"), F.col("ys").alias("b"))),
+                   F.when(F.col("ya") & F.col("xb") & F.col("is.back"), F.struct(F.col("ys").alias("a"), F.col("xs").alias("b"))))
+    found = c.select(F.explode(F.filter(each, lambda p: p.isNotNull())).alias("p")).select("p.a", "p.b")
     return same.unionByName(found)
 
 

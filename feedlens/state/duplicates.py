@@ -86,7 +86,7 @@ class DuplicateState:
         found = union([pairs.join(run, "sid").select("x", F.col("s").alias("b")) for run in texts])
         named = found.join(probe.select(F.col("sid").alias("x"), F.col("s").alias("a")), "x").select("a", "b").distinct()
         verify = S.verifier(t)
-        return named.repartition(S.parts(named), "b", "a").sortWithinPartitions("b").where(verify("a", "b")).select("a").distinct()
+        return named.repartition(S.parts(named), "b", "a").sortWithinPartitions("b").where(verify("a", "b")["forth"]).select("a").distinct()
 
     # ------------------------------------------------------------------ one poll
 
