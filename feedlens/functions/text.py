@@ -1,20 +1,14 @@
 """Scalar column functions: cleaning, normalization, keys, previews, summaries.
 
-All of them are built from JVM-side Spark expressions, so they stay inside
-whole-stage codegen.  The one exception is the rare-entity path of
-``clean_content``: rows holding an HTML entity outside the fixed list below go
-through an Arrow-batched pandas UDF (``html.unescape``); every other row never
-leaves the JVM.
+All of them are built from JVM-side Spark expressions; no row goes to Python.
 """
 
 from __future__ import annotations
 
-import html
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour)
@@ -77,11 +71,6 @@ def empty_to_null(col) -> Column:
     return F.when(c != "", c)
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: html.unescape(v) if isinstance(v, str) else None)
-
-
 def unescape_known(col) -> Column:
     """Decode the fixed entities in one pass: split on '&' and decode the head
     of every piece once (so "&amp;lt;" stays "&lt;")."""
@@ -101,12 +90,55 @@ def unescape_known(col) -> Column:
     return F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
 
 
+# What may follow an ampersand: a decimal or hexadecimal number, or a name.
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that need no semicolon, which therefore also end inside a longer word.
+_BARE = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+
+
+def _named() -> Column:
+    """The names of HTML 5 as a literal map, from the standard library's table."""
+    return F.str_to_map(F.lit("\x01".join(f"{n}\x02{v}" for n, v in html5.items())), F.lit("\x01"), F.lit("\x02"))
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point (a byte order mark would be lost in decoding)."""
+    return F.when(code == 0xFEFF, F.lit("\ufeff")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def _numbered(number: Column) -> Column:
+    """A numeric reference as HTML 5 reads it: Windows-1252 for 128 to 159, U+FFFD
+    for 0, surrogates and what is too large, nothing for the other non-characters."""
+    digits = F.regexp_extract(number, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
+    value = F.when(F.length(digits) > 8, F.lit(1 << 40)).when(digits == "", F.lit(0)).otherwise(F.when(
+        number.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("long")).otherwise(digits.try_cast("long")))
+    windows = F.array(*[F.lit(bytes([k]).decode("cp1252", "ignore") or chr(k)) for k in range(128, 160)])
+    low = value.bitwiseAND(F.lit(0xFFFF))
+    nothing = ((value < 9) | (value == 11) | value.between(14, 31) | (value == 127) | value.between(0xFDD0, 0xFDEF)
+               | (low == 0xFFFE) | (low == 0xFFFF))
+    return (F.when((value == 0) | value.between(0xD800, 0xDFFF) | (value > 0x10FFFF), F.lit("\ufffd"))
+            .when(value.between(128, 159), F.get(windows, (value - 128).cast("int")))
+            .when(nothing, F.lit("")).otherwise(_character(value)))
+
+
+def _reference(text: Column) -> Column:
+    """What follows an ampersand, with its reference decoded."""
+    ref = F.regexp_extract(text, _REFERENCE, 1)
+    rest = F.substring(text, F.length(ref) + 1, F.lit(1 << 30))
+    whole = _named()[ref]
+    bare = F.get(F.filter(F.array(*[F.lit(n) for n in _BARE]), lambda n: ref.startswith(n)), 0)
+    tail = F.substring(ref, F.length(bare) + 1, F.lit(40))
+    name = F.when(whole.isNotNull(), whole).when(bare.isNotNull(), F.concat(_named()[bare], tail)).otherwise(F.concat(F.lit("&"), ref))
+    return F.concat(F.when(ref == "", F.lit("&")).when(ref.startswith("#"), _numbered(ref)).otherwise(name), rest)
+
+
 def unescape_html(col) -> Column:
-    """``html.unescape``.  Fixed entities are replaced on the JVM; only rows with
-    any other live entity are shipped (as non-NULL values) to the Arrow UDF."""
+    """``html.unescape``.  The fixed entities are decoded by a chain of comparisons, other
+    references, which few rows hold, by the whole table of names."""
     c = _c(col)
-    rare = c.rlike(UNKNOWN_ENTITY)
-    return F.coalesce(_unescape_udf(F.when(rare, c)), unescape_known(c))
+    pieces = F.split(c, "&", -1)
+    every = F.array_join(F.concat(F.slice(pieces, 1, 1), F.transform(F.slice(pieces, 2, F.size(pieces)), _reference)), "")
+    return F.when(c.rlike(UNKNOWN_ENTITY), every).otherwise(unescape_known(c))
 
 
 def strip_tags(col) -> Column:

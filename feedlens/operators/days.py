@@ -30,21 +30,26 @@ def listed() -> Column:
     return F.struct((-F.unix_micros(F.col("published_date").cast("timestamp"))).alias("age"), "feed_no", "entry_no")
 
 
-def summarize_days(articles: DataFrame) -> DataFrame:
-    """The summary of every day of ``articles`` (unique articles with occurrences)."""
+def _counts(articles: DataFrame, at: Column) -> DataFrame:
+    """(day, at, domain, metric, key, n): what every article adds to the metrics."""
     domain = F.when(F.col("url") != "", extract_domain("url"))
-    rows = articles.where("published_date IS NOT NULL").select(
-        F.to_date("published_date").alias("day"), listed().alias("at"), domain.alias("domain"), F.hour("published_date").alias("hour"),
+    rows = articles.select(
+        F.to_date("published_date").alias("day"), at.alias("at"), domain.alias("domain"), F.hour("published_date").alias("hour"),
         "occurrences", F.length(F.coalesce("content", F.lit(""))).cast("long").alias("characters"))
     one = lambda metric, key, n: F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"), n.cast("long").alias("n"))
     none = F.lit(None)
     parts = F.array(one("articles", none, F.lit(1)), one("characters", none, F.col("characters")), one("occurrences", F.col("occurrences"), F.lit(1)),
                     one("hour", F.col("hour"), F.lit(1)), one("domain", F.col("domain"), F.lit(1)))
-    counted = (rows.select("day", "at", F.inline(parts)).where("metric <> 'domain' OR key IS NOT NULL")
-               .groupBy("day", "metric", "key").agg(F.sum("n").alias("n"), F.min("at").alias("first")))
+    return rows.select("day", "at", "domain", F.inline(parts)).where("metric NOT IN ('domain', 'hour') OR key IS NOT NULL")
+
+
+def summarize_days(articles: DataFrame) -> DataFrame:
+    """The summary of every day of ``articles`` (unique articles with occurrences)."""
     # the sketch passes over empty strings, and an address without a host has the domain ""
-    sketch = rows.groupBy("day").agg(F.hll_sketch_agg(F.concat(F.lit("/"), "domain")).alias("sketch")).withColumn("metric", F.lit("articles"))
-    return counted.join(sketch, ["day", "metric"], "left").select("day", "metric", "key", "n", "first", "sketch")
+    named = F.when(F.col("metric") == "articles", F.concat(F.lit("/"), "domain"))
+    return _counts(articles.where("published_date IS NOT NULL"), listed()).groupBy("day", "metric", "key").agg(
+        F.sum("n").alias("n"), F.min("at").alias("first"), F.hll_sketch_agg(named).alias("_sketch")).select(
+        "day", "metric", "key", "n", "first", F.when(F.col("metric") == "articles", F.col("_sketch")).alias("sketch"))
 
 
 def merge_summaries(one: DataFrame, two: DataFrame) -> DataFrame:
@@ -61,8 +66,21 @@ def _range(summary: DataFrame, start, end) -> DataFrame:
 def profile_days(summary: DataFrame, start, end, k: int = 5, generated_at=None, source_file: str | None = None) -> DataFrame:
     """E11 of a date range from its day rows, as ``profile.profile_articles`` gives it (no row when empty)."""
     days = _range(summary, start, end)
-    merged = checkpoint(days.groupBy("metric", "key").agg(F.sum("n").alias("n"), F.min("first").alias("first"),
-                                                          F.min("day").alias("first_day"), F.max("day").alias("last_day")), "days")
+    merged = days.groupBy("metric", "key").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.min("day").alias("first_day"),
+                                               F.max("day").alias("last_day"))
+    return _record(merged, start, end, k, generated_at, source_file)
+
+
+def profile_rows(articles: DataFrame, at: Column, start, end, k: int = 5, generated_at=None, source_file: str | None = None) -> DataFrame:
+    """The same record straight from articles, in one grouped pass over them; ``at`` orders them."""
+    merged = _counts(articles, at).groupBy("metric", "key").agg(F.sum("n").alias("n"), F.min("at").alias("first"), F.min("day").alias("first_day"),
+                                                               F.max("day").alias("last_day"))
+    return _record(merged, start, end, k, generated_at, source_file)
+
+
+def _record(merged: DataFrame, start, end, k: int, generated_at, source_file) -> DataFrame:
+    """The profile record from the merged metrics: a row for each domain, hour and occurrence count."""
+    merged = checkpoint(merged, "metrics")
     of = lambda metric: F.col("metric") == metric
     value = lambda metric, c: F.max(F.when(of(metric), F.col(c)))
     hour = F.struct(F.col("key").cast("int").alias("hour"), "n")
@@ -76,14 +94,16 @@ def profile_days(summary: DataFrame, start, end, k: int = 5, generated_at=None,
     top = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), "first", F.col("key").alias("domain"), F.col("n").alias("articles")))).alias("top"))
     sources = merged.where(of("domain")).agg(F.count(F.lit(1)).alias("unique_sources"))
     text = lambda c, a, b: F.array_join(F.transform(c, lambda s: F.concat(s[a].cast("string"), F.lit(": "), s[b].cast("string"))), "; ")
+    busiest = F.coalesce("peak.hour", F.lit(0)), F.coalesce("peak.n", F.lit(0))
     return rec.crossJoin(top).crossJoin(sources).where("total_articles > 0").select(  # three one-row frames
         F.lit(f"{start} to {end}").alias("query_date_range"), "total_articles",
-        F.concat_ws(" to ", F.date_format("d0", "yyyy-MM-dd"), F.date_format("d1", "yyyy-MM-dd")).alias("actual_date_range"), "unique_sources",
+        F.when(F.col("d0").isNotNull(), F.concat_ws(" to ", F.date_format("d0", "yyyy-MM-dd"), F.date_format("d1", "yyyy-MM-dd")))
+         .otherwise(F.lit("N/A")).alias("actual_date_range"), "unique_sources",
         F.transform("top", lambda s: F.struct(s["domain"].alias("domain"), s["articles"].alias("articles"))).alias("top_sources"),
         text("top", "domain", "articles").alias("top_sources_text"), F.map_from_entries("occ").alias("occurrence_distribution"),
         text("occ", "occurrences", "articles").alias("occurrence_distribution_text"),
         (F.col("characters") / F.col("total_articles")).cast("int").alias("avg_content_length"),
-        F.format_string("%02d:00 (%d articles)", F.col("peak.hour"), F.col("peak.n")).alias("peak_publishing_hour"),
+        F.format_string("%02d:00 (%d articles)", *busiest).alias("peak_publishing_hour"),
         F.lit(None if generated_at is None else str(generated_at)).cast("string").alias("generated_at"), F.lit(source_file).cast("string").alias("source_file"))
 
 

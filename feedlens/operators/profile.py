@@ -1,7 +1,7 @@
 """Profiles of a set of queried articles.
 
 Each metric is one aggregate with partial (map-side) aggregation.  The profile
-record (E11) joins one-row frames; the only collected lists are bounded: the
+record (E11) takes them all from one pass; the only collected lists are bounded: the
 top-k sources (k rows) and the occurrence distribution (one entry per distinct
 occurrence count).  "First encountered" tie-breaks use the smallest article
 ``number`` (the order the articles are listed in).
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import extract_domain
 from ..session import checkpoint
+from .days import profile_rows
 
 
 def _truthy(c: str):
@@ -127,35 +128,9 @@ def profile_articles(df: DataFrame, start, end, k: int = 5, generated_at=None,
 
     ``top_sources`` and ``occurrence_distribution`` are also rendered as text
     (``domain: n`` joined by '; ', ascending ``occ: n``) for flat comparison.
+    All metrics come from one grouped pass over the articles (``days.profile_rows``).
     """
-    base = df.agg(F.count(F.lit(1)).alias("total_articles"),
-                  F.date_format(F.min(F.to_date("published_date")), "yyyy-MM-dd").alias("_d0"),
-                  F.date_format(F.max(F.to_date("published_date")), "yyyy-MM-dd").alias("_d1"),
-                  F.avg(F.length(F.coalesce("content", F.lit("")))).cast("int").alias("avg_content_length"))
-    top = top_sources(df, k).agg(F.sort_array(F.collect_list(
-        F.struct("rank", "domain", "articles"))).alias("_top"))
-    occ = occurrence_distribution(df).agg(F.sort_array(F.collect_list(
-        F.struct("occurrences", "articles"))).alias("_occ"))
-    rec = (base.crossJoin(unique_sources(df)).crossJoin(top).crossJoin(occ)
-               .crossJoin(peak_hour(df)))
-    return rec.where(F.col("total_articles") > 0).select(
-        F.lit(f"{start} to {end}").alias("query_date_range"),
-        "total_articles",
-        F.when(F.col("_d0").isNotNull(), F.concat_ws(" to ", "_d0", "_d1"))
-         .otherwise(F.lit("N/A")).alias("actual_date_range"),
-        "unique_sources",
-        F.transform("_top", lambda s: F.struct(s["domain"].alias("domain"),
-                                               s["articles"].alias("articles"))).alias("top_sources"),
-        F.array_join(F.transform("_top", lambda s: F.concat(s["domain"], F.lit(": "),
-                                                              s["articles"].cast("string"))), "; ")
-         .alias("top_sources_text"),
-        F.map_from_entries("_occ").alias("occurrence_distribution"),
-        F.array_join(F.transform("_occ", lambda s: F.concat(s["occurrences"].cast("string"), F.lit(": "),
-                                                              s["articles"].cast("string"))), "; ")
-         .alias("occurrence_distribution_text"),
-        "avg_content_length", "peak_publishing_hour",
-        F.lit(None if generated_at is None else str(generated_at)).cast("string").alias("generated_at"),
-        F.lit(source_file).cast("string").alias("source_file"))
+    return profile_rows(df, F.col("number"), start, end, k, generated_at, source_file)
 
 
 def source_counts(selection: DataFrame, period: list[str] | None = None) -> DataFrame:

@@ -99,6 +99,18 @@ def test_run_digest_prunes(spark, tmpdir_path, monkeypatch):
     assert _partition_filters(seen[0])
 
 
+def test_profile_reads_its_articles_once(spark):
+    """Of the articles one scan, whatever the number of metrics (the record reads the merged metrics)."""
+    from unittest import mock
+
+    articles = number_in_range(_articles(spark), "2024-01-03", "2024-01-06")
+    with mock.patch.object(days, "checkpoint", side_effect=lambda df, label: plans.append(df) or df):
+        plans = []
+        profile.profile_articles(prepare_reporting(articles), "2024-01-03", "2024-01-06")
+    count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert len(plans) == 1 and count(plans[0]) == count(articles) <= 4
+
+
 def test_merge_by_key_scans_once(spark):
     from feedlens.sources.adapters import documents_articles
     from .conftest import SF001

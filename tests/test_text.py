@@ -100,3 +100,27 @@ def test_whitespace_set_matches_python(spark):
     assert got == [" ".join(v.split()) for v in values]
     got = _eval(spark, [chr(c) + "x" + chr(c) for c in cps], TX.strip_ws)
     assert got == [(chr(c) + "x" + chr(c)).strip() for c in cps]
+
+
+def test_unescape_equals_the_standard_library(spark):
+    """Every name of HTML 5 with and without its end, numbers of all kinds, and random mixtures."""
+    import html
+    import random
+    from html.entities import html5
+
+    from feedlens.functions.text import unescape_html
+
+    rng = random.Random(1)
+    codes = [*range(300), 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFEFF, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFF, 0x110000, 10 ** 12, 10 ** 30]
+    values = [f"&{n}" for n in html5] + [f"&{n[:-1]}x;" for n in html5] + [f"a&#{k};b&#x{k:x} &#X{k:X}" for k in codes]
+    parts = ["&", "#", "x", "amp", ";", "lt", "notit", "39", "0", " ", "<", "é", "&&", "&#", "&#x", "copy", "\n", "&amp;lt;", "😀", "&#00000000000000039;", "&not", "in;"]
+    values += ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string").select("i", unescape_html("v").alias("u"))
+    assert [(values[r.i], r.u) for r in df.collect() if r.u != html.unescape(values[r.i])] == []
+
+
+def test_cleaning_stays_on_the_jvm(spark):
+    from feedlens.sources.adapters import documents_articles
+
+    from .conftest import SF001
+    assert "Python" not in documents_articles(spark, SF001)._jdf.queryExecution().executedPlan().toString()
