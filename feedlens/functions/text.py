@@ -112,7 +112,7 @@ def _numbered(number: Column) -> Column:
     digits = F.regexp_extract(number, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
     value = F.when(F.length(digits) > 8, F.lit(1 << 40)).when(digits == "", F.lit(0)).otherwise(F.when(
         number.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("long")).otherwise(digits.try_cast("long")))
-    windows = F.array(*[F.lit(bytes([k]).decode("cp1252", "ignore") or chr(k)) for k in range(128, 160)])
+    windows = F.split(F.lit("|".join(bytes([k]).decode("cp1252", "ignore") or chr(k) for k in range(128, 160))), "\\|")
     low = value.bitwiseAND(F.lit(0xFFFF))
     nothing = ((value < 9) | (value == 11) | value.between(14, 31) | (value == 127) | value.between(0xFDD0, 0xFDEF)
                | (low == 0xFFFE) | (low == 0xFFFF))
@@ -126,7 +126,7 @@ def _reference(text: Column) -> Column:
     ref = F.regexp_extract(text, _REFERENCE, 1)
     rest = F.substring(text, F.length(ref) + 1, F.lit(1 << 30))
     whole = _named()[ref]
-    bare = F.get(F.filter(F.array(*[F.lit(n) for n in _BARE]), lambda n: ref.startswith(n)), 0)
+    bare = F.get(F.filter(F.split(F.lit("|".join(_BARE)), "\\|"), lambda n: ref.startswith(n)), 0)
     tail = F.substring(ref, F.length(bare) + 1, F.lit(40))
     name = F.when(whole.isNotNull(), whole).when(bare.isNotNull(), F.concat(_named()[bare], tail)).otherwise(F.concat(F.lit("&"), ref))
     return F.concat(F.when(ref == "", F.lit("&")).when(ref.startswith("#"), _numbered(ref)).otherwise(name), rest)
