@@ -43,7 +43,7 @@ DICTIONARY, DICTIONARY_BYTES = 600_000, 24
 #: with the square of the word, longer ones take ``merge_long``.
 FOLD_BYTES = 64
 #: Distinct words that a task counts before it hands them on.
-COUNTED = 300_000
+COUNTED = 60_000
 #: Text bytes of a slice.
 SLICE = 3 << 20
 _WORKER: dict = {}
@@ -170,7 +170,7 @@ def _count_words(pattern: str):
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())],
                                               ["word", "n"])
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             _, codes, chunks = chunked(b.column("text"))
             for chunk, n in zip(chunks, np.bincount(codes, minlength=len(chunks)).tolist()):
                 for w in find(chunk):
