@@ -10,8 +10,8 @@ index against the candidates, at most (sum of frequencies) / l, that it lets
 through.  A pair is verified when it shares the smaller l of the two.
 
 Per token, pairs are tested inside a task (size, position, and the distance of
-parity bitmaps, all of them exact upper bounds on the overlap) and only
-survivors leave it; token groups above ``BLOCK`` members are dealt out as
+folded parity bitmaps, all of them exact upper bounds on the overlap) and only
+survivors leave it, to be tested once by the long bitmaps; token groups above ``BLOCK`` members are dealt out as
 pairs of blocks.  Identical sets are one node.  Two rounds keep large groups of
 near copies linear: first a node's nearest few survivors are verified, then
 all survivors that the links found do not already connect.
@@ -33,13 +33,16 @@ from feedlens.session import checkpoint, discard
 
 WORDS, PERCENT = 5, 80
 SKETCH_BITS = 18
-BITMAP = 2048
+#: Bits of a set's parity bitmap, and of the folded one that travels with postings.
+BITMAP, FOLDED = 2048, 512
 MOST_MATCHES = 8
 #: Weights of the cost estimate: an indexed token, a comparison within a token
 #: group, a verified candidate.
 COST = (1.0, 0.02, 1.0)
 NEAREST = 3
 BLOCK = 1024
+#: Most texts whose ids (20 MB) are broadcast to fetch their sets; more are fetched by a shuffle join.
+FETCHED = 1_000_000
 HOT_LANES = 16
 
 
@@ -94,25 +97,31 @@ def bitmaps(size: np.ndarray, h: np.ndarray) -> Iterator[bytes]:
             yield row.tobytes()
 
 
+def folded(bitmap: bytes) -> bytes:
+    """The parity bitmap of ``FOLDED`` bits: the parts of the long one, each bit by parity."""
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, FOLDED // 64)).tobytes()
+
+
 def _profile(n: int):
-    """Rows of documents (doc_id, sig, n, bitmap) and, at a task's end, of the
+    """Rows of documents (doc_id, sig, n, bitmap, folded) and, at a task's end, of the
     frequency sketch (bucket, cnt)."""
-    names = ["kind", "doc_id", "sig", "n", "bitmap", "bucket", "cnt"]
+    names = ["kind", "doc_id", "sig", "n", "bitmap", "folded", "bucket", "cnt"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for b in slices(batches, "text"):
             size, h = sets_of(b.column("text"), n)
             sketch += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
-            rows = b.num_rows
+            rows, long_maps = b.num_rows, list(bitmaps(size, h))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(rows, np.int32)), b.column("doc_id"), pa.array(signatures(size, h)), pa.array(size.astype(np.int32)),
-                 pa.array(list(bitmaps(size, h)), pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names)
+                 pa.array(long_maps, pa.binary()), pa.array(map(folded, long_maps), pa.binary()),
+                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names)
         used = np.flatnonzero(sketch)
         rows = len(used)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(rows, np.int32)), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int32()),
-             pa.nulls(rows, pa.binary()), pa.array(used.astype(np.int32)), pa.array(sketch[used])], names)
+             pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary()), pa.array(used.astype(np.int32)), pa.array(sketch[used])], names)
     return run
 
 
@@ -218,7 +227,7 @@ def _survivors(percent: int, nearest: int | None):
         for t in _groups(batches):
             g = {c: t.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "n", "pos", "ell", "label", "low", "high", "block")}
             g["n"], g["pos"] = g["n"].astype(np.int64), g["pos"].astype(np.int64)
-            g["bitmap"] = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(len(g["sig"]), BITMAP // 64)
+            g["bitmap"] = np.frombuffer(b"".join(t.column("folded").to_pylist()), np.uint64).reshape(len(g["sig"]), FOLDED // 64)
             start = np.flatnonzero(np.concatenate([[True], np.diff(t.column("group").to_numpy()) != 0]))
             end = np.append(start[1:], len(g["sig"]))
             out = []
@@ -282,6 +291,17 @@ def _numbered(parts: list[pa.RecordBatch]) -> pa.Table:
     return t.append_column("group", pa.array(group))
 
 
+def _near(percent: int):
+    """Of pairs with both sizes and long bitmaps those that may reach the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, BITMAP // 64) for c in "xy")
+            both = b.column("s").to_numpy().astype(np.int64) + b.column("t").to_numpy()
+            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            yield b.filter(pa.array((both - far) // 2 >= -(-percent * both // (100 + percent)))).select(["a", "b"])
+    return run
+
+
 def _sets(n: int):
     """(sig, tokens) of the texts whose set is the one that was asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,26 +338,28 @@ def similar_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, n: int,
     links, labels = None, None
     for nearest in (NEAREST, None):
         if labels is None:
-            rows = wide.join(nodes.select("sig", "bitmap"), "sig").withColumn("label", F.col("sig"))
+            rows = wide.join(nodes.select("sig", "folded"), "sig").withColumn("label", F.col("sig"))
         else:
-            of = nodes.select("sig", "bitmap").join(labels, nodes["sig"] == labels["node"], "left").select(
-                "sig", "bitmap", F.coalesce("component", "sig").alias("label"))
+            of = nodes.select("sig", "folded").join(labels, nodes["sig"] == labels["node"], "left").select(
+                "sig", "folded", F.coalesce("component", "sig").alias("label"))
             mixed = shared.join(of.select("sig", "label"), "sig").groupBy("token").agg(
                 F.min("label").alias("m"), F.max("label").alias("x")).where("m <> x").select("token")
             rows = wide.join(mixed, "token", "left_semi").join(of, "sig")
         found = (rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
                  .mapInArrow(_survivors(percent, nearest), "a long, b long, need int"))
-        pairs = checkpoint(found.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need"))
-                           .where("shared >= need").select("a", "b"), "pairs")
+        met = found.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need")
+        maps = [nodes.select(F.col("sig").alias(k), F.col("n").alias(size), F.col("bitmap").alias(m)) for k, size, m in ("asx", "bty")]
+        pairs = checkpoint(met.select("a", "b").join(maps[0], "a").join(maps[1], "b").mapInArrow(_near(percent), "a long, b long"), "pairs")
         needed = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-        asked = nodes.join(needed, "sig", "left_semi").select("sig", F.col("rep").alias("doc_id"))
-        sets = checkpoint(docs.select("doc_id", "text").join(asked, "doc_id")
+        asked = checkpoint(nodes.join(needed, "sig", "left_semi").select("sig", F.col("rep").alias("doc_id")), "asked")
+        by_id = F.broadcast(asked) if asked.count() <= FETCHED else asked
+        sets = checkpoint(docs.select("doc_id", "text").join(by_id, "doc_id")
                           .mapInArrow(_sets(n), "sig long, tokens binary").dropDuplicates(["sig"]), "sets")
         x = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("x"))
         y = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("y"))
         good = checkpoint(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long")
                           .select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        discard(pairs, sets)
+        discard(pairs, asked, sets)
         links = good if links is None else links.unionAll(good)
         labels = components(links)
     return labels
@@ -357,15 +379,15 @@ def similar_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profile = checkpoint(docs.mapInArrow(
-        _profile(n), "kind int, doc_id long, sig long, n int, bitmap binary, bucket int, cnt long"), "profile")
-    rows = profile.where("kind = 0").select("doc_id", "sig", "n", "bitmap")
+        _profile(n), "kind int, doc_id long, sig long, n int, bitmap binary, folded binary, bucket int, cnt long"), "profile")
+    rows = profile.where("kind = 0").select("doc_id", "sig", "n", "bitmap", "folded")
     counts = profile.where("kind = 1").groupBy("bucket").agg(F.sum("cnt").alias("cnt")).toArrow()  # 2^SKETCH_BITS rows at most
     sketch = np.zeros(1 << SKETCH_BITS)
     sketch[counts.column("bucket").to_numpy()] = counts.column("cnt").to_numpy()
     frequency = spark.sparkContext.broadcast(excess(sketch).astype(np.float32).tobytes())  # 1 MB
 
     named = rows.where("n > 0 AND doc_id IS NOT NULL")
-    nodes = checkpoint(named.groupBy("sig", "n", "bitmap").agg(F.min("doc_id").alias("rep")), "nodes")
+    nodes = checkpoint(named.groupBy("sig", "n", "bitmap", "folded").agg(F.min("doc_id").alias("rep")), "nodes")
     shared = checkpoint(docs.where("doc_id IS NOT NULL").mapInArrow(
         _postings(n, percent, frequency), "lane long, hot boolean, token long, sig long, n int, pos int, ell int")
         .repartition("lane").sortWithinPartitions("token", "sig")
