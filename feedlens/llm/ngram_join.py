@@ -33,8 +33,10 @@ from feedlens.session import checkpoint, discard
 
 WORDS, PERCENT = 5, 80
 SKETCH_BITS = 18
-#: Bits of a set's parity bitmap, and of the folded one that travels with postings.
-BITMAP, FOLDED = 2048, 512
+#: Least bits of a set's parity bitmap (about four a token, a power of two),
+#: and of the folded one that travels with postings: of sets above WIDE tokens
+#: BITMAP bits, of others FOLDED.
+BITMAP, FOLDED, WIDE = 2048, 512, 1024
 MOST_MATCHES = 8
 #: Weights of the cost estimate: an indexed token, a comparison within a token
 #: group, a verified candidate.
@@ -91,15 +93,26 @@ def bitmaps(size: np.ndarray, h: np.ndarray) -> Iterator[bytes]:
     for start in range(0, len(size), 1024):
         part = size[start:start + 1024]
         low, high = end[start] - size[start], end[start + len(part) - 1]
-        bit = (mix64(h[low:high] ^ np.uint64(0x5BD1E995)) & np.uint64(BITMAP - 1)).astype(np.int64)
+        mixed = mix64(h[low:high] ^ np.uint64(0x5BD1E995))
+        bit = (mixed & np.uint64(BITMAP - 1)).astype(np.int64)
         odd = np.bincount(np.repeat(np.arange(len(part)), part) * BITMAP + bit, minlength=len(part) * BITMAP) & 1
-        for row in np.packbits(odd.astype(np.uint8).reshape(len(part), BITMAP), axis=1):
+        upto = end[start:start + len(part)] - low
+        for k, row in enumerate(np.packbits(odd.astype(np.uint8).reshape(len(part), BITMAP), axis=1)):
+            if 4 * part[k] > BITMAP:
+                width = 1 << int(4 * part[k] - 1).bit_length()
+                own = (mixed[upto[k] - part[k]:upto[k]] & np.uint64(width - 1)).astype(np.int64)
+                row = np.packbits((np.bincount(own, minlength=width) & 1).astype(np.uint8))
             yield row.tobytes()
 
 
-def folded(bitmap: bytes) -> bytes:
-    """The parity bitmap of ``FOLDED`` bits: the parts of the long one, each bit by parity."""
-    return np.bitwise_xor.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, FOLDED // 64)).tobytes()
+def fold(bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """A parity bitmap (as 64-bit words) of fewer bits: its parts, each bit by parity."""
+    return np.bitwise_xor.reduce(bitmap.reshape(-1, bits // 64))
+
+
+def folded(bitmap: bytes, n: int) -> bytes:
+    """The bitmap that a set of ``n`` tokens sends with its postings."""
+    return fold(np.frombuffer(bitmap, np.uint64), BITMAP if n > WIDE else FOLDED).tobytes()
 
 
 def _profile(n: int):
@@ -115,7 +128,7 @@ def _profile(n: int):
             rows, long_maps = b.num_rows, list(bitmaps(size, h))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(rows, np.int32)), b.column("doc_id"), pa.array(signatures(size, h)), pa.array(size.astype(np.int32)),
-                 pa.array(long_maps, pa.binary()), pa.array(map(folded, long_maps), pa.binary()),
+                 pa.array(long_maps, pa.binary()), pa.array(map(folded, long_maps, size.tolist()), pa.binary()),
                  pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names)
         used = np.flatnonzero(sketch)
         rows = len(used)
@@ -208,8 +221,11 @@ def _survivors(percent: int, nearest: int | None):
         bound = np.minimum(g["pos"][i], g["pos"][j]) + np.minimum(s - g["pos"][i], t - g["pos"][j])
         rows = np.flatnonzero((g["label"][i] != g["label"][j]) & (bound >= least)
                               & (100 * np.minimum(s, t) >= percent * np.maximum(s, t)))
-        x = g["bitmap"][i] if np.ndim(i) == 0 else g["bitmap"][i[rows]]
-        far = np.bitwise_count(g["bitmap"][j[rows]] ^ x).sum(axis=1, dtype=np.int64)
+        i = np.broadcast_to(i, len(j))[rows]
+        far = np.bitwise_count(g["bitmap"][j[rows]] ^ g["bitmap"][i]).sum(axis=1, dtype=np.int64)
+        x, y = g["wide_at"][i], g["wide_at"][j[rows]]
+        both = np.flatnonzero((x >= 0) & (y >= 0))
+        far[both] = np.bitwise_count(g["wide"][x[both]] ^ g["wide"][y[both]]).sum(axis=1, dtype=np.int64)
         ok = ((s + t)[rows] - far) // 2 >= least[rows]
         return rows[ok], far[ok]
 
@@ -227,21 +243,26 @@ def _survivors(percent: int, nearest: int | None):
         for t in _groups(batches):
             g = {c: t.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "n", "pos", "ell", "label", "low", "high", "block")}
             g["n"], g["pos"] = g["n"].astype(np.int64), g["pos"].astype(np.int64)
-            g["bitmap"] = np.frombuffer(b"".join(t.column("folded").to_pylist()), np.uint64).reshape(len(g["sig"]), FOLDED // 64)
+            maps = [np.frombuffer(m, np.uint64) for m in t.column("folded").to_pylist()]
+            wide = np.array([len(m) * 64 == BITMAP for m in maps])
+            g["bitmap"] = np.stack([fold(m, FOLDED) if w else m for m, w in zip(maps, wide)])
+            g["wide_at"] = np.where(wide, np.cumsum(wide) - 1, -1)
+            wide = np.array([m for m, w in zip(maps, wide) if w], np.uint64).reshape(-1, BITMAP // 64)
             start = np.flatnonzero(np.concatenate([[True], np.diff(t.column("group").to_numpy()) != 0]))
             end = np.append(start[1:], len(g["sig"]))
             out = []
             i = start[end - start == 2]  # most groups: all at once
+            every = {**g, "wide": wide}
             j = i + 1
             here = (g["low"][i] == g["high"][i]) | (g["block"][i] != g["block"][j])
             i, j = i[here], j[here]
-            rows, _ = admitted(g, i, j)
+            rows, _ = admitted(every, i, j)
             i, j = i[rows], j[rows]
             if len(i):
                 out.append((np.minimum(g["sig"][i], g["sig"][j]), np.maximum(g["sig"][i], g["sig"][j]),
                             np.minimum(g["ell"][i], g["ell"][j])))
             for a, b in zip(start[end - start > 2], end[end - start > 2]):
-                one = {k: v[a:b] for k, v in g.items()}
+                one = {**{k: v[a:b] for k, v in g.items()}, "wide": wide}
                 found = [(np.full(len(j), i), j, far) for i, j, far in pairs(one)]
                 if not found:
                     continue
@@ -295,9 +316,12 @@ def _near(percent: int):
     """Of pairs with both sizes and long bitmaps those that may reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, BITMAP // 64) for c in "xy")
             both = b.column("s").to_numpy().astype(np.int64) + b.column("t").to_numpy()
-            far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            far = np.empty(b.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(b.column("x"), b.column("y"))):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                bits = 64 * min(len(x), len(y))
+                far[k] = np.bitwise_count(fold(x, bits) ^ fold(y, bits)).sum(dtype=np.int64)
             yield b.filter(pa.array((both - far) // 2 >= -(-percent * both // (100 + percent)))).select(["a", "b"])
     return run
 
