@@ -243,11 +243,14 @@ def _survivors(percent: int, nearest: int | None):
         for t in _groups(batches):
             g = {c: t.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "n", "pos", "ell", "label", "low", "high", "block")}
             g["n"], g["pos"] = g["n"].astype(np.int64), g["pos"].astype(np.int64)
-            maps = [np.frombuffer(m, np.uint64) for m in t.column("folded").to_pylist()]
-            wide = np.array([len(m) * 64 == BITMAP for m in maps])
-            g["bitmap"] = np.stack([fold(m, FOLDED) if w else m for m, w in zip(maps, wide)])
-            g["wide_at"] = np.where(wide, np.cumsum(wide) - 1, -1)
-            wide = np.array([m for m, w in zip(maps, wide) if w], np.uint64).reshape(-1, BITMAP // 64)
+            maps = t.column("folded")
+            far_reaching = pc.binary_length(maps).to_numpy() * 8 == BITMAP
+            wide, narrow = (np.frombuffer(b"".join(maps.filter(pa.array(rows)).to_pylist()), np.uint64).reshape(-1, bits // 64)
+                            for rows, bits in ((far_reaching, BITMAP), (~far_reaching, FOLDED)))
+            g["bitmap"] = np.empty((len(g["sig"]), FOLDED // 64), np.uint64)
+            g["bitmap"][~far_reaching] = narrow
+            g["bitmap"][far_reaching] = np.bitwise_xor.reduce(wide.reshape(len(wide), -1, FOLDED // 64), axis=1) if len(wide) else 0
+            g["wide_at"] = np.where(far_reaching, np.cumsum(far_reaching) - 1, -1)
             start = np.flatnonzero(np.concatenate([[True], np.diff(t.column("group").to_numpy()) != 0]))
             end = np.append(start[1:], len(g["sig"]))
             out = []
