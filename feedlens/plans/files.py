@@ -3,7 +3,7 @@ from the test tables into the shared checkpoint folder and reads them back."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
@@ -20,6 +20,7 @@ from .registry import _PROFILE_COLS, _profile_sql, _reporting, register
 from .run import run_digest
 
 ITEMS = 50  # entries of one feed document
+FILE_ITEMS = 500  # entries of the documents of one landed file, up to one document more
 
 
 def _xml(c: Column) -> Column:
@@ -34,18 +35,31 @@ def _element(name: str, c: Column) -> Column:
     return F.when(c.isNotNull() & (c != ""), F.concat(F.lit(f"<{name}>"), _xml(c), F.lit(f"</{name}>"))).otherwise(F.lit(""))
 
 
+def _land(entries: DataFrame, path: str, head: Column, tail: str) -> None:
+    """Feed documents of the entries (feed_no, entry_no, entry) of ITEMS consecutive numbers, in folders
+    ``feed_no=<n>``.  A feed's consecutive documents share a file (one root over them) up to FILE_ITEMS entries: their
+    number follows the entries, however sparse a feed's numbers are."""
+    e = entries.withColumn("chunk", F.expr(f"entry_no div {ITEMS}"))
+    before = F.sum("n").over(Window.partitionBy("feed_no").orderBy("chunk")) - F.col("n")
+    files = e.groupBy("feed_no", "chunk").agg(F.count(F.lit(1)).alias("n")).withColumn("before", before).select(
+        F.col("feed_no").alias("f"), F.col("chunk").alias("c"), F.expr(f"before div {FILE_ITEMS}").alias("file"))
+    docs = e.groupBy("feed_no", "chunk").agg(F.array_sort(F.collect_list(F.struct("entry_no", "entry"))).alias("entries"))
+    doc = F.concat(head, F.array_join(F.transform("entries", lambda x: x["entry"]), ""), F.lit(tail))
+    placed = docs.join(files, docs["feed_no"].eqNullSafe(files["f"]) & docs["chunk"].eqNullSafe(files["c"])).select(
+        "feed_no", "file", "chunk", doc.alias("doc"))
+    whole = placed.groupBy("feed_no", "file").agg(F.array_sort(F.collect_list(F.struct("chunk", "doc"))).alias("docs"))
+    body = F.concat(F.lit("<feeds>"), F.array_join(F.transform("docs", lambda x: x["doc"]), ""), F.lit("</feeds>"))
+    whole.select("feed_no", "file", body.alias("value")).write.mode("append").partitionBy("feed_no", "file").text(path)
+
+
 def write_rss(articles: DataFrame, path: str) -> None:
-    """RSS documents of the entries of ITEMS consecutive numbers, one file each, in
-    folders ``feed_no=<n>``."""
+    """The entries as landed RSS documents."""
     date = F.concat(F.date_format("published_date", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
     item = F.concat(F.lit("<item>"), _element("title", F.col("title")), _element("link", F.col("url")),
                     _element("pubDate", date), _element("content:encoded", F.col("content")), F.lit("</item>"))
-    docs = (articles.select("feed_no", "entry_no", F.expr(f"entry_no div {ITEMS}").alias("chunk"), item.alias("item"))
-            .groupBy("feed_no", "chunk").agg(F.array_sort(F.collect_list(F.struct("entry_no", "item"))).alias("items")))
-    doc = F.concat(F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>'),
-                   F.col("feed_no").cast("string"), F.lit("</title><description>landed</description>"),
-                   F.array_join(F.transform("items", lambda x: x["item"]), ""), F.lit("</channel></rss>"))
-    docs.select("feed_no", "chunk", doc.alias("value")).write.partitionBy("feed_no", "chunk").text(path)
+    head = F.concat(F.lit('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>'),
+                    F.col("feed_no").cast("string"), F.lit("</title><description>landed</description>"))
+    _land(articles.select("feed_no", "entry_no", item.alias("entry")), path, head, "</channel></rss>")
 
 
 @register("feed_registry", """
@@ -73,17 +87,14 @@ def q_feed_entries(spark, sf_dir):
 
 
 def write_atom(articles: DataFrame, path: str) -> None:
-    """The same as Atom documents, in folders ``feed_no=<n>``."""
+    """The same as Atom documents."""
     date = F.date_format("published_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     link = F.when(F.col("url") != "", F.concat(F.lit('<link rel="self" href="https://self.example.com/"/><link rel="alternate" href="'),
                                               F.replace(_xml(F.col("url")), F.lit('"'), F.lit("&quot;")), F.lit('"/>'))).otherwise(F.lit(""))
     entry = F.concat(F.lit("<entry>"), _element("title", F.col("title")), F.coalesce(link, F.lit("")), _element("published", date),
                      _element("content", F.col("content")), F.lit("</entry>"))
-    docs = (articles.select("feed_no", "entry_no", F.expr(f"entry_no div {ITEMS}").alias("chunk"), entry.alias("entry"))
-            .groupBy("feed_no", "chunk").agg(F.array_sort(F.collect_list(F.struct("entry_no", "entry"))).alias("entries")))
-    doc = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("feed_no").cast("string"), F.lit("</title>"),
-                   F.array_join(F.transform("entries", lambda x: x["entry"]), ""), F.lit("</feed>"))
-    docs.select("feed_no", "chunk", doc.alias("value")).write.mode("append").partitionBy("feed_no", "chunk").text(path)
+    head = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("feed_no").cast("string"), F.lit("</title>"))
+    _land(articles.select("feed_no", "entry_no", entry.alias("entry")), path, head, "</feed>")
 
 
 @register("feed_entries_mixed", f"""

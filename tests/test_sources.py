@@ -129,3 +129,19 @@ def test_report_rules_count_at_line_start_only(spark, tmpdir_path):
     rows = {r.title: r for r in read_article_report(spark, p).collect()}
     assert rows["First one"].content == "before " + "=" * 75 + " after the rule more"
     assert rows["Second"].number is None and rows["Second"].content == "Other"
+
+
+def test_feeds_with_sparse_numbers_land_in_few_files(spark, tmpdir_path):
+    """Files follow the entries of a feed, not the range of their numbers; every entry comes back."""
+    import glob
+
+    from feedlens.plans.files import FILE_ITEMS, write_atom, write_rss
+    rows = [(f, n * 1000 + f, f"t {f} {n} <&", f"https://a.example.com/{f}/{n}", dt.datetime(2024, 1, 2), f"c{n}")
+            for f in (1, 2) for n in range(FILE_ITEMS + 30)]
+    articles = spark.createDataFrame(rows, "feed_no int, entry_no long, title string, url string, published_date timestamp_ntz, content string")
+    for fmt, write in (("rss", write_rss), ("atom", write_atom)):
+        path = os.path.join(tmpdir_path, fmt)
+        write(articles, path)
+        assert len(glob.glob(f"{path}/feed_no=*/file=*/*.txt")) == 4  # two a feed
+        got = extract_entries(read_feeds(spark, path, fmt), "2024-01-16 00:00:00", fmt).select("feed_no", "title", "url", "content").collect()
+        assert sorted(map(tuple, got)) == sorted((r[0], r[2], r[3], r[5]) for r in rows)
