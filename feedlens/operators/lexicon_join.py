@@ -5,12 +5,19 @@ suits a few dozen.  Here keywords are rows.  A text contains a keyword only if i
 contains the keyword's rarest gram of three characters (the whole keyword, if it is
 shorter), so texts and keywords are joined on that gram and only these pairs
 are tested with ``contains``.  Texts travel once more, for the test.
+
+Grams are numbers, made of a whole batch's characters at a time: a text costs in proportion to
+its length (``substring`` walks a text from its start).  A bitmap of fixed size over the keywords' grams keeps most
+others from becoming rows; the join on the grams decides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import article_text
 from ..session import checkpoint
@@ -18,10 +25,38 @@ from ..session import checkpoint
 GRAM = 3
 
 
-def _grams(text: Column, size: int) -> Column:
-    """The distinct grams of a text, by length."""
-    each = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(F.length(text) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+#: Slots of the bitmap (a prime; it never decides a match).
+SLOTS = 65521
+
+
+def gram_numbers(text: str, size: int) -> np.ndarray:
+    """The grams of a text as numbers, in order: equal for equal grams only, also of different sizes."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+    count = max(len(c) - size + 1, 0)
+    out = np.zeros(count, np.int64)
+    for k in range(size):
+        out = out * 0x110001 + c[k:k + count]  # three characters stay below 2^63
+    return out
+
+
+def _text_grams(sizes: list[int], slots: list[int]):
+    """The distinct grams of a text, of the sizes that keywords have, as far as the bitmap has them."""
+    wanted = np.zeros(SLOTS, bool)
+    wanted[slots] = True
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def grams(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            g = np.concatenate([gram_numbers(text, n) for n in sizes])
+            out.append(np.unique(g[wanted[g % SLOTS]]))
+        return pd.Series(out)
+    return grams
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _word_grams(words: pd.Series) -> pd.Series:
+    return pd.Series([np.unique(gram_numbers(w, min(len(w), GRAM))) for w in words])
 
 
 def lexicon_matches(texts: DataFrame, lexicon: DataFrame, key: str, text: str, keyword: str = "keyword") -> DataFrame:
@@ -34,12 +69,11 @@ def lexicon_matches(texts: DataFrame, lexicon: DataFrame, key: str, text: str, k
     if not sizes:
         tested = body.limit(0).select("_key", F.lit("").alias("_word"))
     else:
-        size = F.least(F.length("_word"), F.lit(GRAM))
-        own = F.transform(F.sequence(F.lit(1), F.length("_word") - size + 1), lambda i: F.substring(F.col("_word"), i, size))
-        anchors = names.select("_wid", "_word", F.explode(F.array_distinct(own)).alias("_gram"))
-        # the grams of the texts that any keyword has, written once: counted, then joined
-        grams = body.select("_key", F.explode(F.concat(*[_grams(F.col("_text"), n) for n in sizes])).alias("_gram"))
+        anchors = checkpoint(names.select("_wid", "_word", F.explode(_word_grams("_word")).alias("_gram")), "anchors")
         wanted = anchors.select("_gram").distinct()
+        slots = [r[0] for r in wanted.select((F.col("_gram") % SLOTS).alias("slot")).distinct().collect()]  # SLOTS at most
+        # the grams of the texts that any keyword has, written once: counted, then joined
+        grams = body.select("_key", F.explode(_text_grams(sizes, slots)("_text")).alias("_gram"))
         present = checkpoint(grams.join(wanted, "_gram"), "lexicon-grams")
         common = present.groupBy("_gram").agg(F.count(F.lit(1)).alias("_df"))
         rare = anchors.join(common, "_gram", "left").withColumn("_r", F.row_number().over(

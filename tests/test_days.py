@@ -159,6 +159,26 @@ def test_large_lexicon_equals_contains(spark):
     assert lexicon_matches(body, lexicon.limit(0), "number", "body").count() == 0
 
 
+def test_lexicon_costs_a_long_text_by_its_length(spark):
+    """One text of 400,000 two-byte characters: walking it from its start for every gram took minutes."""
+    import time
+    text = "".join(random.Random(3).choice("àéîõü ") for _ in range(400_000))
+    lexicon = spark.createDataFrame([(text[-9:], 1), (text[200_000:200_004], 2), ("é", 3), ("not there", 4), ("\U0001f600é", 5)], "keyword string, weight int")
+    body = spark.createDataFrame([(1, text), (2, "x\U0001f600é")], "number int, body string")
+    start = time.monotonic()
+    found = sorted((r.number, r.weight) for r in lexicon_matches(body, lexicon, "number", "body").collect())
+    assert found == [(1, 1), (1, 2), (1, 3), (2, 3), (2, 5)]
+    assert time.monotonic() - start < 60
+
+
+def test_gram_numbers_tell_sizes_apart():
+    from feedlens.operators.lexicon_join import gram_numbers
+    texts = ["\x00", "\x00\x00", "\x00\x00\x00", "ab", "abc", "\U0010ffff" * 3, "\U0010ffff" * 2, "é"]
+    numbers = [gram_numbers(t, len(t)).tolist() for t in texts]
+    assert all(len(n) == 1 and n[0] > 0 for n in numbers) and len({n[0] for n in numbers}) == len(texts)
+    assert gram_numbers("ab", 3).tolist() == [] and gram_numbers("abcd", 3).tolist()[1] == gram_numbers("bcd", 3)[0]
+
+
 def test_lexicon_scores_equal_the_unrolled_form(spark):
     from feedlens.functions.lexicons import IMPACT_KEYWORDS
     from feedlens.operators.scoring import keyword_score
