@@ -159,3 +159,32 @@ def test_verify_bounds_exact_on_long_strings():
     got = verify_pairs(a_vals, b_vals, 0.85)
     assert got == [(ratio_at_least(a, b, 0.85), ratio_at_least(b, a, 0.85)) for a, b in zip(a_vals, b_vals)]
     assert sum(x for x, _ in got) > 100
+
+
+def test_similarity_over_many_blocks(spark, monkeypatch):
+    """Blocks of three strings, some of them empty by chance: every pair once, however the blocks fall."""
+    import random
+
+    from feedlens.operators import similarity as S
+    monkeypatch.setattr(S, "BLOCK", 3)
+    rng = random.Random(12)
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([1, 2, 5, 9, 20, 40]))) for _ in range(12)]
+    values = base + [b[:k] + "x" + b[k + 1:] for b in base for k in (0, len(b) // 2)] + [b + "é" for b in base] + ["", "a", "ab"]
+    a_df = spark.createDataFrame([(v,) for v in values + values[:5]], "a string")
+    b_df = spark.createDataFrame([(v,) for v in values[1::2]], "b string")
+    got = [(r.a, r.b) for r in similar_pairs(a_df, b_df).collect()]
+    assert len(got) == len(set(got)) and set(got) == pyref.similar_pairs(values, values[1::2])
+
+
+def test_similarity_makes_no_row_a_candidate_pair(spark):
+    """40 titles of the same few words: blocks travel, candidate pairs do not."""
+    import pandas as pd
+
+    from feedlens.operators.similarity import similar_in_blocks
+    titles = [" ".join(["alpha", "beta", "gamma", "delta"][(k >> 2 * i) % 4] for i in range(8)) for k in range(40)]
+    block = pd.DataFrame({"s": titles, "in_a": True, "in_b": True})
+    one, two = block[:25], block[25:]
+    found = [similar_in_blocks(one, None, 0.85), similar_in_blocks(two, None, 0.85), similar_in_blocks(one, two, 0.85)]
+    got = [(a, b) for f in found for a, b in zip(f["a"], f["b"])]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a, b in pyref.similar_pairs(titles, titles) if a != b}
+    assert similar_in_blocks(one, two[:0], 0.85).empty
