@@ -2,22 +2,18 @@
 
 ``flag`` decides one poll against the keys of all earlier new rows and adds the
 keys of its own new rows, so the flags of a sequence of polls are those of one run over
-all their rows in that order.  The state is three tables of bucketed
+all their rows in that order.  The state is two tables of bucketed
 runs:
 
 * ``keys``     (kt, kv)             rule keys of new rows, bucketed by both
-* ``index``    (token, sid, n, pos) every trigram of every seen title string
-                                    with its position, and for short strings their
-                                    character sub-multisets (pos null), bucketed by token
-* ``strings``  (sid, s)             the strings, bucketed by their 64-bit hash (two strings of
-                                    one hash are one candidate and verified both)
+* ``blocks``   (cell, lc, texts)    the seen title strings in blocks of one length class (lc),
+                                    a row a block, bucketed by its number
 
 A poll's rows are dealt the way the runs are and joined with them; the runs
-themselves are not shuffled.  For similar titles the poll's strings probe the
-index with their g - T + l rarest grams by the counts in the state: of the T
-or more aligned grams that a pair shares, l lie among these whatever the order, as
-the index holds all grams of the seen string (see ``operators.similarity``).  Runs are
-compacted when a table has ``fanout`` of them.
+themselves are not shuffled.  For similar titles the poll's strings are put into blocks
+too; each goes to the seen blocks of near length classes, and the two are compared as
+``operators.similarity`` compares blocks: no pair of strings is a row.  Runs are
+compacted when a table has ``fanout`` of them, blocks then filled up anew.
 """
 
 from __future__ import annotations
@@ -32,7 +28,10 @@ from ..operators.flagging import decide, exact_hits, keys_of, method_of, numbere
 from ..session import checkpoint, discard
 from .runs import RunStore
 
-KEYS = {"keys": ["kt", "kv"], "index": ["token"], "strings": ["sid"]}
+KEYS = {"keys": ["kt", "kv"], "blocks": ["cell"]}
+
+# Strings of a block of seen titles.
+SEEN_BLOCK = 1000
 
 
 class DuplicateState:
@@ -53,40 +52,17 @@ class DuplicateState:
 
     def seen_titles(self, strings: DataFrame) -> DataFrame:
         """The new-side strings (a) that are similar to a seen title."""
-        index, texts = self.runs("index"), self.runs("strings")
-        if not index:
+        blocks = self.runs("blocks")
+        if not blocks:
             return strings.select("a").limit(0)
-        t, q, dealt = self.threshold, S.gram_size(self.threshold), self.store.dealt
         union = lambda frames: reduce(DataFrame.unionAll, frames)
-        probe = checkpoint(S.measured(strings.select(F.col("a").alias("s"), F.monotonically_increasing_id().alias("sid")), t), "poll-strings")
-        grams = checkpoint(S.grams_of(probe.where("NOT short").select("sid", "s", "n", "t_min"), q), "poll-grams")
-        wanted = dealt(grams.select(F.col("gram").alias("token")).distinct(), ["token"])
-        counts = [wanted.join(run.where("pos IS NOT NULL").groupBy("token").agg(F.count(F.lit(1)).alias("df")).hint("merge"), "token") for run in index]
-        rare = union(counts).groupBy(F.col("token").alias("gram")).agg(F.sum("df").alias("df"))
-        first = checkpoint(S.indexed_grams(grams, rare, q).withColumnRenamed("gram", "token"), "poll-prefix")
-        sets = checkpoint(S.multisets(probe, t).withColumnRenamed("key", "token"), "poll-multisets")
-        x, m = dealt(first, ["token"]).alias("x"), dealt(sets, ["token"]).alias("m")
-        nx, ny, nm = F.col("x.n"), F.col("y.n"), F.col("m.n")
-        met, short = [], []
-        for run in index:
-            y = run.alias("y")
-            met.append(x.join(y, F.col("x.token") == F.col("y.token")).where(
-                F.col("y.pos").isNotNull() & S.lengths_fit(nx, ny, t) & S.aligned(nx, ny, F.col("x.pos"), F.col("y.pos"), t)
-                & (F.col("x.g") - F.col("x.r") + F.col("x.l") >= S.overlap_bound(nx + ny, t, q)))
-                .select(F.col("x.sid").alias("x"), F.col("y.sid").alias("y"), "x.l"))
-            short.append(m.join(y, F.col("m.token") == F.col("y.token")).where(
-                F.col("y.pos").isNull() & (F.length("m.token") == S.min_matches(nm + ny, t)) & (F.col("m.short") | F.col("y.short")))
-                .select(F.col("m.sid").alias("x"), F.col("y.sid").alias("y")))
-        enough = union(met).groupBy("x", "y").agg(F.count(F.lit(1)).alias("met"), F.first("l").alias("l")).where("met >= l").select("x", "y")
-        # equal strings are similar too, the empty one among them
-        named = dealt(probe.select(F.col("sid").alias("x"), F.xxhash64("s").alias("sid")), ["sid"])
-        equal = [named.join(run, "sid").select("x", F.col("sid").alias("y")) for run in texts]
-        pairs = checkpoint(union([enough, *short, *equal]).distinct(), "poll-candidates")
-        pairs = dealt(pairs.withColumnRenamed("y", "sid"), ["sid"])
-        found = union([pairs.join(run, "sid").select("x", F.col("s").alias("b")) for run in texts])
-        named = found.join(probe.select(F.col("sid").alias("x"), F.col("s").alias("a")), "x").select("a", "b").distinct()
-        verify = S.verifier(t)
-        return named.repartition(S.parts(named), "b", "a").sortWithinPartitions("b").where(verify("a", "b")["forth"]).select("a").distinct()
+        apart = S.length_classes(self.threshold)[1]
+        mine = checkpoint(S.blocks_of(strings.select(F.col("a").alias("s")), self.threshold, SEEN_BLOCK).select("lc", F.col("texts").alias("a")), "poll-blocks")
+        # two numbers a seen block
+        cells = union([run.select("cell", "lc") for run in blocks]).distinct().withColumnRenamed("lc", "near")
+        dealt = self.store.dealt(mine.join(F.broadcast(cells), F.abs(F.col("lc") - F.col("near")) <= apart).select("cell", "a"), KEYS["blocks"])
+        met = union([dealt.join(run, "cell").select("a", F.col("texts").alias("b")) for run in blocks])
+        return checkpoint(met.mapInArrow(S.similar_to_block(self.threshold), "a string").distinct(), "poll-candidates")
 
     # ------------------------------------------------------------------ one poll
 
@@ -124,18 +100,20 @@ class DuplicateState:
         discard(rules, seen, free, status, new, *walk.tables(), *[x for x in (like, pairs) if x is not None])
         return flags
 
+    def _cells(self, strings: DataFrame) -> DataFrame:
+        return S.blocks_of(strings, self.threshold, SEEN_BLOCK).select(F.xxhash64("lc", "k").alias("cell"), "lc", "texts")
+
     def _add(self, new: DataFrame, poll: str) -> None:
         rows = {"keys": keys_of(new).select("kt", "kv").distinct()}
         if self.similar:
-            t, q = self.threshold, S.gram_size(self.threshold)
-            texts = S.measured(new.select(F.col("b").alias("s")).where("s IS NOT NULL").distinct().withColumn("sid", F.xxhash64("s")), t)
-            long = S.grams_of(texts.select("sid", "s", "n", "t_min"), q).select(F.col("gram").alias("token"), "sid", "n", "pos", F.lit(False).alias("short"))
-            short = S.multisets(texts, t).select(F.col("key").alias("token"), "sid", "n", F.lit(None).cast("int").alias("pos"), "short")
-            rows |= {"index": long.unionAll(short), "strings": texts.select("sid", "s")}
+            rows |= {"blocks": self._cells(new.select(F.col("b").alias("s")).where("s IS NOT NULL").distinct())}
         tables = {}
         for table, df in rows.items():
             runs = self.store.runs(table) + [self.store.write(df, table, KEYS[table])]
             if len(runs) > self.fanout:  # one shuffle of the table in ``fanout`` polls
-                runs = [self.store.write(reduce(DataFrame.unionAll, [self.store.open(r) for r in runs]), table, KEYS[table])]
+                all_rows = reduce(DataFrame.unionAll, [self.store.open(r) for r in runs])
+                if table == "blocks":
+                    all_rows = self._cells(all_rows.select(F.explode("texts").alias("s")).distinct())
+                runs = [self.store.write(all_rows, table, KEYS[table])]
             tables[table] = runs
         self.store.commit(tables, poll)

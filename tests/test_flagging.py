@@ -188,3 +188,42 @@ def test_similarity_makes_no_row_a_candidate_pair(spark):
     got = [(a, b) for f in found for a, b in zip(f["a"], f["b"])]
     assert len(got) == len(set(got)) and set(got) == {(a, b) for a, b in pyref.similar_pairs(titles, titles) if a != b}
     assert similar_in_blocks(one, two[:0], 0.85).empty
+
+
+def test_few_pairs_of_long_titles_are_aligned(monkeypatch):
+    """Titles of 200 characters or more with the same characters in other orders: difflib and the
+    subsequences see none of them, but all that are similar."""
+    import random
+    from difflib import SequenceMatcher
+
+    import pandas as pd
+
+    from feedlens.operators import similarity as S
+    rng = random.Random(4)
+    words = ["thon", "er", "ing", "quiz", "the", "anea", "oth", "nth", "rein", "hat"] * 6 + list("012345")
+    titles = [" ".join(rng.sample(words, len(words))) for _ in range(40)]
+    titles += [t[:100] + "x" + t[101:] for t in titles[:5]]
+    seen = []
+    verify = S.verify_pairs
+    monkeypatch.setattr(S, "verify_pairs", lambda a, b, t: seen.extend(zip(a, b)) or verify(a, b, t))
+    found = S.similar_in_blocks(pd.DataFrame({"s": titles, "in_a": True, "in_b": True}), None, 0.85)
+    expected = {(a, b) for a in titles for b in titles if a != b and SequenceMatcher(None, a, b).ratio() >= 0.85}
+    assert set(zip(found["a"], found["b"])) == expected and expected
+    assert len(seen) < 100
+
+
+def test_subsequences_side_by_side(monkeypatch):
+    """Many pairs at once, over one machine word and several, agree with one pair after the other."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    from feedlens.operators import similarity as S
+    rng = random.Random(5)
+    strings = ["".join(rng.choice("abcé") for _ in range(n)) for n in (1, 30, 63, 64, 65, 128, 130, 199) for _ in range(3)]
+    block = S.Block(pd.DataFrame({"s": strings, "in_a": True, "in_b": True}))
+    i, j = (x.ravel() for x in np.indices((len(strings), len(strings))))
+    places = [{c: sum(1 << k for k, d in enumerate(s) if d == c) for c in set(s)} for s in strings]
+    assert S.Subsequences(block, block).lengths(i, j).tolist() == [
+        S.common_subsequence(strings[p], places[q], len(strings[q])) for p, q in zip(i, j)]

@@ -171,6 +171,16 @@ def test_title_index_is_not_shuffled(spark, tmpdir_path, monkeypatch):
                     break
 
 
+def test_seen_titles_are_a_row_a_block(spark, tmpdir_path):
+    """30 titles of 25 characters: no row for each of their grams."""
+    state = DuplicateState(spark, f"{tmpdir_path}/state", buckets=2)
+    texts = [f"{k:02d} " + "abcdefghijklmnopqrstuvwxyz"[k % 5:][:22].ljust(22, "z") for k in range(30)]
+    state.store.commit({"blocks": [state.store.write(state._cells(spark.createDataFrame([(t,) for t in texts], "s string")), "blocks", ["cell"])]})
+    assert [r["rows"] for r in state.store.runs("blocks")] == [1]
+    got = {r["a"] for r in state.seen_titles(spark.createDataFrame([(texts[3] + "x",), ("nothing like it",)], "a string")).collect()}
+    assert got == {texts[3] + "x"}
+
+
 # ---------------------------------------------------------------------------- streams
 
 def test_feed_stream_into_the_store(spark, tmpdir_path):
