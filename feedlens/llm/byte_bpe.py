@@ -1,15 +1,11 @@
-"""Byte-level BPE in Spark higher-order functions.
-
-``fold`` encodes one word: its bytes become an array of pieces, and an
-``aggregate`` applies one ranked merge a step (the leftmost pair of the lowest
-rank) until none is left.  The ranks are a literal: an array of small maps,
-addressed by a hash of the piece, so a lookup reads one short map.  Bytes are
-held as the characters U+0000 to U+00FF.
-
-Words are encoded once where they are distinct: the corpus's most frequent
-words (a bounded dictionary, which decides nothing but the cost) once in all,
-the others once per slice, a run of documents of about ``SLICE`` text bytes
-that travels as one row.  Decoding concatenates the pieces' bytes.
+"""Byte-level BPE by ranked merges over the distinct words of a slice.
+
+A slice is a run of documents of about ``SLICE`` text bytes.  Its distinct words
+(matches of the pattern) are merged side by side: one pass takes the leftmost pair of
+the lowest rank in every word that has one (``merge_words``), with the ranks
+of all pairs of tokens in one hash table.  Words longer than ``SIDE_BYTES`` take the same
+merges one at a time over a heap.  Decoding concatenates the pieces' bytes.
+Every document's ids come from its own text alone, so nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -17,35 +13,26 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import fresh, let, slices, small_batches, text_of
-from feedlens.session import checkpoint, discard
-
-#: Places of each half of the rank map.
-SLOTS = 1 << 16
-#: Most entries of the dictionary of frequent words and most bytes of each: it
-#: is broadcast, at about 30 bytes an entry and 110 at worst.
-DICTIONARY, DICTIONARY_BYTES = 600_000, 24
-#: Bytes of a word that a higher-order fold encodes; the work of a fold grows
-#: with the square of the word, longer ones take ``merge_long``.
-FOLD_BYTES = 64
-#: Distinct words that a task counts before it hands them on.
-COUNTED = 60_000
+from feedlens.llm.common import fresh, slices, small_batches, text_of
+
+#: Words that are merged side by side.
+WORDS = 200_000
+#: Bytes of a word that is merged beside others; the passes follow the longest word, longer ones take ``merge_long``.
+SIDE_BYTES = 64
 #: Text bytes of a slice.
 SLICE = 3 << 20
+#: The rank of a pair that is no token.
+NO_RANK = 1 << 40
 _WORKER: dict = {}
 
 
@@ -54,61 +41,93 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The literal rank map, a struct: hashes and ranks by the low bits of a
-    piece's hash, hashes and ranks by its high bits.  Pieces are told apart by
-    64-bit hashes, which are checked to differ.  Bind it by ``let``, so that a plan
-    holds it once."""
-    hashed = {xxhash.xxh64_intdigest(p.decode("latin-1").encode(), seed=42): r for p, r in ranks.items()}
-    if len(hashed) < len(ranks):
-        raise ValueError("two pieces share a hash")
-    tables: list[dict[int, int]] = [{}, {}]
-    place = (lambda h: h % SLOTS, lambda h: (h >> 32) % SLOTS)
-    for h in hashed:
-        side, moves = 0, 0
-        while True:
-            at = place[side](h)
-            h, tables[side][at] = tables[side].get(at), h
-            if h is None:
-                break
-            side, moves = 1 - side, moves + 1
-            if moves > 1000:
-                raise ValueError("SLOTS is too small for the ranks")
-    def literal(values, kind: str) -> Column:
-        return F.split(F.lit(",".join(map(str, values))), ",").cast(kind)
-    out = []
-    for name, t in zip(("low", "high"), tables):
-        keys = [t.get(k, 0) for k in range(SLOTS)]
-        out += [literal((h - (1 << 64) if h >> 63 else h for h in keys), "array<bigint>").alias(name),
-                literal((hashed.get(h, -1) if k in t else -1 for k, h in enumerate(keys)), "array<int>").alias(name + "_rank")]
-    return F.struct(*out)
-
-
-def fold(word: Column, ranks: Column) -> Column:
-    """Ids of a word given as a latin-1 string of its bytes."""
-    def rank(s: Column) -> Column:
-        def at(h: Column) -> Column:
-            low = h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-            high = F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-            return (F.when((F.get(ranks["low"], low) == h) & (F.get(ranks["low_rank"], low) >= 0), F.get(ranks["low_rank"], low))
-                    .when((F.get(ranks["high"], high) == h) & (F.get(ranks["high_rank"], high) >= 0), F.get(ranks["high_rank"], high)))
-        return let(F.xxhash64(s), at)
-
-    def merge(parts: Column) -> Column:
-        def best(r: Column) -> Column:
-            def join(i: Column) -> Column:  # i: the pair's place, from 1
-                return F.concat(F.slice(parts, F.lit(1), i - 1),
-                                F.array(F.concat(F.get(parts, i - 1), F.get(parts, i))),
-                                F.slice(parts, i + 2, F.size(parts)))
-            return F.when(F.array_min(r).isNull(), parts).otherwise(let(F.array_position(r, F.array_min(r)).cast("int"), join))
-        pairs = F.transform(F.sequence(F.lit(0), F.size(parts) - 2),
-                            lambda i: let(F.concat(F.get(parts, i), F.get(parts, i + 1)), rank))
-        return F.when(F.size(parts) < 2, parts).otherwise(let(pairs, best))
-
-    chars = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1)))
-    parts = F.when(rank(word).isNotNull(), F.array(word)).otherwise(
-        F.aggregate(F.sequence(F.lit(2), F.length(word)), chars, lambda p, _: merge(p)))
-    return F.when(F.length(word) == 0, F.array().cast("array<int>")).otherwise(F.transform(parts, rank))
+class Merges:
+    """What the merges need of the ranks: the ids of single bytes, the rank of every pair of tokens that
+    are a token together (open addressing), and the bytes of each token."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.bytes = np.array([ranks.get(bytes([k]), -1) for k in range(256)], np.int64)
+        found = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                x, y = ranks.get(token[:k]), ranks.get(token[k:])
+                if x is not None and y is not None:
+                    found[x << 32 | y] = rank
+        keys, values = np.array(list(found), np.uint64), np.array(list(found.values()), np.int64)
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, ~np.uint64(0)), np.full(1 << bits, NO_RANK)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):  # every free place takes one of its keys, the others go on to the next place
+            free = left[self.keys[at[left]] == ~np.uint64(0)]
+            self.keys[at[free]] = keys[free]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = at[left] + 1 & self.mask
+        self.values[at] = values
+        size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        for token, rank in ranks.items():
+            size[rank] = len(token)
+        self.ends = np.concatenate([[0], np.cumsum(size)])
+        self.pieces = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Ranks of the tokens that the tokens ``x`` and ``y`` are together."""
+        keys = (x << 32 | y).astype(np.uint64)
+        at = self._place(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.values[at], NO_RANK)
+        left = np.flatnonzero((held != keys) & (held != ~np.uint64(0)))
+        while len(left):
+            at[left] = at[left] + 1 & self.mask
+            held = self.keys[at[left]]
+            hit = held == keys[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (held != ~np.uint64(0))]
+        return out
+
+
+def merge_words(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, ids) of words of 1 to ``SIDE_BYTES`` bytes: in each pass the leftmost pair of the lowest rank of
+    every word; a word that has none is done."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    token = merges.bytes[np.frombuffer(b"".join(words), np.uint8)]
+    word = np.arange(len(words))
+    rank = np.full(len(token), NO_RANK)
+    rank[:-1] = merges.rank(token[:-1], token[1:])
+    rank[np.cumsum(size) - 1] = NO_RANK
+    done = []
+    while len(word):
+        start = np.cumsum(size) - size
+        best = np.minimum.reduceat(rank * SIDE_BYTES + np.arange(len(token)) - np.repeat(start, size), start)
+        live = best < NO_RANK * SIDE_BYTES
+        if not live.all():
+            ends = np.repeat(~live, size)
+            done.append((word[~live], size[~live], token[ends]))
+            token, rank, word, size, best = token[~ends], rank[~ends], word[live], size[live], best[live]
+            start = np.cumsum(size) - size
+        at = start + best % SIDE_BYTES
+        token[at] = best // SIDE_BYTES
+        stays = np.ones(len(token), bool)
+        stays[at + 1] = False
+        token, rank = token[stays], rank[stays]
+        size = size - 1
+        at = at - np.arange(len(at))
+        end = np.cumsum(size)
+        rank[at] = NO_RANK
+        pair = at[at + 1 < end]
+        rank[pair] = merges.rank(token[pair], token[pair + 1])
+        pair = at[at > end - size] - 1
+        rank[pair] = merges.rank(token[pair], token[pair + 1])
+    if not done:
+        return np.zeros(1, np.int64), np.zeros(0, np.int32)
+    order = np.empty(len(words), np.int64)
+    order[np.concatenate([d[0] for d in done])] = np.arange(len(words))
+    ends = np.concatenate([[0], np.cumsum(np.concatenate([d[1] for d in done]))])
+    return gather(np.concatenate([d[2] for d in done]).astype(np.int32), ends, order)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -160,32 +179,11 @@ def chunked(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return np.concatenate([[0], np.cumsum([len(r) for r in runs])]), np.concatenate(runs), chunks
 
 
-def _count_words(pattern: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, seen = regex.compile(pattern).findall, Counter()
-
-        def out():
-            part = [(w.encode().decode("latin-1"), n) for w, n in seen.items()]
-            part = [x for x in part if len(x[0]) <= DICTIONARY_BYTES]
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())],
-                                              ["word", "n"])
-        for b in slices(batches, "text", SLICE):
-            _, codes, chunks = chunked(b.column("text"))
-            for chunk, n in zip(chunks, np.bincount(codes, minlength=len(chunks)).tolist()):
-                for w in find(chunk):
-                    seen[w] += n
-            if len(seen) > COUNTED:
-                yield out()
-        yield out()
-    return run
-
-
-def _worker(spec):
+def _merges(spec) -> Merges:
     """The process's ranks, read once from the broadcast."""
     if _WORKER.get("id") != spec.value["id"]:
-        _WORKER.update(id=spec.value["id"], ranks=read_ranks(spec.value["ranks"]))
-    return _WORKER["ranks"]
+        _WORKER.update(id=spec.value["id"], merges=Merges(read_ranks(spec.value["ranks"])))
+    return _WORKER["merges"]
 
 
 def gather(pool: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,39 +193,38 @@ def gather(pool: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.nd
     return upto, pool[np.repeat(ends[:-1][codes] - upto[:-1], n) + np.arange(upto[-1])]
 
 
-def _hash(words: list[str]) -> np.ndarray:
-    return pd.util.hash_array(np.array(words, object), categorize=False) if words else np.zeros(0, np.uint64)
+def word_tokens(words: list[str], merges: Merges, most: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, ids) of the words: a token that is the whole word, else what its merges leave."""
+    coded = [w.encode() for w in words]
+    short, other, other_ends, where = [], array("i"), [0], np.zeros(len(coded), np.int64)
+    for k, w in enumerate(coded):
+        rank = merges.ranks.get(w)
+        if rank is None and 0 < len(w) <= SIDE_BYTES:
+            where[k] = len(short)
+            short.append(w)
+            continue
+        if rank is None:
+            other.extend(merge_long(w, merges.ranks))
+        else:
+            other.append(rank)
+        where[k] = -len(other_ends)
+        other_ends.append(len(other))
+    parts = [(np.array(other_ends, np.int64), np.frombuffer(other, np.int32) if len(other) else np.zeros(0, np.int32))]
+    parts += [merge_words(short[s:s + most], merges) for s in range(0, len(short), most)]
+    size = np.concatenate([np.diff(ends) for ends, _ in parts])
+    where[where < 0] = -1 - where[where < 0] - (len(other_ends) - 1)
+    return gather(np.concatenate([ids for _, ids in parts]), np.concatenate([[0], np.cumsum(size)]), where + len(other_ends) - 1)
 
 
-def word_tokens(words: list[str], spec, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(ends, tokens, unknown): ids of each distinct word by the dictionary (64-bit
-    hashes), of a long word by ``merge_long``, and -1 - k for the k-th other one."""
-    keys, key_ends, key_ids = spec.value["keys"], spec.value["ends"], spec.value["ids"]
-    hashed = _hash(words)
-    at = np.minimum(np.searchsorted(keys, hashed), max(0, len(keys) - 1))
-    known = keys[at] == hashed if len(keys) else np.zeros(len(words), bool)
-    unknown, extra, extra_ends = [], array("i"), [0]
-    for k in np.flatnonzero(~known).tolist():
-        word = words[k].encode()
-        if len(word) <= FOLD_BYTES:
-            extra.append(-1 - len(unknown))
-            unknown.append(word.decode("latin-1"))
-        else:
-            extra.extend(merge_long(word, ranks))
-        extra_ends.append(len(extra))
-    pool = np.concatenate([key_ids, np.frombuffer(extra, np.int32) if len(extra) else np.zeros(0, np.int32)])
-    ends = np.concatenate([key_ends, len(key_ids) + np.array(extra_ends[1:], np.int64)])
-    codes = at.copy()
-    codes[~known] = len(keys) + np.arange(int((~known).sum()))
-    ends, tokens = gather(pool, ends.astype(np.int64), codes)
-    return ends, tokens, unknown
-
-
-def _look_up(spec, pattern: str):
-    """A row per slice: its doc_ids, the ends of their tokens, the tokens (ids of
-    known words, -1 - k for the k-th unknown word) and the unknown words."""
+def joined(merges: Merges, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the pieces of each run of ids."""
+    upto, data = gather(merges.pieces, merges.ends, ids.astype(np.int64))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(upto[ends].astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _encode(spec, pattern: str, most: int, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, find = _worker(spec), regex.compile(pattern).findall
+        merges, find = _merges(spec), regex.compile(pattern).findall
         for b in slices(batches, "text", SLICE):
             ends, codes, chunks = chunked(b.column("text"))
             index: dict[str, int] = {}
@@ -236,15 +233,14 @@ def _look_up(spec, pattern: str):
                 for word in find(chunk):
                     of.append(index.setdefault(word, len(index)))
                 upto.append(len(of))
-            word_ends, tokens, unknown = word_tokens(list(index), spec, ranks)
+            word_ends, ids = word_tokens(list(index), merges, most)
             part_ends, words = gather(np.frombuffer(of, np.int32) if len(of) else np.zeros(0, np.int32), np.array(upto), codes)
-            total, tokens = gather(tokens, word_ends, words)
-            one = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
-            ids = b.column("doc_id")
-            yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays([ids])),
-                 one(total[part_ends[ends]].astype(np.int32), pa.int32()), one(tokens, pa.int32()), one(unknown, pa.string())],
-                ["doc_ids", "ends", "tokens", "unknown"])
+            total, ids = gather(ids, word_ends, words)
+            ends = total[part_ends[ends]]
+            out = [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))]
+            if decoded:
+                out.append(joined(merges, ids, ends))
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][:len(out)])
     return run
 
 
@@ -254,100 +250,33 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], column.flatten().to_numpy(zero_copy_only=False)
 
 
-def fill_in(tokens: np.ndarray, ends: np.ndarray, folded: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, ids): every -1 - k replaced by the ids of the k-th unknown word."""
-    word_ends, pool = _lists(folded)
-    gap = tokens < 0
-    word = -1 - tokens[gap]
-    size = np.ones(len(tokens), np.int64)
-    size[gap] = np.diff(word_ends)[word]
-    upto = np.concatenate([[0], np.cumsum(size)])
-    ids = np.empty(upto[-1], np.int32)
-    ids[upto[:-1][~gap]] = tokens[~gap]
-    n = size[gap]
-    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    ids[np.repeat(upto[:-1][gap], n) + step] = pool[np.repeat(word_ends[word], n) + step]
-    return upto[ends], ids
-
-
-def _joined(ids: np.ndarray, ends: np.ndarray, piece) -> pa.Array:
-    return pa.array([b"".join(map(piece, ids[s:e].tolist())) for s, e in zip(ends[:-1], ends[1:])], pa.binary())
-
-
-def _pieces(ranks_file: bytes):
-    return {i: p for p, i in read_ranks(ranks_file).items()}.__getitem__
-
-
-def _assemble(spec):
-    """Folded words back into their documents; with a rank file, decoded too."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = _pieces(spec.value["ranks"]) if spec else None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                docs, ends, tokens, folded = (batch.column(c)[row].values for c in ("doc_ids", "ends", "tokens", "folded"))
-                offsets, ids = fill_in(tokens.to_numpy(), ends.to_numpy(), folded)
-                out = [docs, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
-                if piece:
-                    out.append(_joined(ids, offsets, piece))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][:len(out)])
-    return run
-
-
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        key = _hash([w.encode("latin-1").decode() for w in b.column("word").to_pylist()])
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("ids")], ["key", "ids"])
-
-
-def frequent_words(docs: DataFrame, ranks: Column, pattern: str, most: int = DICTIONARY) -> pa.Table:
-    """(key, ids) of the ``most`` most frequent words of the whole corpus, folded in Spark."""
-    counted = (docs.select("text").mapInArrow(_count_words(pattern), "word string, n long")
-               .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).select("word"))
-    top = checkpoint(counted, "bpe-words")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    folded = top.repartition(parts).select("word", let(ranks, lambda r: fold(F.col("word"), r)).alias("ids"))
-    keyed = checkpoint(folded.mapInArrow(_keyed, "key long, ids array<int>"), "bpe-dictionary")
-    rows = keyed.toArrow()  # at most `most` hashes and the ids of short words
-    discard(top, keyed)
-    return rows
+def _spec(df: DataFrame, ranks_file: bytes):
+    return df.sparkSession.sparkContext.broadcast({"id": hashlib.sha256(ranks_file).hexdigest(), "ranks": ranks_file})  # about 1 MB
 
 
-def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = DICTIONARY, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks_file: bytes, pattern: str, most: int = WORDS, decoded: bool = False) -> DataFrame:
     """One row per input row: doc_id, ids (array of int), and with ``decoded``
     the bytes that the ids decode to.
 
     Each match of ``pattern`` is encoded separately.  Null and empty texts have
     no ids; repeated rows are encoded each for itself; a null doc_id stays
     null; an empty table gives an empty result; other columns are not read.
-    Texts are never shuffled.
+    Texts are never shuffled; ``most`` words are merged side by side.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    table = read_ranks(ranks_file)
-    literal = rank_map(table)
-    top = frequent_words(docs, literal, pattern, most)
-    keys = top.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    own_ends, own_ids = _lists(top.column("ids").combine_chunks()) if len(keys) else (np.zeros(1, np.int64), np.zeros(0, np.int32))
-    ends, ids = gather(own_ids.astype(np.int32), own_ends.astype(np.int64), order)
-    spec = spark.sparkContext.broadcast({  # the rank file (1 MB) and the dictionary (its bound above)
-        "id": hashlib.sha256(ranks_file).hexdigest(), "ranks": ranks_file, "keys": keys[order], "ends": ends, "ids": ids})
-    del top, own_ids
-    looked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
-        _look_up(spec, pattern), "doc_ids array<long>, ends array<int>, tokens array<int>, unknown array<string>")
-    folded = looked.select("doc_ids", "ends", "tokens", let(literal, lambda r: F.transform("unknown", lambda w: fold(w, r))).alias("folded"))
-    return folded.mapInArrow(_assemble(spec if decoded else None), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
+        _encode(_spec(docs, ranks_file), pattern, most, decoded), "doc_id long, ids array<int>" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_file: bytes) -> DataFrame:
     """doc_id, ids, decoded (binary): the pieces' bytes in order."""
-    spec = encoded.sparkSession.sparkContext.broadcast(ranks_file)
+    spec = _spec(encoded, ranks_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = _pieces(spec.value)
+        merges = _merges(spec)
         for b in batches:
             ends, ids = _lists(b.column("ids"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), _joined(ids, ends, piece)], ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), joined(merges, ids, ends)], ["doc_id", "ids", "decoded"])
     return encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 

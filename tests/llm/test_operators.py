@@ -404,3 +404,55 @@ def test_slices_compute_what_the_whole_does(pairs):
         assert np.allclose(x, quality_crf.line_features(pa.array(here, pa.string()))[1])
         assert len(substring_dedup.Stretches(col)) == len(substring_dedup.Stretches(pa.array(here, pa.string())))
         at += b.num_rows
+
+
+def test_plain_words_by_the_model_alone():
+    """The ids of plain words are those of the whole tokenizer, which is not asked for them."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzßàéîõüñçłŉſªº"
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(400)})
+    other = ["İstanbul", "e\u0301t", "don't", "a1b", "日本", "ﬁne", "ǅ", "STRASSE", "x…", "ά"]
+    cache = token_files.WordCache(tok)
+    assert cache.direct and all(map(token_files.plain, words)) and not any(map(token_files.plain, other))
+    asked, own = [], cache._by_tokenizer
+    cache._by_tokenizer = lambda some: asked.extend(some) or own(some)
+    expected = [np.array(e.ids, np.int32).tobytes() for e in tok.encode_batch(words + other, add_special_tokens=False)]
+    assert cache.encode(words + other) == expected
+    assert not set(asked) & set(words)
+
+
+def test_byte_bpe_merges_many_words_at_once():
+    """All words of a slice side by side, the leftmost of equal pairs first, and the long ones by the heap."""
+    import tiktoken
+
+    ranks = byte_bpe.read_ranks(byte_bpe.public_vocabulary("byte_bpe_multi_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(8)
+    words = ["".join(rng.choice("aaabeéñ tnß日 ") for _ in range(rng.choice([1, 2, 3, 7, 20, 63, 64, 65, 90]))) for _ in range(300)]
+    words = sorted(set(words) | {"a" * n for n in (2, 3, 5, 63, 64)})
+    merges = byte_bpe.Merges(ranks)
+    for most in (7, 10_000):
+        ends, ids = byte_bpe.word_tokens(words, merges, most)
+        assert [ids[s:e].tolist() for s, e in zip(ends[:-1], ends[1:])] == [enc.encode_ordinary(w) for w in words]
+
+
+def test_quality_memory_follows_a_slice():
+    """Four times as many texts are scored in the same memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(500)]
+    texts = ["\n".join(" ".join(rng.choices(words, k=12)) for _ in range(400)) for _ in range(240)]
+    model = quality_crf.Model(np.full(37, 0.1), np.zeros((2, 2)))
+    whole = pa.array(texts)
+    tracemalloc.start()
+    got_scores = quality_crf.score_batch(whole, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    assert np.allclose(got_scores, [quality_crf.score_batch(pa.array([t]), model)[0] for t in texts])
