@@ -35,6 +35,8 @@ WRITE_OPTIONS = {
 OLD_WORDS, NEW_WORDS = 250_000, 200_000
 #: Marks that form a token run of their own after an ASCII letter or digit.
 TAIL = string.punctuation.replace("'", "")
+#: Words of small Latin letters; a tokenizer that gives these the ids that its model does is asked for its model alone.
+PROBES = ["a", "it", "hello", "running", "zzzzqx", "ªº", "ción", "größe", "élève", "łódź", "internationalisation"]
 #: Text bytes that a worker handles at once.
 SLICE = 4 << 20
 _WORKER: dict = {}
@@ -52,6 +54,21 @@ def _tokenizer(spec, added: bool):
     return _WORKER["cache"]
 
 
+def _byte_level() -> dict[int, str]:
+    """The characters that byte-level tokenizers write bytes as."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(kept)]
+    return {b: chr(b) for b in kept} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_BYTE_LEVEL = _byte_level()
+
+
+def plain(word: str) -> bool:
+    """Whether the word is of small Latin letters, each one code point: one token run that no normalizer changes."""
+    return word.isalpha() and max(word) < "\u0250" and word == word.lower()
+
+
 class WordCache:
     """Ids of words (as int32 bytes) by the tokenizers library.  A word that
     comes back while it is remembered as new becomes old; the new ones are
@@ -64,6 +81,19 @@ class WordCache:
         #: A word without these (uncased) characters holds none of them.
         self.lead = "".join(itertools.takewhile(lambda c: c in string.punctuation, os.path.commonprefix(self.added)))
 
+        self.model = tok.model.tokenize
+        names = [t.content for t in tok.get_added_tokens_decoder().values()]
+        self.direct = all(map(plain, PROBES)) and not any(map(str.isalpha, names)) and all(
+            self._by_model(w) == self._by_tokenizer([w])[0] for w in PROBES)
+
+    def _by_model(self, word: str) -> bytes:
+        """Ids of a plain word by the tokenizer's model alone, without the normalizer and the splitting."""
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        return array("i", [t.id for t in self.model(text)]).tobytes()
+
+    def _by_tokenizer(self, words: list[str]) -> list[bytes]:
+        return [array("i", e.ids).tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each of the distinct ``words``.  A tail of marks is a token
         run of its own, and A-Z of a pure ASCII word are lower-cased by the
@@ -92,7 +122,9 @@ class WordCache:
                 here[part] = ids
         for start in range(0, len(miss), 10_000):
             some = miss[start:start + 10_000]
-            found = {w: array("i", e.ids).tobytes() for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False))}
+            other = [w for w in some if not (self.direct and plain(w))]
+            found = dict(zip(other, self._by_tokenizer(other)))
+            found |= {w: self._by_model(w) for w in some if w not in found}
             here.update(found)
             if len(self.new) + len(found) > NEW_WORDS:
                 self.new.clear()
