@@ -21,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from feedlens.llm.common import fresh, mix64, small_batches, text_of, word_hashes, word_lists
+from feedlens.llm.common import fresh, mix64, slices, small_batches, text_of, word_hashes, word_lists
 
 #: Bounds of the training sample: documents of each label (those with the
 #: smallest hash of doc_id) and the longest text taken for training.
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 200_000
 FOLDS, HELD_OUT = 5, 0
+#: Text bytes, with those of its lines, that are scored at once.
+SLICE = 2 << 20
 #: What a line counts in the cutting of slices, besides its own bytes.
 LINE_BYTES = 64
 THRESHOLD = 0.3
@@ -38,7 +40,7 @@ _OWN = 12
 
 def _classes() -> np.ndarray:
     """Byte to (symbol, mark, upper, lower, digit, beyond ASCII, white) as 0/1 rows."""
-    t = np.zeros((7, 256), np.int32)
+    t = np.zeros((7, 256), np.uint8)
     t[0, list(_SYMBOLS)] = 1
     t[1, list(_MARKS)] = 1
     t[2, 65:91] = 1
@@ -78,8 +80,9 @@ def own_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)
     at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + n + 1]
     sums = np.empty((7, n))
+    run = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
     for k in range(7):
-        run = np.concatenate([[0], np.cumsum(_CLASS[k][data], dtype=np.int64)])
+        np.cumsum(_CLASS[k][data], dtype=run.dtype, out=run[1:])
         sums[k] = run[at[1:]] - run[at[:-1]]
     symbol, mark, upper, lower, digit, wide, white = sums
     offsets, flat = word_lists(lines)
@@ -229,14 +232,18 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS, longest: i
     return fit(np.array([len(x) for x in parts]), np.concatenate(parts).astype(float), got["q"].to_numpy())
 
 
+def score_batch(texts: pa.Array, model: Model) -> np.ndarray:
+    """Scores of the texts, slice by slice: memory follows a slice, or one longer text."""
+    batch = pa.RecordBatch.from_arrays([texts], ["t"])
+    out = [score_texts(b.column(0), model) for b in slices(iter([batch]), "t", SLICE, per_line=LINE_BYTES)]
+    return np.concatenate(out) if out else np.zeros(0)
+
+
 def score(text: Column, model: Model) -> Column:
     """Score column of a text column; higher is better."""
     @arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
-        from feedlens.llm.common import slices
-
-        out = [score_texts(b.column(0), model) for b in slices(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), "t", per_line=LINE_BYTES)]
-        return pa.array(np.concatenate(out) if out else np.zeros(0))
+        return pa.array(score_batch(texts, model))
     return run(text)
 
 
