@@ -227,3 +227,57 @@ def test_subsequences_side_by_side(monkeypatch):
     places = [{c: sum(1 << k for k, d in enumerate(s) if d == c) for c in set(s)} for s in strings]
     assert S.Subsequences(block, block).lengths(i, j).tolist() == [
         S.common_subsequence(strings[p], places[q], len(strings[q])) for p, q in zip(i, j)]
+
+
+def _long_titles(n, words=150, seed=3):
+    """Unrelated titles of one small vocabulary, about 700 characters each, and a near copy of every tenth."""
+    import random
+
+    rng = random.Random(seed)
+    vocabulary = ["th", "er", "an", "the", "ing", "tion", "ed", "ble", "wh", "re", "st", "on", "es", "or", "ky", "jo", "vex", "qui"]
+    out = []
+    for k in range(n):
+        some = ["".join(rng.choice(vocabulary[:14]) for _ in range(rng.randint(1, 3))) for _ in range(words)]
+        for _ in range(6):
+            some[rng.randrange(words)] = rng.choice(vocabulary)
+        out.append(" ".join(some))
+        if k % 10 == 0:
+            some[rng.randrange(words)] = "xyz"
+            out.append(" ".join(some))
+    return out
+
+
+def test_long_titles_of_one_vocabulary_are_told_apart_before_the_subsequences():
+    import pandas as pd
+
+    from feedlens.operators import similarity as S
+
+    titles = _long_titles(60)
+    block = S.Block(pd.DataFrame({"s": titles, "in_a": True, "in_b": True}))
+    left = {(min(i, j), max(i, j)) for p, q in S._candidates(block, block, True, 0.85) for i, j in zip(p.tolist(), q.tolist())}
+    similar = {(i, j) for i in range(len(titles)) for j in range(i + 1, len(titles))
+               if S.ratio_at_least(titles[i], titles[j], 0.85) or S.ratio_at_least(titles[j], titles[i], 0.85)}
+    assert similar and similar <= left
+    assert len(left) <= len(similar) + 5
+
+
+def test_matcher_decides_as_difflib():
+    import random
+    from difflib import SequenceMatcher
+
+    from feedlens.operators.similarity import Matcher
+
+    rng = random.Random(7)
+    for size in (0, 1, 2, 30, 199, 200, 260, 700):
+        for letters in ("ab", "abc de", "etaoinshrdlucmfwypvbgkqjxz" + " e" * 20):
+            b = "".join(rng.choice(letters) for _ in range(size))
+            a = list(b)
+            for _ in range(size // 8):
+                at, to = rng.randrange(len(a)), rng.randrange(len(a))
+                a[to:to] = a[at:at + rng.choice((0, 1, 9))] or ["z"]
+                del a[rng.randrange(len(a))]
+            a = "".join(a)
+            for x, y in ((a, b), (b, a)):
+                ratio = SequenceMatcher(None, x, y).ratio()
+                for threshold in (0.5, 0.85, ratio, ratio + 1e-9):
+                    assert Matcher(y).reaches(x, threshold) == (ratio >= threshold)
