@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +63,8 @@ def _byte_level() -> dict[int, str]:
 
 
 _BYTE_LEVEL = _byte_level()
+#: Whether a byte is an ASCII letter or digit.
+_ALNUM = np.isin(np.arange(256), np.frombuffer((string.ascii_letters + string.digits).encode(), np.uint8))
 
 
 def plain(word: str) -> bool:
@@ -94,42 +97,77 @@ class WordCache:
     def _by_tokenizer(self, words: list[str]) -> list[bytes]:
         return [array("i", e.ids).tobytes() for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of each of the distinct ``words``.  A tail of marks is a token
+    def split(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The part of each word that is remembered, and its tail.  A tail of marks is a token
         run of its own, and A-Z of a pure ASCII word are lower-cased by the
         tokenizer anyway, so words are remembered without both.  Words with an
         added token's string, in any case, go to the tokenizer as they are."""
-        split = []
-        for w in words:
-            if self.added and self.lead in w and any(a in w.lower() for a in self.added):
-                split.append((w, ""))
-                continue
-            base = w.rstrip(TAIL)
-            if len(base) == len(w) or not base or not (base[-1].isascii() and base[-1].isalnum()):
-                base = w
-            split.append((base.lower() if base.isascii() else base, w[len(base):]))
-        here: dict[str, bytes] = {"": b""}
+        base = pc.ascii_rtrim(words, characters=TAIL)
+        size, full = (pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (base, words))
+        cut = (size > 0) & (size < full)
+        _, at, data = base.buffers()
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        last = np.frombuffer(at, np.int64)[base.offset + 1:base.offset + 1 + len(base)] - 1
+        cut[cut] = _ALNUM[data[last[cut]]]
+        whole = np.zeros(len(words), bool)
+        if self.added:
+            for k in np.flatnonzero(pc.match_substring(words, self.lead).to_numpy(zero_copy_only=False)):
+                low = words[k].as_py().lower()
+                whole[k] = any(a in low for a in self.added)
+        cut &= ~whole
+        base = pc.if_else(pa.array(cut), base, words)
+        lower = pc.and_(pc.string_is_ascii(base), pa.array(~whole))
+        tails = words.filter(pa.array(cut))
+        tail = np.full(len(words), "", object)
+        tail[cut] = [w[n:] for w, n in zip(tails.to_pylist(), pc.utf8_length(base).to_numpy(zero_copy_only=False)[cut].tolist())]
+        return pc.if_else(lower, pc.ascii_lower(base), base), pa.array(tail, pa.large_string())
+
+    def look_up(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of the distinct ``parts``."""
+        out = list(map(self.old.get, parts))
         miss = []
-        for part in {x for pair in split for x in pair if x}:
-            ids = self.old.get(part)
-            if ids is None:
-                ids = self.new.get(part)
-                if ids is not None and len(self.old) < OLD_WORDS:
-                    self.old[part] = self.new.pop(part)
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            part = parts[k]
+            ids = out[k] = self.new.get(part)
             if ids is None:
-                miss.append(part)
-            else:
-                here[part] = ids
+                miss.append(k)
+            elif len(self.old) < OLD_WORDS:
+                self.old[part] = self.new.pop(part)
         for start in range(0, len(miss), 10_000):
-            some = miss[start:start + 10_000]
+            some = [parts[k] for k in miss[start:start + 10_000]]
             other = [w for w in some if not (self.direct and plain(w))]
             found = dict(zip(other, self._by_tokenizer(other)))
             found |= {w: self._by_model(w) for w in some if w not in found}
-            here.update(found)
+            for k, w in zip(miss[start:start + 10_000], some):
+                out[k] = found[w]
             if len(self.new) + len(found) > NEW_WORDS:
                 self.new.clear()
             self.new.update(found)
-        return [here[base] + here[tail] for base, tail in split]
+        return out
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the distinct ``words``."""
+        length, ids = self.encode_array(pa.array(words, pa.large_string()))
+        return [ids[end - n:end].tobytes() for n, end in zip(length, np.cumsum(length))]
+
+    def encode_array(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each of the distinct ``words``, all their ids in order)."""
+        n = len(words)
+        base, tail = self.split(words.cast(pa.large_string()))
+        coded = pa.concat_arrays([base, tail]).dictionary_encode()
+        at = coded.indices.to_numpy()
+        parts = self.look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        codes = np.stack([at[:n], at[n:]], axis=1).ravel()  # a word's base, then its tail
+        return length[at[:n]] + length[at[n:]], _gathered(np.frombuffer(b"".join(parts), np.int32), length, codes)[1]
+
+
+def _gathered(pool: np.ndarray, length: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, ids) of the entries ``codes`` of a pool whose entries have those lengths."""
+    first = np.cumsum(length) - length
+    n = length[codes]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    return upto, pool[np.repeat(first[codes] - upto[:-1], n) + np.arange(upto[-1])]
 
 
 def encode_texts(texts: pa.Array, cache: WordCache, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,17 +178,10 @@ def encode_texts(texts: pa.Array, cache: WordCache, end_id: int) -> tuple[np.nda
     """
     offsets, flat = word_lists(texts)
     coded = flat.dictionary_encode()
-    parts = cache.encode(coded.dictionary.to_pylist())
-    length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-    pool = np.frombuffer(b"".join(parts), np.int32)
-    first = np.cumsum(length) - length
-    codes = coded.indices.to_numpy()
-    n = length[codes]
-    upto = np.concatenate([[0], np.cumsum(n)])
-    ids = pool[np.repeat(first[codes] - upto[:-1], n) + np.arange(upto[-1])]
+    length, pool = cache.encode_array(coded.dictionary)
+    upto, ids = _gathered(pool, length, coded.indices.to_numpy())
     ends = upto[offsets[1:]]
-    out = np.full(len(ids) + len(ends), end_id, np.int32)
-    out[np.arange(len(ids)) + np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))] = ids
+    out = np.insert(ids, ends, end_id) if len(ends) else ids
     return np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]), out
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -424,6 +425,36 @@ def test_plain_words_by_the_model_alone():
     assert not set(asked) & set(words)
 
 
+def test_words_are_split_by_column():
+    """What is remembered of a word and its tail, for all words of an array at once, and the ids of both together."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abzAZ09.,!'-<|>éÉ日\x00") for _ in range(rng.randrange(1, 9))) for _ in range(600)}
+                   | {"...", "don't", "a'", "A.", "é.", "É", "<|endoftext|>.", "X<|EndOfText|>", "1!?", "'"})
+    tails = string.punctuation.replace("'", "")
+    for added in ([], ["<|startoftext|>", "<|endoftext|>"]):
+        tok.encode_special_tokens = not added
+        cache = token_files.WordCache(tok, added)
+        expected = []
+        for w in words:
+            whole = any(a in w.lower() for a in added)
+            base = w if whole else w.rstrip(tails)
+            if not base or not (base[-1].isascii() and base[-1].isalnum()):
+                base = w
+            expected.append((base if whole or not base.isascii() else base.lower(), w[len(base):]))
+        array = pa.array(["", *words, "b"], pa.large_string())[1:-1]
+        assert list(zip(*(x.to_pylist() for x in cache.split(array)))) == expected
+        length, ids = cache.encode_array(array)
+        want_ids = [e.ids for e in tok.encode_batch(words, add_special_tokens=False)]
+        assert length.tolist() == list(map(len, want_ids)) and ids.tolist() == [i for x in want_ids for i in x]
+    assert cache.encode([]) == [] and len(cache.encode_array(pa.array([], pa.large_string()))[1]) == 0
+    offsets, ids = token_files.encode_texts(pa.array(["", None, "a b.", " ", "c"]), cache, 1)
+    assert offsets.tolist() == [0, 1, 2, 6, 7, 9] and [ids[k] for k in (0, 1, 5, 6, 8)] == [1] * 5
+
+
 def test_byte_bpe_merges_many_words_at_once():
     """All words of a slice side by side, the leftmost of equal pairs first, and the long ones by the heap."""
     import tiktoken
