@@ -39,7 +39,7 @@ TAIL = string.punctuation.replace("'", "")
 #: Words of small Latin letters; a tokenizer that gives these the ids that its model does is asked for its model alone.
 PROBES = ["a", "it", "hello", "running", "zzzzqx", "ªº", "ción", "größe", "élève", "łódź", "internationalisation"]
 #: Text bytes that a worker handles at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 _WORKER: dict = {}
 
 
