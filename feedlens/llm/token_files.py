@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import slices, word_lists
+from feedlens.llm.common import slices, small_batches, word_lists
 
 END_ID = 1
 WRITE_OPTIONS = {
@@ -38,7 +38,7 @@ OLD_WORDS, NEW_WORDS = 250_000, 200_000
 TAIL = string.punctuation.replace("'", "")
 #: Words of small Latin letters; a tokenizer that gives these the ids that its model does is asked for its model alone.
 PROBES = ["a", "it", "hello", "running", "zzzzqx", "ªº", "ción", "größe", "élève", "łódź", "internationalisation"]
-#: Text bytes that a worker handles at once.
+#: Text bytes that a worker is handed and handles at once.
 SLICE = 2 << 20
 _WORKER: dict = {}
 
@@ -49,6 +49,7 @@ def _tokenizer(spec, added: bool):
     if _WORKER.get("key") != key:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; each thread would keep memory of its own
         tok = Tokenizer.from_str(spec.value.decode())
         tok.encode_special_tokens = not added
         _WORKER.update(key=key, cache=WordCache(tok, [t.content for t in tok.get_added_tokens_decoder().values()] if added else []))
@@ -191,6 +192,7 @@ def _encoder(spec, end_id: int, added: bool):
         before = 0
         for b in slices(batches, "text", SLICE):
             offsets, ids = encode_texts(b.column("text"), cache, end_id)
+            pa.default_memory_pool().release_unused()  # else the pool keeps several slices' words, in each worker
             yield pa.RecordBatch.from_arrays(
                 [pa.array(before + offsets[:-1]), b.column("doc_id"), pa.array(np.diff(offsets)),
                  pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
@@ -208,6 +210,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: bytes, end_id:
     the strings of added tokens (<|endoftext|>) become their ids, as by the
     library's encode(text, add_special_tokens=False); else they are ordinary text.
     """
+    small_batches(docs.sparkSession, SLICE)
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # the vocabulary file, about 2 MB
     order = [F.col("doc_id"), F.xxhash64("text")]
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -230,7 +233,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def _checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = b.column("ids")
-        offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<u4")
+        offsets, flat = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
         crc = [zlib.crc32(flat[s:e].tobytes()) for s, e in zip(offsets[:-1], offsets[1:])]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"),
                                           pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -238,4 +241,5 @@ def _checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def token_report(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 from the files."""
+    small_batches(spark, SLICE)
     return read_token_files(spark, path).mapInArrow(_checksum, "doc_id long, start long, n_tokens long, ids_crc32 long")

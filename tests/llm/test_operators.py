@@ -455,6 +455,58 @@ def test_words_are_split_by_column():
     assert offsets.tolist() == [0, 1, 2, 6, 7, 9] and [ids[k] for k in (0, 1, 5, 6, 8)] == [1] * 5
 
 
+def test_token_worker_starts_no_threads():
+    """Each thread of the tokenizers library would keep memory of its own in every worker."""
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import os, random, types
+import pyarrow as pa
+from feedlens.llm import byte_bpe, token_files
+rng = random.Random(5)
+texts = [" ".join("".join(rng.choice("abc\u00e91'") for _ in range(6)) for _ in range(300)) for _ in range(50)]
+batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(texts)], ["doc_id", "text"])
+spec = types.SimpleNamespace(value=byte_bpe.public_vocabulary("word_bpe_49k.json"))
+threads = len(os.listdir("/proc/self/task"))
+rows = sum(b.num_rows for b in token_files._encoder(spec, 1, True)(iter([batch])))
+print(rows, len(os.listdir("/proc/self/task")) - threads)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(token_files.__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=240)
+    assert run.stdout.split() == ["50", "0"], run.stdout + run.stderr
+
+
+def test_token_workers_are_handed_slices(spark, tmp_path, monkeypatch):
+    """Arrow batches of a long partition stay near a slice's bytes, on the way to the ids and back from the files."""
+    import pyarrow as pa
+
+    def sizes(spec, end_id, added):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), b.column("doc_id"), pa.array([b.nbytes] * b.num_rows, pa.int64()),
+                     pa.array([[7] * 1000] * b.num_rows, pa.list_(pa.int32()))], ["at", "doc_id", "n_tokens", "ids"])
+        return run
+
+    def bytes_of(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())] * 4, ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    monkeypatch.setattr(token_files, "_encoder", sizes)
+    monkeypatch.setattr(token_files, "_checksum", bytes_of)
+    docs = spark.createDataFrame(rows_of([(k, "word " * 800) for k in range(6000)]), SCHEMA).coalesce(1)
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    token_files.write_token_files(docs, path, b"{}")
+    most = token_files.SLICE + (1 << 16)
+    assert 0 < max(r["n_tokens"] for r in spark.read.parquet(path).collect()) <= most
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    assert 0 < max(r["n_tokens"] for r in token_files.token_report(spark, path).collect()) <= most
+
+
 def test_byte_bpe_merges_many_words_at_once():
     """All words of a slice side by side, the leftmost of equal pairs first, and the long ones by the heap."""
     import tiktoken
