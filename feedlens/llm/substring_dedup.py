@@ -21,12 +21,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import gram_hashes, mix64, sha256_hex, slices, text_of, word_hashes, word_lists
+from feedlens.llm.common import fresh, mix64, sha256_hex, slices, text_of
 from feedlens.llm.ngram_join import HOT_LANES, SKETCH_BITS, excess
 from feedlens.session import checkpoint, discard
 
@@ -38,49 +39,145 @@ HOT_ROWS = 1_000
 NO_ID = (1 << 63) - 1
 
 
+#: Text bytes that a step handles at once, and words of stretches in a batch.
+SLICE, BATCH_WORDS = 2 << 20, 4 << 20
+#: Longest word that is hashed eight bytes at a time.
+SHORT_WORD = 64
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
+#: The first k of eight bytes.
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _white(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | (data - np.uint8(9) < 5)
+
+
+class Words:
+    """The words of an array of texts, as places in their bytes: text ``i`` has the words
+    ``offsets[i]`` to ``offsets[i + 1]``, a word the bytes ``first`` to ``last`` of ``data``."""
+
+    def __init__(self, texts: pa.Array):
+        texts = fresh(texts)
+        _, ends, data = texts.buffers()
+        at = np.frombuffer(ends, np.int64)[:len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        self.data = np.frombuffer(data, np.uint8)[:at[-1]] if at[-1] else np.zeros(0, np.uint8)
+        inside = np.zeros(len(self.data) + 2, bool)
+        inside[1:-1] = ~_white(self.data)
+        change = inside[1:] != inside[:-1]
+        first, last = change & inside[1:], change & inside[:-1]
+        meet = at[inside[at] & inside[at + 1]]  # a text ends in a word and the next one begins with one
+        first[meet] = last[meet] = True
+        self.first, self.last = np.flatnonzero(first), np.flatnonzero(last)
+        self.offsets = np.searchsorted(self.first, at)
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(self.offsets))
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word."""
+        length = self.last - self.first
+        # eight bytes from each place on
+        eight = np.ndarray(len(self.data) + 1, "<u8", np.concatenate([self.data, np.zeros(8, np.uint8)]), strides=(1,))
+        h = mix64(length.astype(np.uint64) * _PLACE)
+        long = np.flatnonzero(length > SHORT_WORD)
+        if len(long):
+            h[long] ^= pd.util.hash_array(np.array([self.data[i:j].tobytes() for i, j in zip(self.first[long], self.last[long])], object), categorize=False)
+        rows, k = np.flatnonzero(length <= SHORT_WORD) if len(long) else slice(None), 0
+        while True:
+            part = eight[self.first[rows] + k] & _BYTES[np.minimum(length[rows] - k, 8)]
+            h[rows] = mix64(h[rows] * _PLACE + part)
+            k += 8
+            rows = np.flatnonzero((length > k) & (length <= SHORT_WORD))
+            if not len(rows):
+                return h
+
+    def joined(self, keep: np.ndarray) -> pa.Array:
+        """Each text's words that are kept, joined by one space."""
+        kept = np.flatnonzero(keep)
+        first, last, owner = self.first[kept], self.last[kept].copy(), self.owner[kept]
+        last[:-1] += owner[1:] == owner[:-1]  # with the white space behind it
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[first] += 1
+        edge[last] -= 1
+        out = self.data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+        out[_white(out)] = 32
+        size = np.bincount(owner, weights=last - first, minlength=len(self.offsets) - 1).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        return pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(out)])
+
+
+def _grams(mixed: np.ndarray, k: int) -> np.ndarray:
+    """A hash of the ``k`` consecutive words that start at each position, of mixed hashes of words."""
+    n = max(0, len(mixed) - k + 1)
+    out = mixed[:n].copy()
+    for j in range(1, k):
+        out *= _PLACE
+        out += mixed[j:j + n]
+    return mix64(out)
+
+
 class Stretches:
     """The stretches of an array of texts: for each, its text, its first window
     (as a word position), its windows, its anchor and a hash of its words."""
 
     def __init__(self, texts: pa.Array):
-        self.offsets, self.flat = word_lists(texts)
-        self.words = word_hashes(self.flat)
-        count = np.diff(self.offsets)
-        grams = mix64(gram_hashes(self.words, GRAM))
-        span = WINDOW - GRAM + 1
+        self.spans = Words(texts)
+        self.offsets, owner = self.spans.offsets, self.spans.owner
+        self.words = self.spans.hashes()
+        self.mixed = mix64(self.words)
         n = len(self.words) - WINDOW + 1
-        owner = np.repeat(np.arange(len(count)), count)
-        if n <= 0:
-            at = best = np.zeros(0, np.int64)
-        else:
-            value, at = grams[:n].copy(), np.zeros(n, np.int64)
-            for j in range(1, span):
-                less = grams[j:j + n] < value
-                value[less], at[less] = grams[j:j + n][less], j
-            at += np.arange(n)
+        grams, best = _grams(self.mixed, GRAM), np.zeros(0, np.int64)
+        smallest = grams[:0]
+        if n > 0:
+            smallest, width = grams, 1  # of the GRAM-word sequences of each window
+            while 2 * width <= WINDOW - GRAM + 1:
+                smallest = np.minimum(smallest[:-width], smallest[width:])
+                width *= 2
+            rest = WINDOW - GRAM + 1 - width
+            smallest = np.minimum(smallest[:-rest], smallest[rest:]) if rest else smallest
             best = np.flatnonzero(owner[:n] == owner[WINDOW - 1:])  # windows inside one text
-        anchor = at[best] if n > 0 else at
+        # the leftmost smallest one of a window is that of the next unless it stands at the window's start or a smaller one comes in
+        value = smallest[best]
         new = np.ones(len(best), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (best[1:] != best[:-1] + 1)
-        first = np.flatnonzero(new)
-        self.start = best[first]
-        self.windows = np.diff(np.append(first, len(best)))
+        new[1:] = (value[1:] != value[:-1]) | (grams[best[:-1]] == value[:-1]) | (best[1:] != best[:-1] + 1)
+        at = np.flatnonzero(new)
+        self.start = best[at]
+        self.windows = np.diff(np.append(at, len(best)))
         self.text = owner[self.start]
-        self.anchor = grams[anchor[first]] if len(first) else np.zeros(0, np.uint64)
+        self.anchor = value[at]
+
+    @property
+    def content(self) -> np.ndarray:
+        """The hash of each stretch's words."""
         length = self.windows + WINDOW - 1
         # prefix sums of words times an odd power of their place, freed of the start by its inverse
-        power = np.cumprod(np.full(len(self.words), 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
-        inverse = np.cumprod(np.full(len(self.words), pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64), dtype=np.uint64)
-        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(self.words) * power, dtype=np.uint64)])
-        self.content = mix64((run[self.start + length] - run[self.start]) * inverse[self.start] + length.astype(np.uint64))
+        power = np.cumprod(np.full(len(self.words), _PLACE), dtype=np.uint64)
+        inverse = np.cumprod(np.full(len(self.words), pow(int(_PLACE), -1, 1 << 64), np.uint64), dtype=np.uint64)
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.mixed * power, dtype=np.uint64)])
+        return mix64((run[self.start + length] - run[self.start]) * inverse[self.start] + length.astype(np.uint64))
 
     def __len__(self) -> int:
         return len(self.start)
 
 
+def _in_text(content: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """One number for a stretch's content and its text."""
+    return mix64(content + mix64(text.astype(np.uint64) + np.uint64(1)))
+
+
+def _runs(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, k): k of 0 to size[i] - 1 for every i."""
+    i = np.repeat(np.arange(len(size)), size)
+    return i, np.arange(len(i)) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _listed(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(row of each item, the items) of a column of lists; null has none."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(size)), size), lists.flatten()
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = np.zeros(1 << SKETCH_BITS, np.int64)
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", SLICE):
         s = Stretches(b.column("text"))
         seen += np.bincount((s.anchor >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen))
     used = np.flatnonzero(seen)
@@ -91,18 +188,20 @@ def _anchors(frequency):
     """(lane, hot, anchor, key, alike, content) of each text, equal stretches of a text once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(frequency.value, np.float32)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             s = Stretches(b.column("text"))
-            order = np.lexsort((s.content, s.text))
+            content = s.content
+            number = _in_text(content, s.text)
+            order = np.argsort(number)
             same = np.zeros(len(order), bool)
-            same[1:] = (s.content[order][1:] == s.content[order][:-1]) & (s.text[order][1:] == s.text[order][:-1])
+            same[1:] = number[order[1:]] == number[order[:-1]]
             rows = order[~same]
             anchor, key = s.anchor[rows], b.column("key").to_numpy()[s.text[rows]]
             hot = table[(anchor >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= HOT_ROWS
             lane = np.where(hot, mix64(anchor + mix64(key.astype(np.uint64)) % np.uint64(HOT_LANES) + np.uint64(1)), anchor)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lane.view(np.int64)), pa.array(hot), pa.array(anchor.view(np.int64)), pa.array(key),
-                 b.column("alike").take(pa.array(s.text[rows])), pa.array(s.content[rows].view(np.int64))],
+                 b.column("alike").take(pa.array(s.text[rows])), pa.array(content[rows].view(np.int64))],
                 ["lane", "hot", "anchor", "key", "alike", "content"])
     return run
 
@@ -134,7 +233,7 @@ class FmIndex:
             second = np.zeros(n, np.int64)
             second[:-step or None] = rank[step:] + 1
             key = rank * (n + separators + 2) + second
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)  # of equal ones in any order, as none are left in the end
             key = key[order]
             new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
             rank = np.empty(n, np.int64)
@@ -171,11 +270,13 @@ class FmIndex:
         more than once in full, their suffix intervals [low, high))."""
         rows = np.arange(len(start))
         at = self.place[start]
-        low, high = np.zeros(len(rows), np.int64), np.full(len(rows), self.n)
         for j in range(length - 1, -1, -1):
             c = self.symbols[at + j]
-            low = self.before[c] + self.rank(c, low)
-            high = self.before[c] + self.rank(c, high)
+            if j == length - 1:
+                low, high = self.before[c], self.before[c + 1]
+            else:
+                low = self.before[c] + self.rank(c, low)
+                high = self.before[c] + self.rank(c, high)
             open_ = high - low > 1  # one: its own place alone
             rows, at, low, high = rows[open_], at[open_], low[open_], high[open_]
         return rows, low, high
@@ -213,60 +314,78 @@ def _search_shard(group: pa.Table) -> pa.Table:
     earliest[rows] = _range_min(keys[index.owner[index.order]], low, high)
     last = group.column("last").to_numpy()
     useful = np.flatnonzero(np.minimum.reduceat(earliest, begin) < last) if len(begin) else begin
+    i, j = _runs(windows[useful])
+    ends = np.concatenate([[0], np.cumsum(windows[useful])]).astype(np.int32)
     return pa.table({
         "content": group.column("content").take(pa.array(useful)), "first_window": group.column("first_window").take(pa.array(useful)),
-        "earliest": pa.array([earliest[begin[k]:begin[k] + windows[k]].tolist() for k in useful], pa.list_(pa.int64()))})
+        "earliest": pa.ListArray.from_arrays(pa.array(ends), pa.array(earliest[begin[useful][i] + j]))})
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The asked stretches of each text with their words: one row, or one per
     window where the anchor is wide."""
     names = ["route", "content", "first_window", "key", "last", "words"]
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", SLICE):
         s = Stretches(b.column("text"))
-        content = s.content.view(np.int64)
-        out: list[list] = [[] for _ in names]
-        ends = np.searchsorted(s.text, np.arange(b.num_rows + 1))
-        for row, (asked, key) in enumerate(zip(b.column("asked").to_pylist(), b.column("key").to_pylist())):
-            want = {a["content"]: a for a in asked}
-            for k in range(ends[row], ends[row + 1]):
-                a = want.pop(int(content[k]), None)
-                if a is None:
-                    continue
-                spans = [(0, s.windows[k] + WINDOW - 1)] if not a["wide"] else [(w, WINDOW) for w in range(s.windows[k])]
-                for w, length in spans:
-                    part = s.words[s.start[k] + w:s.start[k] + w + length]
-                    route = s.anchor[k:k + 1] if not a["wide"] else gram_hashes(part, WINDOW)
-                    for col, v in zip(out, (int(route.view(np.int64)[0]), a["content"], w, key, a["last"], part.tobytes())):
-                        col.append(v)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64()),
-             pa.array(out[4], pa.int64()), pa.array(out[5], pa.binary())], names)
+        if not len(s):
+            continue
+        text, asked = _listed(b.column("asked"))
+        content = asked.field("content").to_numpy()
+        number = _in_text(s.content, s.text)
+        order = np.argsort(number)
+        number = number[order]
+        wanted = _in_text(content.view(np.uint64), text)
+        place = np.minimum(np.searchsorted(number, wanted), len(number) - 1)
+        a = np.flatnonzero(number[place] == wanted)  # rows of one doc_id are asked for one another's stretches too
+        k, wide = order[place[a]], asked.field("wide").to_numpy(zero_copy_only=False)[a]
+        of, w = _runs(np.where(wide, s.windows[k], 1))
+        k, wide, a = k[of], wide[of], a[of]
+        start, length = s.start[k] + w, np.where(wide, WINDOW, s.windows[k] + WINDOW - 1)
+        route = s.anchor[k]
+        if wide.any():
+            route[wide] = _grams(s.mixed, WINDOW)[start[wide]]
+        key, last = b.column("key").to_numpy()[text[a]], asked.field("last").to_numpy()[a]
+        upto = np.cumsum(length)
+        here = 0
+        while here < len(a):
+            stop = max(here + 1, int(np.searchsorted(upto, upto[here] - length[here] + BATCH_WORDS, side="right")))
+            some = slice(here, stop)
+            i, j = _runs(length[some])
+            ends = np.concatenate([[0], 8 * np.cumsum(length[some])]).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), stop - here, [None, pa.py_buffer(ends), pa.py_buffer(s.words[start[some][i] + j])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route[some].view(np.int64)), pa.array(content[a[some]]), pa.array(w[some].astype(np.int32)), pa.array(key[some]),
+                 pa.array(last[some]), words], names)
+            here = stop
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Take the repeated windows' words out of each text."""
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", SLICE):
         s = Stretches(b.column("text"))
-        content = s.content.view(np.int64)
-        gone = np.zeros(len(s.words) + 1, np.int64)  # differences of the cover
-        ends = np.searchsorted(s.text, np.arange(b.num_rows + 1))
-        for row, hits in enumerate(b.column("hits").to_pylist()):
-            if not hits:
-                continue
-            spans: dict[int, list[int]] = {}
-            for h in hits:
-                spans.setdefault(h["content"], []).extend(h["first_window"] + k for k, hit in enumerate(h["mask"]) if hit)
-            for k in range(ends[row], ends[row + 1]):
-                for w in spans.get(int(content[k]), ()):
-                    gone[s.start[k] + w] += 1
-                    gone[s.start[k] + w + WINDOW] -= 1
-        keep = np.cumsum(gone[:-1]) == 0
-        upto = np.concatenate([[0], np.cumsum(keep)])[s.offsets]
-        kept = pa.LargeListArray.from_arrays(pa.array(upto), s.flat.filter(pa.array(keep)))
-        text = pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(pa.string())
+        hit = np.zeros(len(s.words) + 1, bool)  # words that a repeated window starts at
+        text, hits = _listed(b.column("hits"))
+        if len(hits) and len(s):
+            number = _in_text(s.content, s.text)
+            order = np.argsort(number)
+            number = number[order]
+            wanted = _in_text(hits.field("content").to_numpy().view(np.uint64), text)
+            low = np.searchsorted(number, wanted)
+            row, mask = _listed(hits.field("mask"))
+            mask = np.flatnonzero(mask.to_numpy(zero_copy_only=False))
+            row = row[mask]  # the hit of each repeated window
+            begin = np.searchsorted(row, np.arange(len(hits)))
+            window = mask - (np.cumsum(size := pc.list_value_length(hits.field("mask")).to_numpy()) - size)[row] + hits.field("first_window").to_numpy()[row]
+            of, k = _runs(np.searchsorted(number, wanted, side="right") - low)  # every stretch that a hit names
+            stretch = order[low[of] + k]
+            i, j = _runs(np.diff(np.append(begin, len(row)))[of])
+            hit[s.start[stretch[i]] + window[begin[of[i]] + j]] = True
+        covered = np.cumsum(hit[:-1])
+        covered[WINDOW:] -= covered[:-WINDOW].copy()
+        keep = covered == 0
         n = np.diff(s.offsets)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(n - np.diff(upto)), text],
+        kept = np.bincount(s.spans.owner[keep], minlength=len(n))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(n - kept), s.spans.joined(keep)],
                                          ["doc_id", "n_words", "n_removed", "text"])
 
 

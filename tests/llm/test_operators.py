@@ -177,6 +177,64 @@ def test_substring_dedup_wide_and_hot_anchors(odd, pairs, monkeypatch):
     assert got(substring_dedup.repeat_report(odd)) == want(brute.passages(pairs))
 
 
+def test_words_as_places_in_the_bytes():
+    """Words, their hashes and what is joined of them come from the texts' bytes, without a string a word."""
+    import pyarrow as pa
+
+    texts = [None, "", "a", "b", " c", "d ", "\t \n", "x" * 64, "x" * 65, "x" * 64 + "y", "é\x85 z", "日本\x0b語", "a\x00", "a", "abcdefgh",
+             "abcdefghi  abcdefgh", "q\r\nw " * 9, "a b"]
+    words = substring_dedup.Words(pa.array(["gone", *texts], pa.string()).slice(1))
+    split = [brute.words(t) for t in texts]
+    assert np.diff(words.offsets).tolist() == list(map(len, split))
+    flat = [w for s in split for w in s]
+    of = dict(zip(flat, words.hashes().tolist()))
+    assert [of[w] for w in flat] == words.hashes().tolist() and len(set(of.values())) == len(of)
+    assert words.joined(np.ones(len(flat), bool)).to_pylist() == [" ".join(s) for s in split]
+    keep = np.array([w not in ("a", "abcdefgh", "w") for w in flat])
+    assert words.joined(keep).to_pylist() == [" ".join(w for w in s if w not in ("a", "abcdefgh", "w")) for s in split]
+    nothing = substring_dedup.Words(pa.array([None, ""], pa.string()))
+    assert nothing.offsets.tolist() == [0, 0, 0] and nothing.joined(nothing.first == 0).to_pylist() == ["", ""]
+
+
+def test_stretches_of_neighbouring_windows():
+    """A stretch is as long as the leftmost smallest sequence inside its windows stays, also where sequences repeat."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(40))) for _ in range(60)] + ["x " * 30, "p q r " * 9]
+    s = substring_dedup.Stretches(pa.array(texts))
+    grams, span = substring_dedup._grams(s.mixed, substring_dedup.GRAM), substring_dedup.WINDOW - substring_dedup.GRAM + 1
+    expected, before = [], None
+    for text, (i, j) in enumerate(zip(s.offsets[:-1], s.offsets[1:])):
+        for k in range(i, j - substring_dedup.WINDOW + 1):
+            at = min(range(k, k + span), key=lambda x: (grams[x], x))
+            if before != (text, at):
+                expected.append([text, k, 0, grams[at]])
+            expected[-1][2] += 1
+            before = text, at
+    assert [list(x) for x in zip(s.text, s.start, s.windows, s.anchor)] == expected and len(expected) > 100
+
+
+def test_substring_dedup_hands_words_out_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(substring_dedup, "BATCH_WORDS", 100)
+    texts = pa.array([" ".join(f"w{k}" for k in range(n, n + 200)) for n in range(3)])
+    s = substring_dedup.Stretches(texts)
+    asked = [[{"content": int(c), "last": 9, "wide": wide} for c in s.content[s.text == t].view(np.int64)] for t, wide in enumerate((False, True, False))]
+    kind = pa.list_(pa.struct([("content", pa.int64()), ("last", pa.int64()), ("wide", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2]), texts, pa.array(asked, kind)], ["key", "text", "asked"])
+    out = list(substring_dedup._words(iter([batch])))
+    assert len(out) > 20 and all(sum(map(len, b.column("words").to_pylist())) <= 8 * 100 for b in out)
+    rows = [r for b in out for r in b.to_pylist()]
+    expected = []
+    for k in range(len(s)):
+        for w in range(s.windows[k]) if s.text[k] == 1 else [0]:
+            n = 13 if s.text[k] == 1 else s.windows[k] + 12
+            expected.append((int(s.text[k]), w, s.words[s.start[k] + w:s.start[k] + w + n].tobytes()))
+    assert sorted((r["key"], r["first_window"], r["words"]) for r in rows) == sorted(expected)
+
+
 def test_fm_index_counts():
     rng = np.random.default_rng(3)
     lengths = rng.integers(3, 40, 60)
