@@ -176,6 +176,30 @@ def test_similarity_over_many_blocks(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == pyref.similar_pairs(values, values[1::2])
 
 
+def test_similarity_shuffles_no_string_for_each_block_that_its_own_meets(spark, monkeypatch):
+    """Twelve or more blocks of ten titles, all of near lengths: each title is dealt to the two sides of the product, and once to its block."""
+    from pyspark.sql import functions as F
+
+    from feedlens.operators import similarity as S
+    monkeypatch.setattr(S, "BLOCK", 10)
+    titles = [" ".join(["alpha", "betas", "gamma", "delta"][(k >> 2 * i) % 4] for i in range(4)) + f" {k % 7}" for k in range(120)]
+    df = spark.createDataFrame([(v,) for v in titles], "a string")
+    moved, frame = [], type(df)
+    plain = frame.repartition
+
+    def repartition(self, n, *cols):
+        if "s" in self.columns:
+            moved.append(self.count())
+        for c in self.columns:
+            if c.endswith("texts"):
+                moved.append(self.agg(F.sum(F.size(c))).first()[0])
+        return plain(self, n, *cols)
+    monkeypatch.setattr(frame, "repartition", repartition)
+    got = [(r.a, r.b) for r in similar_pairs(df, df.withColumnRenamed("a", "b")).collect()]
+    assert len(got) == len(set(got)) and set(got) == pyref.similar_pairs(titles, titles)
+    assert moved == [120, 120]
+
+
 def test_similarity_makes_no_row_a_candidate_pair(spark):
     """40 titles of the same few words: blocks travel, candidate pairs do not."""
     import pandas as pd
